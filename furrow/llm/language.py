@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import chunks, codepoints, expand, fold, read_table, texts
+from furrow.llm.common import chunks, codepoints, expand, fold, read_table, ship, texts
 
 #: Script ranges (first and last code point): fixed values of the Unicode blocks.
 SCRIPTS = [
@@ -129,6 +129,7 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Learn from labelled (doc_id, text, lang): about per_lang documents of each language at most, chosen by hash."""
+    ship(labelled.sparkSession)
     labelled = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = labelled.groupBy("lang").count()
     share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("count"))

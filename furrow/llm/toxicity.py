@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import chunks, fold, materialise, read_table, texts
+from furrow.llm.common import chunks, fold, materialise, read_table, ship, texts
 
 #: Labelled documents from which the classifier is fitted, at most about so many of each class.
 SAMPLE_PER_CLASS = 4000
@@ -176,6 +176,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     top[owner[heads]] = p[heads]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, n), pa.array(noisy_or(p, owner, n)), pa.array(count.astype(np.int32)), pa.array(worst.astype(np.int32)), pa.array(top)], ["doc_id", "score", "n_sentences", "worst_sentence", "worst_score"])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
