@@ -1,7 +1,63 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: language ID, near duplicates, decontamination, personal data, packing.
 
+Each stage takes (spark, docs, sf_dir), works on every row that its predecessor
+kept, and returns the columns of documents; the last returns the packing plan.
+
+- language: documents without letters, or without a language that holds half of
+  their letters, go; lang becomes the predicted language.
+- near_duplicates: the document with the smallest id of each component stays.
+- decontamination: documents that hold a benchmark passage go.
+- personal_data: spans are replaced by their kind in angle brackets; n_chars follows.
+- packing: bucket, batch and place of every document.
+
+Nulls and empty tables pass as the operators define them; extra columns are kept
+by all stages but the last.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from furrow.llm import stages
+from furrow.llm.common import materialise, read_table
+from furrow.llm.packing import pack
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.keep_identified(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.keep_first_of_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.mask_personal_data(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
+
+#: Language models, metric joins and the CRF have no form in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written as Parquet and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return docs
