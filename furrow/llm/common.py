@@ -53,7 +53,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._furrow_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialise() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._furrow_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -171,7 +181,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # small star: the smaller neighbours and the node itself go to the smallest
         low2 = large.groupBy("u").agg(F.min("v").alias("lo"))
         small = large.join(low2, "u").where("v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v")).union(low2.select("u", F.col("lo").alias("v"))).distinct()
-        stars = materialise(small, "cc")
+        before, stars = stars, materialise(small, "cc")
+        discard(before)
         now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break

@@ -39,11 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from furrow.llm.common import bitmap, byte_texts, components, in_bitmap, materialise, mix64, read_table
+from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, materialise, mix64, read_table
 
 WORDS = 5
 #: Documents up to which a first-level region gives its pairs at once.
 CROWD = 16
+#: Crowded shingles are looked for in a window longer by this part of the set.
+WIDER = 16
 #: Documents and shingles of a block of a large second-level region.
 BLOCK_DOCS, BLOCK_SHINGLES = 768, 2_000_000
 #: Below so many documents a region is compared without further pivots.
@@ -78,64 +80,39 @@ def shingle_set(text: bytes, cache: WordHash) -> np.ndarray:
     return np.unique((mix64(acc) >> np.uint64(2)).view(np.int64))
 
 
-def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set size, fingerprint and window (in hash order) of every document."""
-    cache = WordHash()
-    for b in batches:
-        sizes, f1, f2, wins = [], [], [], []
-        for t in byte_texts(b):
-            s = shingle_set(t, cache)
-            d = xxhash.xxh3_128_intdigest(s.tobytes())
-            sizes.append(len(s))
-            f1.append((d >> 64) - (1 << 63))
-            f2.append((d & (1 << 64) - 1) - (1 << 63))
-            wins.append(s[: len(s) // 4 + 1])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), _lists(wins)], ["doc_id", "n", "f1", "f2", "win"])
+def _described(get=None):
+    """Set size, fingerprint and first pivots of every document.
 
-
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
-
-
-def _later(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
-    """Shingles as keys of the global order: those of crowded regions after all others."""
-    return s + np.where(in_bitmap(crowded, s), _TOP, 0)
-
-
-def _second(get):
-    """Windows in the new order, of the documents that it changes."""
+    Without get(), pivots in hash order, somewhat more than the window, so that
+    crowded shingles are also found where the window will move on to. With get(),
+    which gives the crowded shingles, the window in the final order.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crowded, cache = get(), WordHash()
+        cache, crowded = WordHash(), get and get()
         for b in batches:
-            ids, sizes, f1, f2, wins = [], [], [], [], []
-            for i, t in zip(b.column("doc_id").to_pylist(), byte_texts(b), strict=True):
+            sizes, f1, f2, wins = [], [], [], []
+            for t in byte_texts(b):
                 s = shingle_set(t, cache)
-                k = len(s) // 4 + 1
-                if i is None or not len(s) or not in_bitmap(crowded, s[:k]).any():
-                    continue
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
-                ids.append(i)
+                k = len(s) // 4 + 1
                 sizes.append(len(s))
                 f1.append((d >> 64) - (1 << 63))
                 f2.append((d & (1 << 64) - 1) - (1 << 63))
-                wins.append(np.sort(_later(s, crowded))[:k])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), _lists(wins)], ["doc_id", "n", "f1", "f2", "win"])
+                wins.append(s[: k + len(s) // WIDER + 2] if crowded is None else np.sort(_later(s, crowded))[:k])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), _lists(wins)], ["doc_id", "n", "f1", "f2", "win"])
 
     return run
 
 
-def _unchanged(get):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crowded = get()
-        for b in batches:
-            win = b.column("win")
-            flat, offsets = win.flatten().to_numpy(zero_copy_only=False), win.offsets.to_numpy() - win.offsets[0].as_py()
-            hit = np.concatenate([[0], np.cumsum(in_bitmap(crowded, flat))])
-            yield b.filter(pa.array(hit[offsets[1:]] == hit[offsets[:-1]]))
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
-    return run
+
+def _later(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+    """Shingles as keys of the global order: those of crowded regions after all others."""
+    return s + np.where(in_bitmap(crowded, s), _TOP, 0)
 
 
 def _full_sets(get):
@@ -259,27 +236,27 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     hold = spark.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    first = materialise(docs.mapInArrow(_first, "doc_id bigint, n int, f1 bigint, f2 bigint, win array<bigint>"), "sets")
-
-    # one node for each distinct set: the copy with the smallest id
-    node = first.where("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "win")).alias("x"))
-    nodes = materialise(node.select("x.doc_id", "x.n", "f1", "f2", "x.win"), "nodes")
-
-    crowded_tokens = nodes.select(F.explode("win").alias("t")).groupBy("t").count().where(F.col("count") > CROWD)
+    described = "doc_id bigint, n int, f1 bigint, f2 bigint, win array<bigint>"
+    first = materialise(docs.mapInArrow(_described(), described), "sets")
+    sizes = materialise(first.drop("win"), "sizes")
+    crowded_tokens = first.select(F.explode("win").alias("t")).groupBy("t").count().where(F.col("count") > CROWD)
     crowded = hold(bitmap(crowded_tokens, "t"))  # 8 MB, whatever the input
-    same = nodes.select("doc_id", "n", "win").mapInArrow(_unchanged(lambda: crowded.value), "doc_id bigint, n int, win array<bigint>")
-    redone = docs.mapInArrow(_second(lambda: crowded.value), "doc_id bigint, n int, f1 bigint, f2 bigint, win array<bigint>")
-    redone = redone.join(nodes.select("doc_id", "f1", "f2"), ["doc_id", "f1", "f2"], "left_semi").dropDuplicates(["doc_id", "f1", "f2"])
-    windows = materialise(same.union(redone.select("doc_id", "n", "win")), "windows")
+    discard(first)
 
+    # one node for each distinct set: the copy with the smallest id, with its window
+    again = docs.where("doc_id is not null").mapInArrow(_described(lambda: crowded.value), described).where("n > 0")
+    node = again.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "win")).alias("x"))
+    windows = materialise(node.select("x.doc_id", "x.n", "f1", "f2", "x.win"), "windows")
+    nodes = materialise(windows.select("doc_id", "n", "f1", "f2", F.element_at("win", -1).alias("last")), "nodes")
     met = windows.select(F.explode("win").alias("t"), "doc_id", "n").withColumn("cnt", F.count("*").over(Window.partitionBy("t"))).where("cnt > 1")
     met = materialise(met, "regions")
+    discard(windows)
 
     # small regions: pairs that share enough pivots
     a, b = (met.where(F.col("cnt") <= CROWD).select("t", F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
     pairs = a.join(b, "t").where("a < b and 4 * n_a >= 3 * n_b and 4 * n_b >= 3 * n_a").groupBy("a", "b").agg(F.count("*").alias("shared"))
     of_crowd = met.where(F.col("cnt") > CROWD).groupBy("doc_id").agg(F.count("*").alias("crowd"))
-    meta = windows.select("doc_id", "n", F.element_at("win", -1).alias("last")).join(of_crowd, "doc_id", "left").na.fill(0, ["crowd"])
+    meta = nodes.select("doc_id", "n", "last").join(of_crowd, "doc_id", "left").na.fill(0, ["crowd"])
     ma, mb = (meta.select(*(F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in meta.columns)) for x in "ab")
     # beyond the last pivot of the document whose window ends first, at most its remaining shingles can be shared
     rest = F.when(F.col("last_a") <= F.col("last_b"), F.expr("n_a - n_a div 4 - 1")).otherwise(F.expr("n_b - n_b div 4 - 1"))
@@ -291,8 +268,8 @@ def join(docs: DataFrame) -> DataFrame:
     linked = components(near.select("a", "b").union(ties)).withColumnsRenamed({"id": "doc_id", "component_id": "region"})
 
     linked = materialise(linked.join(nodes.select("doc_id", "n", "f1", "f2"), "doc_id"), "second")
-    sizes = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    blocks = sizes.select("region", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
+    blocks = whole.select("region", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = linked.join(blocks, "region").withColumn("k", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     wanted = hold(bitmap(linked, "doc_id"))
     sets = docs.where("doc_id is not null").mapInArrow(_full_sets(lambda: wanted.value), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
@@ -310,7 +287,7 @@ def join(docs: DataFrame) -> DataFrame:
     final = components(links)
 
     by_set = nodes.select("f1", "f2", "doc_id").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("f1", "f2", F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = first.select("doc_id", "n", "f1", "f2").join(by_set, ["f1", "f2"], "left")
+    out = sizes.join(by_set, ["f1", "f2"], "left")
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
 
 
