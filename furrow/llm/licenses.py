@@ -94,9 +94,10 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     paragraphs = F.filter(part("paragraph", F.split("text", "\n[\\x20\\x09-\\x0D]*\n")), lambda x: x["body"].contains("\n"))
     whole = F.filter(part("text", F.array("text")), lambda x: F.col("text").rlike("\n[\\x20\\x09-\\x0D]*\n"))
     units = docs.select("doc_id", F.explode(F.concat(lines, paragraphs, whole)).alias("u")).select("doc_id", "u.unit", "u.unit_no", _bigrams(_words(F.col("u.body"))).alias("grams"))
-    sized = units.withColumn("size", F.size("grams")).where((F.col("size") >= F.lit(low * min(sizes))) & (F.col("size") <= F.lit(high * max(sizes))))
+    sized = units.withColumn("size", F.size("grams")).where((F.col("size") >= F.lit(low * min(sizes) - 1e-6)) & (F.col("size") <= F.lit(high * max(sizes) + 1e-6)))
     met = sized.select("doc_id", "unit", "unit_no", "size", F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
-    met = met.where((F.col("size") >= F.col("t_size") * F.lit(low)) & (F.col("size") <= F.col("t_size") * F.lit(high)))
+    # the coefficient if the smaller set lay in the larger one, computed as the coefficient itself is
+    met = met.where(F.lit(2.0) * F.least("size", "t_size") / (F.col("size") + F.col("t_size")) >= threshold)
     shared = met.distinct().groupBy("doc_id", "unit", "unit_no", "license", "size", "t_size").agg(F.count("*").alias("both"))
     dice = shared.withColumn("dice", F.lit(2.0) * F.col("both") / (F.col("size") + F.col("t_size"))).where(F.col("dice") >= threshold)
     best = Window.partitionBy("doc_id", "unit", "unit_no").orderBy(F.desc("dice"), "license")
