@@ -57,14 +57,18 @@ def template_words(text: str) -> list[str]:
 
 
 def _words(text: Column) -> Column:
-    plain = F.regexp_replace(F.translate(text, _UPPER, _UPPER.lower()), "[^a-z0-9]+", " ")
-    return F.split(F.trim(plain), " ")
+    return F.split(F.trim(F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " "))), " ")
 
 
-def _bigrams(words: Column) -> Column:
-    n = F.size(words) - 1
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(n, F.lit(0))), F.slice(words, 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return F.array_distinct(pairs)
+def _pairs(words: Column) -> Column:
+    """Hashes of neighbouring words."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b))
+
+
+def _once(**columns: Column) -> Column:
+    """Columns behind a generator of one row: computed once, though later filters and columns use them."""
+    return F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
 
 
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
@@ -93,9 +97,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     # a paragraph or text of one line is that line already
     paragraphs = F.filter(part("paragraph", F.split("text", "\n[\\x20\\x09-\\x0D]*\n")), lambda x: x["body"].contains("\n"))
     whole = F.filter(part("text", F.array("text")), lambda x: F.col("text").rlike("\n[\\x20\\x09-\\x0D]*\n"))
-    units = docs.select("doc_id", F.explode(F.concat(lines, paragraphs, whole)).alias("u")).select("doc_id", "u.unit", "u.unit_no", _bigrams(_words(F.col("u.body"))).alias("grams"))
-    sized = units.withColumn("size", F.size("grams")).where((F.col("size") >= F.lit(low * min(sizes) - 1e-6)) & (F.col("size") <= F.lit(high * max(sizes) + 1e-6)))
-    met = sized.select("doc_id", "unit", "unit_no", "size", F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
+    units = docs.select("doc_id", F.explode(F.concat(lines, paragraphs, whole)).alias("u"))
+    own = ["doc_id", "unit", "unit_no"]
+    worded = units.select("doc_id", "u.unit", "u.unit_no", _once(w=_words(F.col("u.body")))).where(F.size("w") - 1 >= F.lit(low * min(sizes) - 1e-6))
+    known = [r.bigram for r in table.select("bigram").distinct().collect()]  # of the templates
+    paired = worded.select(*own, _once(pairs=_pairs(F.col("w"))))
+    hit = paired.select(*own, "pairs", _once(hits=F.filter("pairs", lambda g: g.isin(known)))).where(F.size("hits") > 0)
+    sized = hit.select(*own, "hits", _once(size=F.size(F.array_distinct("pairs")))).where((F.col("size") >= F.lit(low * min(sizes) - 1e-6)) & (F.col("size") <= F.lit(high * max(sizes) + 1e-6)))
+    met = sized.select(*own, "size", F.explode("hits").alias("bigram")).join(F.broadcast(table), "bigram")
     # the coefficient if the smaller set lay in the larger one, computed as the coefficient itself is
     met = met.where(F.lit(2.0) * F.least("size", "t_size") / (F.col("size") + F.col("t_size")) >= threshold)
     shared = met.distinct().groupBy("doc_id", "unit", "unit_no", "license", "size", "t_size").agg(F.count("*").alias("both"))
