@@ -14,7 +14,9 @@ MAX_SENTENCE words.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ SAMPLE_PER_CLASS = 4000
 FEATURES = 2000
 #: Deviations by which a feature's share of toxic documents must differ from chance.
 MIN_Z = 5.0
+#: Documents of the sample that a feature must occur in.
+MIN_DOCS = 3
 PREFIXES = (4, 5, 6, 7)
 MAX_SENTENCE = 40
 TOKEN = re.compile(r"[^\W_]+|[.!?\n]")
@@ -108,22 +112,38 @@ def fit(items: list[str], y: np.ndarray, rounds: int = 250, l2: float = 2e-4) ->
     """Weights of the words that tell the classes of documents apart best, by gradient ascent on the noisy-or likelihood."""
     if len(set(y.tolist())) < 2:
         return Model([], np.zeros(0))
-    counts: dict[str, list[int]] = {}
+    def of_text(text: str) -> set[str]:
+        return {f for w in set(TOKEN.findall(text.lower())) - END for f in features(w)}
+
+    # a feature is in at least MIN_DOCS documents only if its bucket is: rare ones never reach the dictionary
+    buckets = np.zeros(1 << 22, dtype=np.int32)
+    place = lambda f: crc32(f.encode("utf-8", "surrogatepass")) & (1 << 22) - 1
+    for text in items:
+        np.add.at(buckets, np.fromiter(map(place, of_text(text)), np.int64), 1)
+    counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
     for text, label in zip(items, y.tolist(), strict=True):
-        for f in {f for w in set(TOKEN.findall(text.lower())) - END for f in features(w)}:
-            counts.setdefault(f, [0, 0])[label] += 1
+        counts[label].update(f for f in of_text(text) if buckets[place(f)] >= MIN_DOCS)
     base = float(y.mean())
-    z = {f: (c[1] - sum(c) * base) / np.sqrt(sum(c) * base * (1 - base)) for f, c in counts.items() if sum(c) >= 3}
+    z = {}
+    for f in counts[0].keys() | counts[1].keys():
+        n = counts[0][f] + counts[1][f]
+        if n >= MIN_DOCS:
+            z[f] = (counts[1][f] - n * base) / np.sqrt(n * base * (1 - base))
     kept = sorted((-abs(v), f) for f, v in z.items() if abs(v) >= MIN_Z)[:FEATURES]
     words = sorted(f for _, f in kept)
+    del counts, z, buckets
     index = {w: i for i, w in enumerate(words)}
-    own: dict[str, list[int]] = {}
-    toks, sent, owner = bags(items)
-    for t in set(toks):
-        own[t] = [index[f] for f in features(t) if f in index]
-    size = np.fromiter((len(own[t]) for t in toks), np.int64, len(toks))
-    feat = np.fromiter((i for t in toks for i in own[t]), np.int64, int(size.sum()))
-    sent = np.repeat(sent, size)
+    parts, docs, sentences = [], [], 0
+    for lo in range(0, len(items), 500):  # the words of a few documents at a time
+        toks, sent, owner = bags(items[lo : lo + 500])
+        own = {t: [index[f] for f in features(t) if f in index] for t in set(toks)}
+        size = np.fromiter((len(own[t]) for t in toks), np.int64, len(toks))
+        feat = np.fromiter((i for t in toks for i in own[t]), np.int64, int(size.sum()))
+        parts.append((feat, np.repeat(sent, size) + sentences))
+        docs.append(owner + lo)
+        sentences += len(owner)
+    feat, sent = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    owner = np.concatenate(docs)
     used = np.unique(sent)
     sent, owner = np.searchsorted(used, sent), owner[used]
     w = np.zeros(len(words) + 1)
