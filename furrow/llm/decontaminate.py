@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import chunks, codepoints, expand, read_table, ship, texts
+from furrow.llm.common import chunks, codepoints, expand, lean, read_table, ship, texts
 
 Q = 12
 #: Edits allowed, as a share of a passage's characters.
@@ -162,7 +162,7 @@ def _finder(get):
             ids = b.column("doc_id").to_pylist()
             items = [normal(t) for t in texts(b)]
             out: list[tuple] = []
-            for lo, hi in chunks(items, 2_000_000):
+            for lo, hi in chunks(items, 500_000):
                 out += [(ids[lo + d], *x) for d, *x in index.search(items[lo:hi])]
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "item_id", "start", "end", "edits"])
@@ -188,7 +188,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows (doc_id, item_id, start, end, edits): passages of benchmark (item_id, text) that occur in docs (doc_id, text)."""
     out = None
     for held in passage_blocks(benchmark):
-        part = docs.select("doc_id", "text").mapInArrow(_finder(lambda held=held: held.value), SCHEMA)
+        part = docs.select("doc_id", "text").mapInArrow(lean(_finder(lambda held=held: held.value)), SCHEMA)
         out = part if out is None else out.union(part)
     return out
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, materialise, mix64, read_table
+from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, mix64, read_table
 
 WORDS = 5
 #: Documents up to which a first-level region gives its pairs at once.
@@ -237,14 +237,14 @@ def join(docs: DataFrame) -> DataFrame:
     hold = spark.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     described = "doc_id bigint, n int, f1 bigint, f2 bigint, win array<bigint>"
-    first = materialise(docs.mapInArrow(_described(), described), "sets")
+    first = materialise(docs.mapInArrow(lean(_described()), described), "sets")
     sizes = materialise(first.drop("win"), "sizes")
     crowded_tokens = first.select(F.explode("win").alias("t")).groupBy("t").count().where(F.col("count") > CROWD)
     crowded = hold(bitmap(crowded_tokens, "t"))  # 8 MB, whatever the input
     discard(first)
 
     # one node for each distinct set: the copy with the smallest id, with its window
-    again = docs.where("doc_id is not null").mapInArrow(_described(lambda: crowded.value), described).where("n > 0")
+    again = docs.where("doc_id is not null").mapInArrow(lean(_described(lambda: crowded.value)), described).where("n > 0")
     node = again.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "win")).alias("x"))
     windows = materialise(node.select("x.doc_id", "x.n", "f1", "f2", "x.win"), "windows")
     nodes = materialise(windows.select("doc_id", "n", "f1", "f2", F.element_at("win", -1).alias("last")), "nodes")
@@ -272,7 +272,7 @@ def join(docs: DataFrame) -> DataFrame:
     blocks = whole.select("region", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = linked.join(blocks, "region").withColumn("k", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     wanted = hold(bitmap(linked, "doc_id"))
-    sets = docs.where("doc_id is not null").mapInArrow(_full_sets(lambda: wanted.value), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
+    sets = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
     sets = sets.join(placed, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id", "f1", "f2"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
     tasks = sets.select("region", "doc_id", "shingles", "k", "blocks", other).select(
@@ -283,7 +283,7 @@ def join(docs: DataFrame) -> DataFrame:
         F.when(F.col("k") == F.col("o"), 0).when(F.col("k") < F.col("o"), 1).otherwise(2).alias("side"),
         "shingles",
     )
-    links = tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(_join_regions, "a bigint, b bigint")
+    links = tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(lean(_join_regions), "a bigint, b bigint")
     final = components(links)
 
     by_set = nodes.select("f1", "f2", "doc_id").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("f1", "f2", F.coalesce("component_id", "doc_id").alias("component_id"))

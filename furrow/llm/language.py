@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import chunks, codepoints, expand, fold, read_table, ship, texts
+from furrow.llm.common import chunks, codepoints, expand, fold, lean, read_table, ship, texts
 
 #: Script ranges (first and last code point): fixed values of the Unicode blocks.
 SCRIPTS = [
@@ -50,7 +50,7 @@ SAMPLE_PER_LANG = 2000
 #: A language is a candidate for a script that holds this share of its training letters.
 MIN_SCRIPT_SHARE = 0.01
 SWITCH_PENALTY = 12.0
-VITERBI_CHARS = 12_000_000
+VITERBI_CHARS = 3_000_000
 
 
 class Model(NamedTuple):
@@ -134,7 +134,7 @@ def train(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     sizes = labelled.groupBy("lang").count()
     share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("count"))
     chosen = labelled.join(F.broadcast(sizes.select("lang", share.alias("share"))), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    found = chosen.select("text", "lang").mapInArrow(_counts, "lang string, what string, key int, n bigint").groupBy("lang", "what", "key").agg(F.sum("n").alias("n")).toPandas()
+    found = chosen.select("text", "lang").mapInArrow(lean(_counts), "lang string, what string, key int, n bigint").groupBy("lang", "what", "key").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(found["lang"].unique())
     weights = np.full((BUCKETS, len(langs)), 0.5, dtype=np.float64)
     scripts = np.zeros((len(SCRIPTS) + 1, len(langs)))
@@ -219,7 +219,7 @@ def _label(m: Model, ids: pa.Array, items: list[str], penalty: float, with_spans
     n = len(items)
     parts, owners, starts, ends = [], [], [], []
     size = max(50_000, 4_000_000 // max(len(m.langs), 1))
-    for lo, hi in chunks(items, min(size, 1_000_000)):
+    for lo, hi in chunks(items, min(size, 500_000)):
         w = words_of(items[lo:hi])
         parts.append(_score(w, m))
         base = np.cumsum([0] + [len(x) + 1 for x in items[lo:hi]])
@@ -265,7 +265,7 @@ def identify(docs: DataFrame, labelled: DataFrame, penalty: float = SWITCH_PENAL
     """
     model = train(labelled)
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
-    return docs.select("doc_id", "text").mapInArrow(labeller(lambda: held.value, penalty, spans), SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(labeller(lambda: held.value, penalty, spans)), SCHEMA)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import decontaminate, jaccard_join, language, pii
-from furrow.llm.common import chunks, maybe_broadcast, ship, texts
+from furrow.llm.common import chunks, lean, maybe_broadcast, ship, texts
 
 #: Share of a document's letters that its language must hold.
 MIN_SHARE = 0.5
@@ -39,7 +39,7 @@ def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
                 keep &= out.column("score").to_numpy() >= min_share
                 yield _replaced(part, lang=out.column("lang_pred")).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def keep_first_of_group(docs: DataFrame) -> DataFrame:
@@ -65,11 +65,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for b in batches:
                 items = [decontaminate.normal(t) for t in texts(b)]
                 keep = np.ones(len(items), dtype=bool)
-                for lo, hi in chunks(items, 2_000_000):
+                for lo, hi in chunks(items, 500_000):
                     keep[[lo + hit[0] for hit in index.search(items[lo:hi])]] = False
                 yield b.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(lean(run), docs.schema)
     return out
 
 
@@ -89,4 +89,4 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
                 sizes = [len(t) if every else n for t, (_, every), n in zip(new, found, part.column("n_chars").to_pylist(), strict=True)]
                 yield _replaced(part, text=pa.array(new, pa.string()), n_chars=pa.array(sizes, pa.int64()))
 
-    return docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).mapInArrow(run, docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).schema)
+    return docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).mapInArrow(lean(run), docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).schema)
