@@ -8,10 +8,15 @@ lower for text closer to the target.
     p(w)     = (c(w) + 1/2) / (N + V/2)
     p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU)
 
-The vocabulary is the VOCABULARY - 2 most frequent words of all documents (ties
-in byte order), <unk> for all others and <s> before the first word. Its size is
-the model's parameter and bounds the tables that tasks hold; the counts are those
-of every word of every document.
+The vocabulary is every word of every document (V counts <unk> and <s> too), so the
+models grow with the corpus and no task holds one of them. Documents are read in
+chunks; a chunk sends its distinct words and bigrams with their counts, as hashes of
+64 bits, to buckets of the hash range, a bucket adds the counts of all chunks up and
+answers each chunk in the order of its question, and the chunk scores its documents
+with the answers. A common word or bigram is one entry of each chunk.
+
+train() and score() are the same models over the size - 2 most frequent words (ties in
+byte order) with <unk> for all others, as dense tables; op1_sql() is of that kind.
 
 Defined cases: null text counts as empty; a text without words has n_tokens 0 and
 scores 0. Without target documents the target model is uniform. A document that
@@ -22,21 +27,26 @@ and A-Z is lower-cased.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from hashlib import blake2b
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import byte_texts, maybe_broadcast, read_table, ship
+from furrow.llm.common import byte_texts, give_back, lean, materialise, maybe_broadcast, mix64, read_table, ship
 
 VOCABULARY = 2048
 MU = 100.0
 UNK, BOS = 0, 1
 _FLUSH = 200_000
+#: Entries of a bucket, about; their number follows the corpus.
+BUCKET_ENTRIES = 1_000_000
+CHUNK_BYTES = 8_000_000
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,15 +142,18 @@ class Models:
         self.vocab, self.background, self.target = vocab, background, target
 
 
+def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    marks = maybe_broadcast(target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]))
+    return docs.select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+
+
 def train(docs: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> Models:
     """Both models from docs (doc_id, text); target_ids (doc_id) are those of the target's documents."""
     spark = docs.sparkSession
     ship(spark)
     vocab = vocabulary(docs, size)
     held = spark.sparkContext.broadcast(vocab)
-    marks = maybe_broadcast(target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]))
-    marked = docs.select("doc_id", "text").join(marks, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    parts = marked.mapInArrow(_count_bigrams(lambda: held.value, size), "row int, col binary, background binary, target binary")
+    parts = _marked(docs, target_ids).mapInArrow(_count_bigrams(lambda: held.value, size), "row int, col binary, background binary, target binary")
     rows = parts.repartition("row").mapInArrow(_sum_rows(size), "row int, counts binary").collect()  # size rows of one length
     counts = np.zeros((2, size, size), dtype=np.int64)
     for r in rows:
@@ -169,9 +182,138 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def _pack(a: np.ndarray) -> bytes:
+    """Whole numbers from 0 up as compressed planes of bytes, without the high planes that are all zero."""
+    a = np.ascontiguousarray(a, dtype=np.uint64)
+    k = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([k]) + len(a).to_bytes(8) + pa.compress(a.view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    k, n = data[0], int.from_bytes(data[1:9])
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        out[:, :k] = np.frombuffer(pa.decompress(data[9:], k * n, "zstd"), np.uint8).reshape(k, n).T
+    return out.view(np.uint64).ravel()
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    return keys[:1].tobytes() + _pack(np.diff(keys)) if len(keys) else b""
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype=np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(data[:8], np.uint64), _unpack(data[8:])]), dtype=np.uint64)
+
+
+CHUNKS = "chunk bigint, doc_ids array<bigint>, sizes array<bigint>, targets array<boolean>, ids binary, hashes binary, entries bigint, tokens bigint, own_tokens bigint, starts bigint, own_starts bigint"
+
+
+def _read_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents in chunks: their words as ids of the chunk's own words, and the hashes of those."""
+    chunk = TaskContext.get().partitionId() << 32
+    for b in batches:
+        items, docs, target = byte_texts(b), b.column("doc_id").cast(pa.int64()), np.array(b.column("target").to_pylist(), dtype=bool)
+        for lo, hi in _parts(items, CHUNK_BYTES):
+            known: defaultdict[bytes, int] = defaultdict(count().__next__)
+            ids, sizes = [], []
+            for t in items[lo:hi]:
+                w = t.lower().split()
+                ids.append(np.fromiter(map(known.__getitem__, w), np.int64, len(w)))
+                sizes.append(len(w))
+            size, own = np.array(sizes), target[lo:hi]
+            hashes = b"".join(blake2b(w, digest_size=8).digest() for w in known)
+            sums = (len(known) + sum(sizes), sum(sizes), int(size[own].sum()), int((size > 0).sum()), int((size[own] > 0).sum()))
+            row = [[chunk], [docs.slice(lo, hi - lo).to_pylist()], [sizes], [own.tolist()], [_pack(np.concatenate(ids))], [hashes], *([x] for x in sums)]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], ["chunk", "doc_ids", "sizes", "targets", "ids", "hashes", "entries", "tokens", "own_tokens", "starts", "own_starts"])
+            chunk += 1
+
+
+class Chunk:
+    """Words and distinct bigrams of a row of CHUNKS, and the order in which they go to buckets; n stands for <s>."""
+
+    def __init__(self, row: dict):
+        self.sizes, self.ids = np.array(row["sizes"], dtype=np.int64), _unpack(row["ids"]).astype(np.int64)
+        words = np.frombuffer(row["hashes"], np.uint64)
+        self.n = n = len(words)
+        self.prev = np.concatenate([[n], self.ids[:-1]]) if len(self.ids) else self.ids
+        self.prev[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = n
+        code, self.gram = np.unique(self.prev * (n + 1) + self.ids, return_inverse=True)
+        self.v, self.w = code // (n + 1), code % (n + 1)
+        grams = mix64(mix64(np.append(words ^ np.uint64(0x9E3779B97F4A7C15), np.uint64(1)))[self.v] + words[self.w]) if n else words
+        self.word_order, self.gram_order = np.argsort(words), np.argsort(grams)
+        self.words, self.grams = words[self.word_order], grams[self.gram_order]
+
+
+def _ask(buckets: int):
+    """For each chunk and bucket the sorted hashes of its words and bigrams with counts of both models: of words as such and as contexts."""
+
+    def cuts(keys: np.ndarray) -> np.ndarray:
+        at = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        return np.searchsorted(at.astype(np.int64), np.arange(buckets + 1))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                row = b.slice(k, 1).to_pylist()[0]
+                c = Chunk(row)
+                own = np.repeat(np.array(row["targets"], dtype=bool), c.sizes)
+                word = np.stack([np.bincount(x, minlength=c.n + 1)[: c.n][c.word_order] for x in (c.ids, c.ids[own], c.prev, c.prev[own])])
+                gram = np.stack([np.bincount(x, minlength=len(c.v))[c.gram_order] for x in (c.gram, c.gram[own])])
+                cw, cg = cuts(c.words), cuts(c.grams)
+                out = [(_pack_sorted(c.words[i:j]), _pack(word[:, i:j].ravel()), _pack_sorted(c.grams[x:y]), _pack(gram[:, x:y].ravel())) for i, j, x, y in zip(cw, cw[1:], cg, cg[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array([row["chunk"]] * buckets, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out, strict=True))], ["bucket", "chunk", "words", "word_counts", "grams", "gram_counts"])
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """Counts over all chunks for what each chunk asked of one bucket, and the number of the bucket's words."""
+
+    def totals(keys: str, counts: str, models: int) -> tuple[list[bytes], int]:
+        asked = [_unpack_sorted(x.as_py()) for x in table.column(keys)]
+        given = np.concatenate([_unpack(x.as_py()).reshape(models, -1) for x in table.column(counts)], axis=1)
+        found, at = np.unique(np.concatenate(asked), return_inverse=True)
+        both = np.stack([np.bincount(at, weights=x, minlength=len(found)) for x in given]).astype(np.int64)
+        ends = np.cumsum([len(x) for x in asked])
+        return [_pack(both[:, at[e - len(x) : e]].ravel()) for x, e in zip(asked, ends, strict=True)], len(found)
+
+    word, n = totals("words", "word_counts", 4)
+    gram, _ = totals("grams", "gram_counts", 2)
+    give_back()
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "n_words": pa.array([n] * len(word), pa.int64()), "word_counts": pa.array(word, pa.binary()), "gram_counts": pa.array(gram, pa.binary())})
+
+
+def score_by_all_words(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Rows as of score(), with models of all words and bigrams of docs (doc_id, text); target_ids (doc_id) are those of the target's documents."""
+    chunks = materialise(_marked(docs, target_ids).mapInArrow(lean(_read_chunks), CHUNKS), "chunks")
+    entries, *sums = (x or 0 for x in chunks.agg(*(F.sum(c) for c in ("entries", "tokens", "own_tokens", "starts", "own_starts"))).first())
+    asked = chunks.select("chunk", "sizes", "targets", "ids", "hashes").mapInArrow(lean(_ask(entries // BUCKET_ENTRIES + 1)), "bucket int, chunk bigint, words binary, word_counts binary, grams binary, gram_counts binary")
+    answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk bigint, bucket int, n_words bigint, word_counts binary, gram_counts binary")
+
+    def run(chunk: pa.Table, answer: pa.Table) -> pa.Table:
+        row, answer = chunk.to_pylist()[0], answer.sort_by("bucket")
+        c, size = Chunk(row), sum(answer.column("n_words").to_pylist()) + 2
+        word, gram = np.zeros((4, c.n)), np.zeros((2, len(c.v)))
+        word[:, c.word_order] = np.concatenate([_unpack(x.as_py()).reshape(4, -1) for x in answer.column("word_counts")], axis=1)
+        gram[:, c.gram_order] = np.concatenate([_unpack(x.as_py()).reshape(2, -1) for x in answer.column("gram_counts")], axis=1)
+        owner, means = np.repeat(np.arange(len(c.sizes)), c.sizes), []
+        for k in (1, 0):
+            p = (word[k] + 0.5) / (sums[k] + 0.5 * size)
+            context = np.append(word[2 + k], sums[2 + k])
+            loss = -np.log((gram[k] + MU * p[c.w]) / (context[c.v] + MU))
+            means.append(np.bincount(owner, weights=loss[c.gram], minlength=len(c.sizes)) / np.maximum(c.sizes, 1))
+        give_back()
+        return pa.table({"doc_id": pa.array(row["doc_ids"], pa.int64()), "n_tokens": c.sizes, "ce_target": means[0], "ce_background": means[1], "score": means[0] - means[1]})
+
+    return chunks.select("chunk", "doc_ids", "sizes", "ids", "hashes").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, SCHEMA)
+
+
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    out = score(docs, train(docs, labels.where("quality = 1").select("doc_id")))
+    out = score_by_all_words(docs, labels.where("quality = 1").select("doc_id"))
     return out.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("ce_target", "ce_background", "score")))
 
 
