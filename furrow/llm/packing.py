@@ -4,11 +4,11 @@ The global histogram of lengths goes through a dynamic programme that chooses
 the bucket boundaries with the least padding; inside each bucket, documents fill
 batches up to a budget of padded tokens.
 
-The histogram has at most MAX_BINS lengths: when there are more, lengths are
-rounded up to a power of two's multiples first, and the optimum is that of the
-rounded lengths. Documents get dense positions inside a bucket without one task
-seeing the bucket: a bucket is dealt into slots by hash, the (few) slot sizes are
-summed up, and a document's place is its slot's offset plus its place there.
+The histogram has every distinct length, so the optimum is exact; there are at most
+about the square root of twice the tokens of all documents. Documents get dense
+positions inside a bucket without one task seeing the bucket: a bucket is dealt into
+slots by hash, the (few) slot sizes are summed up, and a document's place is its
+slot's offset plus its place there.
 
 Defined cases: null text counts as empty; an empty text has length 0 and goes to
 the first bucket; a document longer than the budget is a batch of its own; equal
@@ -28,7 +28,6 @@ from furrow.llm.common import materialise, read_table
 BUCKETS = 8
 #: Padded tokens of a batch.
 TOKEN_BUDGET = 65_536
-MAX_BINS = 8192
 SLOT_DOCS = 20_000
 
 
@@ -82,12 +81,7 @@ def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS,
     spark = docs.sparkSession
     length = word_count(F.col("text")) if length is None else length
     sized = materialise(docs.select("doc_id", length.alias("n_tokens")), "lengths")
-    top = sized.agg(F.max("n_tokens")).first()[0] or 0
-    step = 1
-    while top // step + 1 > MAX_BINS:
-        step *= 2
-    rounded = (F.ceil(F.col("n_tokens") / step) * step).cast("bigint")
-    hist = sorted((r.len, r.n) for r in sized.groupBy(rounded.alias("len")).agg(F.count("*").alias("n")).collect())  # MAX_BINS rows at most
+    hist = sorted((r.n_tokens, r.n) for r in sized.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())  # distinct lengths, two numbers each
     if not hist:
         return spark.createDataFrame([], "doc_id bigint, n_tokens bigint, bucket int, bucket_len bigint, batch bigint, place int")
     bounds = boundaries([x for x, _ in hist], [n for _, n in hist], buckets)
@@ -95,7 +89,7 @@ def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS,
     for x, n in hist:
         docs_in[int(np.searchsorted(bounds, x))] += n
     table = spark.createDataFrame([(k, b, max(1, budget // max(b, 1)), -(-c // SLOT_DOCS)) for k, (b, c) in enumerate(zip(bounds, docs_in, strict=True))], "bucket int, bucket_len bigint, cap bigint, slots int")
-    bucket = sum(((rounded > b).cast("int") for b in bounds[:-1]), F.lit(0))
+    bucket = sum(((F.col("n_tokens") > b).cast("int") for b in bounds[:-1]), F.lit(0))
     placed = sized.withColumn("bucket", bucket).join(F.broadcast(table), "bucket").withColumn("slot", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.col("slots")).cast("int"))
     totals = placed.groupBy("bucket", "slot").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
