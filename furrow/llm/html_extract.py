@@ -35,6 +35,8 @@ from furrow.llm.common import read_table, ship, texts
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe noembed noframes svg math object canvas audio video".split())
 GONE = RAW | frozenset("head title textarea select option datalist button".split())
+#: What may stand in a head; any other start tag or text closes it.
+IN_HEAD = frozenset("head title base link meta style script noscript template basefont bgsound noframes html".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark meter nobr output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
 #: What a start tag closes, and where the search for it stops.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd tr td th".split())
@@ -119,10 +121,17 @@ class Page:
             node = stack[k - 1][1] if k else 0
             del stack[k:]
 
+        def end_head() -> None:
+            """Close an open head, unless something is open inside it."""
+            if stack and stack[-1][0] == "head":
+                pop_to(next(k for k, (tag, _) in enumerate(stack) if tag == "head"))
+
         while pos < n:
             lt = s.find("<", pos)
             if lt < 0:
                 lt = n
+            if gone and s[pos:lt].strip(" \t\n\f\r"):
+                end_head()
             if lt > pos and not gone:
                 runs.append((node, self.blocks, link > 0, s[pos:lt]))
             if lt == n:
@@ -142,6 +151,8 @@ class Page:
                     end = s.find(">", lt)
                     pos = n if end < 0 else end + 1
                 else:
+                    if gone:
+                        end_head()
                     if not gone:
                         runs.append((node, self.blocks, link > 0, "<"))
                     pos = lt + 1
@@ -156,6 +167,8 @@ class Page:
                     if tag in INLINE and stack[k][0] not in INLINE:
                         break
                 continue
+            if gone and tag not in IN_HEAD:
+                end_head()
             if tag in VOID:
                 if tag == "br" or tag == "hr":
                     self.blocks += 1
