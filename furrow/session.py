@@ -1,9 +1,15 @@
-"""A session with the settings that the engine expects."""
+"""A session with the settings that the engine expects, and the package for its workers."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def builder(app: str = "furrow") -> SparkSession.Builder:
     """UTC, adaptive execution with skew handling; sizes are left to the cluster's settings."""
@@ -14,3 +20,17 @@ def builder(app: str = "furrow") -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to Python workers, once for each application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="furrow-")) / "furrow.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted([*root.rglob("*.py"), *root.rglob("*.tsv"), *root.rglob("*.csv")]):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
