@@ -5,15 +5,16 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furrow.session import ship
+
 #: Rows up to which a side is broadcast; beyond it the join is left to shuffle.
 BROADCAST_ROWS = 200_000
 #: Code points handled at once by the numpy parts of an operator.
@@ -22,46 +23,49 @@ CHUNK_CHARS = 1_000_000
 BITMAP_BITS = 1 << 26
 
 _own_dir: dict[str, str] = {}
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to Python workers, once for each application: they need not have it installed."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="furrow-")) / "furrow.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(target))
-    _shipped.add(context.applicationId)
+_tables: list[DataFrame] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or a local one where that is unset (tests, local mode)."""
+    """The folder in spark.checkpoint.dir, or a local one where that is unset and the driver is the only machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         key = spark.sparkContext.applicationId
         path = _own_dir.setdefault(key, _own_dir.get(key) or tempfile.mkdtemp(prefix="furrow-"))
     return path.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: lineage ends there."""
+    """Write df as a Parquet table in the shared folder and read it back: lineage ends there.
+
+    Tables stand in a folder of the application, so whatever a lazy result still reads at its end can be removed with that.
+    """
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/furrow-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._furrow_path = path
+    _tables.append(out)
     return out
 
 
+@contextmanager
+def tidy() -> Iterator[list[DataFrame]]:
+    """Delete the tables that materialise() makes inside the block, but for those put into the list that it gives."""
+    at, kept = len(_tables), []
+    try:
+        yield kept
+    finally:
+        discard(*(t for t in _tables[at:] if not any(t is k for k in kept)))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of materialise() that nothing reads any more."""
     for df in tables:
+        _tables[:] = [t for t in _tables if t is not df]
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df._furrow_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,24 +13,26 @@ models grow with the corpus and no task holds one of them. Documents are read in
 chunks; a chunk sends its distinct words and bigrams with their counts, as hashes of
 64 bits, to buckets of the hash range, a bucket adds the counts of all chunks up and
 answers each chunk in the order of its question, and the chunk scores its documents
-with the answers. A common word or bigram is one entry of each chunk.
+with the answers. A common word or bigram is one entry of each chunk; a chunk sends
+nothing to buckets that it has no entry for, so what is sent is at most the entries.
 
-train() and score() are the same models over the size - 2 most frequent words (ties in
-byte order) with <unk> for all others, as dense tables; op1_sql() is of that kind.
+Documents of the target are scored by a model that has counted them, as all documents
+are by that of the background.
 
 Defined cases: null text counts as empty; a text without words has n_tokens 0 and
 scores 0. Without target documents the target model is uniform. A document that
-is labelled more than once counts once. Repeated rows each get a score; other
-columns are ignored; whole texts are read. Words are split at ASCII white space
-and A-Z is lower-cased.
+is labelled more than once counts once; a null id is in no target. Repeated rows
+each count and each get a score; other columns are ignored; whole texts are read.
+Nothing is ranked, so there are no ties. An empty table gives no rows. Words are
+split at ASCII white space and A-Z is lower-cased.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
-from itertools import count, repeat
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -38,49 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import byte_texts, give_back, lean, materialise, maybe_broadcast, mix64, read_table, ship
+from furrow.llm.common import byte_texts, give_back, lean, materialise, maybe_broadcast, mix64, read_table
 
-VOCABULARY = 2048
 MU = 100.0
-UNK, BOS = 0, 1
-_FLUSH = 200_000
 #: Entries of a bucket, about; their number follows the corpus.
 BUCKET_ENTRIES = 1_000_000
 CHUNK_BYTES = 8_000_000
 
 
-def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()).cast(pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-
-    for b in batches:
-        for t in byte_texts(b):
-            seen.update(t.lower().split())
-            if len(seen) > _FLUSH:
-                yield out()
-                seen.clear()
-    yield out()
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> dict[bytes, int]:
-    """Ids of the most frequent words of docs, from 2."""
-    words = docs.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "word").limit(size - 2).collect()
-    return {r.word.encode(): k for k, r in enumerate(top, 2)}
-
-
-def _codes(items: list[bytes], vocab: dict[bytes, int], v: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram codes of all words of items, and the number of words of each item."""
-    split = [t.lower().split() for t in items]
-    size = np.fromiter(map(len, split), np.int64, len(split))
-    ids = np.concatenate([np.fromiter(map(vocab.get, w, repeat(UNK)), np.int64, len(w)) for w in split]) if len(split) else np.zeros(0, np.int64)
-    prev = np.concatenate([[BOS], ids[:-1]]) if len(ids) else ids
-    prev[(np.cumsum(size) - size)[size > 0]] = BOS
-    return prev * v + ids, size
-
-
 def _parts(items: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int, int]]:
     lo, total = 0, 0
     for i, t in enumerate(items):
@@ -92,96 +59,14 @@ def _parts(items: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int, int
         yield lo, len(items)
 
 
-def _count_bigrams(get, v: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = get()
-        both = np.zeros((2, v * v), dtype=np.int64)
-        for b in batches:
-            items, target = byte_texts(b), np.array(b.column("target").to_pylist(), dtype=bool)
-            for lo, hi in _parts(items):
-                code, size = _codes(items[lo:hi], vocab, v)
-                both[0] += np.bincount(code, minlength=v * v)
-                own = code[np.repeat(target[lo:hi], size)]
-                if len(own):
-                    both[1] += np.bincount(own, minlength=v * v)
-        both = both.reshape(2, v, v)
-        for row in np.flatnonzero(both[0].any(1)):
-            col = np.flatnonzero(both[0, row])
-            yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (col.astype(np.int32), both[0, row, col], both[1, row, col]))], ["row", "col", "background", "target"])
-
-    return run
-
-
-def _sum_rows(v: int):
-    """Add up the parts of each row of the tables as they stream by."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for row, col, n0, n1 in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                into = sums.setdefault(row, np.zeros((2, v), dtype=np.int64))
-                into[:, np.frombuffer(col, np.int32)] += np.stack([np.frombuffer(n0, np.int64), np.frombuffer(n1, np.int64)])
-        for row, x in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["row", "counts"])
-
-    return run
-
-
-def losses(counts: np.ndarray, mu: float = MU) -> np.ndarray:
-    """Negative log probabilities p(w | v) from a table of bigram counts [v, w]."""
-    v = len(counts)
-    uni = counts.sum(0).astype(np.float64)
-    p1 = (uni + 0.5) / (uni.sum() + 0.5 * v)
-    return -np.log((counts + mu * p1) / (counts.sum(1, keepdims=True) + mu))
-
-
-class Models:
-    """Vocabulary and losses of both models."""
-
-    def __init__(self, vocab: dict[bytes, int], background: np.ndarray, target: np.ndarray):
-        self.vocab, self.background, self.target = vocab, background, target
-
-
 def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     marks = maybe_broadcast(target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]))
     return docs.select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
 
-def train(docs: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> Models:
-    """Both models from docs (doc_id, text); target_ids (doc_id) are those of the target's documents."""
-    spark = docs.sparkSession
-    ship(spark)
-    vocab = vocabulary(docs, size)
-    held = spark.sparkContext.broadcast(vocab)
-    parts = _marked(docs, target_ids).mapInArrow(_count_bigrams(lambda: held.value, size), "row int, col binary, background binary, target binary")
-    rows = parts.repartition("row").mapInArrow(_sum_rows(size), "row int, counts binary").collect()  # size rows of one length
-    counts = np.zeros((2, size, size), dtype=np.int64)
-    for r in rows:
-        counts[:, r.row] = np.frombuffer(r.counts, np.int64).reshape(2, size)
-    return Models(vocab, losses(counts[0]), losses(counts[1]))
-
-
 SCHEMA = "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double"
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """Mean losses per word of every document under both models, and their difference."""
-    held = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        v = len(m.background)
-        for b in batches:
-            items, ids = byte_texts(b), b.column("doc_id").cast(pa.int64())
-            for lo, hi in _parts(items):
-                code, size = _codes(items[lo:hi], m.vocab, v)
-                owner = np.repeat(np.arange(hi - lo), size)
-                t, g = (np.bincount(owner, weights=x.ravel()[code], minlength=hi - lo) / np.maximum(size, 1) for x in (m.target, m.background))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(size), pa.array(t), pa.array(g), pa.array(t - g)], ["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
-
-
 def _pack(a: np.ndarray) -> bytes:
     """Whole numbers from 0 up as compressed planes of bytes, without the high planes that are all zero."""
     a = np.ascontiguousarray(a, dtype=np.uint64)
@@ -263,42 +148,50 @@ def _ask(buckets: int):
                 word = np.stack([np.bincount(x, minlength=c.n + 1)[: c.n][c.word_order] for x in (c.ids, c.ids[own], c.prev, c.prev[own])])
                 gram = np.stack([np.bincount(x, minlength=len(c.v))[c.gram_order] for x in (c.gram, c.gram[own])])
                 cw, cg = cuts(c.words), cuts(c.grams)
-                out = [(_pack_sorted(c.words[i:j]), _pack(word[:, i:j].ravel()), _pack_sorted(c.grams[x:y]), _pack(gram[:, x:y].ravel())) for i, j, x, y in zip(cw, cw[1:], cg, cg[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array([row["chunk"]] * buckets, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out, strict=True))], ["bucket", "chunk", "words", "word_counts", "grams", "gram_counts"])
+                own = np.flatnonzero((np.diff(cw) > 0) | (np.diff(cg) > 0))
+                if len(own):
+                    out = [(_pack_sorted(c.words[i:j]), _pack(word[:, i:j].ravel()), _pack_sorted(c.grams[x:y]), _pack(gram[:, x:y].ravel())) for i, j, x, y in zip(cw[own], cw[own + 1], cg[own], cg[own + 1], strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array([row["chunk"]] * len(own), pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out, strict=True))], ["bucket", "chunk", "words", "word_counts", "grams", "gram_counts"])
 
     return run
 
 
+def _distinct_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for x in b.column("hashes").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64))], ["word"])
+
+
 def _answer(table: pa.Table) -> pa.Table:
-    """Counts over all chunks for what each chunk asked of one bucket, and the number of the bucket's words."""
+    """Counts over all chunks for what each chunk asked of one bucket."""
 
-    def totals(keys: str, counts: str, models: int) -> tuple[list[bytes], int]:
+    def totals(keys: str, counts: str, models: int) -> list[bytes]:
         asked = [_unpack_sorted(x.as_py()) for x in table.column(keys)]
         given = np.concatenate([_unpack(x.as_py()).reshape(models, -1) for x in table.column(counts)], axis=1)
         found, at = np.unique(np.concatenate(asked), return_inverse=True)
         both = np.stack([np.bincount(at, weights=x, minlength=len(found)) for x in given]).astype(np.int64)
         ends = np.cumsum([len(x) for x in asked])
-        return [_pack(both[:, at[e - len(x) : e]].ravel()) for x, e in zip(asked, ends, strict=True)], len(found)
+        return [_pack(both[:, at[e - len(x) : e]].ravel()) for x, e in zip(asked, ends, strict=True)]
 
-    word, n = totals("words", "word_counts", 4)
-    gram, _ = totals("grams", "gram_counts", 2)
+    word, gram = totals("words", "word_counts", 4), totals("grams", "gram_counts", 2)
     give_back()
-    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "n_words": pa.array([n] * len(word), pa.int64()), "word_counts": pa.array(word, pa.binary()), "gram_counts": pa.array(gram, pa.binary())})
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "word_counts": pa.array(word, pa.binary()), "gram_counts": pa.array(gram, pa.binary())})
 
 
-def score_by_all_words(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """Rows as of score(), with models of all words and bigrams of docs (doc_id, text); target_ids (doc_id) are those of the target's documents."""
+def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Mean losses per word of every document of docs (doc_id, text) under both models, and their difference; target_ids (doc_id) are those of the target's documents."""
     chunks = materialise(_marked(docs, target_ids).mapInArrow(lean(_read_chunks), CHUNKS), "chunks")
     entries, *sums = (x or 0 for x in chunks.agg(*(F.sum(c) for c in ("entries", "tokens", "own_tokens", "starts", "own_starts"))).first())
     asked = chunks.select("chunk", "sizes", "targets", "ids", "hashes").mapInArrow(lean(_ask(entries // BUCKET_ENTRIES + 1)), "bucket int, chunk bigint, words binary, word_counts binary, grams binary, gram_counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk bigint, bucket int, n_words bigint, word_counts binary, gram_counts binary")
+    size = chunks.select("hashes").mapInArrow(lean(_distinct_words), "word bigint").distinct().count() + 2
+    answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk bigint, bucket int, word_counts binary, gram_counts binary")
 
     def run(chunk: pa.Table, answer: pa.Table) -> pa.Table:
         row, answer = chunk.to_pylist()[0], answer.sort_by("bucket")
-        c, size = Chunk(row), sum(answer.column("n_words").to_pylist()) + 2
+        c = Chunk(row)
         word, gram = np.zeros((4, c.n)), np.zeros((2, len(c.v)))
-        word[:, c.word_order] = np.concatenate([_unpack(x.as_py()).reshape(4, -1) for x in answer.column("word_counts")], axis=1)
-        gram[:, c.gram_order] = np.concatenate([_unpack(x.as_py()).reshape(2, -1) for x in answer.column("gram_counts")], axis=1)
+        word[:, c.word_order] = np.concatenate([np.zeros((4, 0)), *(_unpack(x.as_py()).reshape(4, -1) for x in answer.column("word_counts"))], axis=1)
+        gram[:, c.gram_order] = np.concatenate([np.zeros((2, 0)), *(_unpack(x.as_py()).reshape(2, -1) for x in answer.column("gram_counts"))], axis=1)
         owner, means = np.repeat(np.arange(len(c.sizes)), c.sizes), []
         for k in (1, 0):
             p = (word[k] + 0.5) / (sums[k] + 0.5 * size)
@@ -313,19 +206,19 @@ def score_by_all_words(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    out = score_by_all_words(docs, labels.where("quality = 1").select("doc_id"))
+    out = score(docs, labels.where("quality = 1").select("doc_id"))
     return out.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("ce_target", "ce_background", "score")))
 
 
 def op1_sql() -> str:
+    """The same in SQL: both models over every word."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    v = VOCABULARY
 
     def model(name: str, source: str) -> str:
         return f"""
     {name}_n AS (SELECT count(*) AS n FROM {source}),
     {name}_u AS (SELECT w, count(*) AS c FROM {source} GROUP BY w),
-    {name}_p AS (SELECT ids.w, (coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * {v}) AS p FROM ids CROSS JOIN {name}_n LEFT JOIN {name}_u USING (w)),
+    {name}_p AS (SELECT ids.w, (coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * v) AS p FROM ids CROSS JOIN {name}_n CROSS JOIN size LEFT JOIN {name}_u USING (w)),
     {name}_v AS (SELECT v, count(*) AS cv FROM {source} GROUP BY v),
     {name}_b AS (SELECT v, w, count(*) AS cvw FROM {source} GROUP BY v, w)"""
 
@@ -338,13 +231,11 @@ def op1_sql() -> str:
         SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
         FROM documents),
     tok AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM raw),
-    freq AS (SELECT word, count(*) AS n FROM tok GROUP BY word),
-    vocab AS (SELECT word FROM freq ORDER BY n DESC, word LIMIT {v - 2}),
-    coded AS (SELECT doc_id, pos, coalesce(vocab.word, '<unk> ') AS w FROM tok LEFT JOIN vocab USING (word)),
-    grams AS (SELECT doc_id, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY pos), '<s> ') AS v FROM coded),
+    grams AS (SELECT doc_id, word AS w, coalesce(lag(word) OVER (PARTITION BY doc_id ORDER BY pos), '<s> ') AS v FROM tok),
     good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
     tgrams AS (SELECT grams.* FROM grams SEMI JOIN good USING (doc_id)),
-    ids AS (SELECT DISTINCT w FROM coded),{model("t", "tgrams")},{model("b", "grams")},
+    ids AS (SELECT DISTINCT word AS w FROM tok),
+    size AS (SELECT count(*) + 2 AS v FROM ids),{model("t", "tgrams")},{model("b", "grams")},
     each AS (SELECT g.doc_id, {loss("t")} AS lt, {loss("b")} AS lb FROM grams g {joins}),
     sums AS (SELECT doc_id, count(*) AS n, avg(lt) AS t, avg(lb) AS b FROM each GROUP BY doc_id)
     SELECT raw.doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(coalesce(t, 0), 6) AS ce_target, round(coalesce(b, 0), 6) AS ce_background, round(coalesce(t - b, 0), 6) AS score
