@@ -283,26 +283,59 @@ def test_html_pages(spark, small):
         assert x.text == " ".join(" ".join(html.unescape(b).split()) for b in body if b.strip())
 
 
-def test_license_dice_against_brute_force(spark):
+def plain_licenses(text):
+    """Every window of every template, one by one, from the definition."""
+    w = licenses.template_words(text)
+    grams, good = list(itertools.pairwise(w)), []
+    for name, t in licenses.TEMPLATES.items():
+        tw = licenses.template_words(t)
+        b = set(itertools.pairwise(tw))
+        if sum(g in b for g in set(grams)) * (2 - licenses.THRESHOLD) < licenses.THRESHOLD * len(b) - 1e-9:
+            continue
+        own = []
+        for p in [k for k, g in enumerate(grams) if g in b]:
+            for length in {max(1, int((len(tw) - 1) * x + 0.5)) for x in licenses.LENGTHS}:
+                win = grams[p : p + length]
+                at = [k for k, g in enumerate(win) if g in b]
+                both = len({win[k] for k in at})
+                dice = 2.0 * both / (both + len(win) - len(at) + len(b))
+                if dice >= licenses.THRESHOLD:
+                    own.append((-dice, p, length, p + at[-1], len(b), name))
+        good += [x for x in own if not any(2 * abs(y[1] - x[1]) <= len(b) and y[:3] < x[:3] for y in own)]
+    wins, over = collections.Counter(), collections.defaultdict(list)
+    for d, p, _, last, size, name in good:
+        for k in range(p, last + 1):
+            over[k].append((d, -size, name, p, last))
+    for x in over.values():
+        wins[min(x)] += 1
+    return {(name, p, last + 2, -d) for (d, _, name, p, last), n in wins.items() if 2 * n >= last - p + 1}
+
+
+def test_licenses_against_brute_force(spark):
+    """Whole and edited licences, in running lines and between lines of code; two texts under one id and under null."""
     r = random.Random(8)
-    lines = []
+    rows = []
     for k, t in enumerate(licenses.TEMPLATES.values()):
         w = t.split()
-        for _ in range(6):
+        for j in range(4):
             v = list(w)
-            for _ in range(r.randint(0, 2)):
-                v[r.randrange(len(v))] = "zzz"
-            lines.append(" ".join(v) + " extra" * r.randint(0, 2))
-    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    got = {x.doc_id: (x.license, x.dice) for x in licenses.scan(df).collect()}
-    grams = lambda t: {(a, b) for a, b in itertools.pairwise(licenses.template_words(t))}
-    want = {}
-    for i, line in enumerate(lines):
-        a = grams(line)
-        d, name = min((-2 * len(a & grams(t)) / (len(a) + len(grams(t))), n) for n, t in licenses.TEMPLATES.items())
-        if -d >= licenses.THRESHOLD:
-            want[i] = (name, -d)
-    assert got == want
+            for _ in range(j * len(w) // 20):
+                v[r.randrange(len(v))] = r.choice(["zzz", "the"])
+            at = r.randrange(len(v))
+            v[at:at] = ["inserted"] * r.choice([0, 0, 1, len(w) // 6])
+            rows.append((1000 if j == 1 else None if j == 2 else k * 10 + j, words(r, 30) + "\n\n" + " ".join(v).replace(". ", ".\n\n") + " " + words(r, 9)))
+    code = "\n".join(f"let v{i} = call_{i}(a, b);" for i in range(60))
+    text = licenses.TEMPLATES["MIT text"].replace(". ", ".\n\n")
+    rows += [(5000, f"Copyright me\n\n{text}\n{code}"), (5001, "This library is free to use. Released under the MIT License. See docs for more."), (5002, code)]
+    half = licenses.TEMPLATES["GPL-3.0 reference"].split()
+    for i in (7, None):
+        rows += [(i, " ".join(half[:6])), (i, " ".join(half[6:]))]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    got = sorted((str(x.doc_id), x.license, x.start_word, x.end_word, x.dice) for x in licenses.scan(df).collect())
+    assert got == sorted((str(i), *x) for i, t in rows for x in plain_licenses(t))
+    assert {x[1] for x in got if x[0] == "5000"} == {"MIT text"}
+    assert {x[1] for x in got if x[0] == "5001"} == {"MIT reference"}
+    assert not [x for x in got if x[0] in ("5002", "7")]
 
 
 @settings(max_examples=60, deadline=None)

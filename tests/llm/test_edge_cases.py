@@ -93,10 +93,12 @@ def test_html(spark):
 
 def test_licenses(spark, docs, none):
     mit = licenses.TEMPLATES["MIT text"]
-    rows = [(1, "abc\nReleased under the MIT License.\nmore", 0), (1, "abc\nReleased under the MIT License.\nmore", 0), (2, None, 0), (3, "", 0), (4, "x\n" + mit + "\ny", 0), (5, mit.replace(". ", ".\n\n"), 0), (None, "Released under the MIT License", 0)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, license int").withColumn("dice", F.lit("clash"))
-    got = {(r.doc_id, r.unit, r.license) for r in licenses.scan(df).collect()}
-    assert {(1, "line", "MIT reference"), (4, "line", "MIT text"), (5, "text", "MIT text"), (None, "line", "MIT reference")} <= got
+    rows = [(1, "abc\nReleased under the MIT License.\nmore", 0), (1, "abc\nReleased under the MIT License.\nmore", 0), (2, None, 0), (3, "", 0), (4, "x\n" + mit + "\ny", 0), (5, mit.replace(". ", ".\n\n"), 0), (None, "Released under the MIT License", 0), (6, "word", 0), (7, ("no " * 50 + "Released under the MIT License. ") * 2000, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license int").withColumn("dice", F.lit("clash")).withColumn("row", F.lit(0))
+    got = [(r.doc_id, r.license, r.start_word) for r in licenses.scan(df).collect()]
+    assert sorted(x for x in got if x[0] != 7 and x[0]) == [(1, "MIT reference", 1), (4, "MIT text", 1), (5, "MIT text", 0)]
+    assert [x for x in got if x[0] is None] == [(None, "MIT reference", 0)]
+    assert len({x for x in got if x[0] == 7}) == 2000
     assert licenses.scan(none).count() == 0
     assert licenses.scan(docs).count() == 0
 
