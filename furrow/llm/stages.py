@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import decontaminate, jaccard_join, language, pii
-from furrow.llm.common import chunks, lean, maybe_broadcast, ship, texts
+from furrow.llm.common import chunks, lean, materialise, maybe_broadcast, ship, texts
 
 #: Share of a document's letters that its language must hold.
 MIN_SHARE = 0.5
@@ -56,9 +56,13 @@ def keep_first_of_group(docs: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without any passage of benchmark."""
+    """Documents without any passage of benchmark, with all their columns.
+
+    Null and empty texts hold none and stay; whole texts are read; repeated rows stay or go together.
+    Without passages every row stays; no rows give none.
+    """
     out = docs
-    for held in decontaminate.passage_blocks(benchmark):
+    for held, only in decontaminate.passage_blocks(benchmark):
 
         def run(batches: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = decontaminate.Index(held.value)
@@ -66,10 +70,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 items = [decontaminate.normal(t) for t in texts(b)]
                 keep = np.ones(len(items), dtype=bool)
                 for lo, hi in chunks(items, 500_000):
-                    keep[[lo + hit[0] for hit in index.search(items[lo:hi])]] = False
+                    keep[[lo + hit[0] for hit in index.search(items[lo:hi], all_places=False)]] = False
                 yield b.filter(pa.array(keep))
 
         out = out.mapInArrow(lean(run), docs.schema)
+        if not only:
+            out = materialise(out, "clean")
     return out
 
 

@@ -206,23 +206,110 @@ def test_passages_against_brute_force(spark):
     assert {(x.doc_id, x.item_id) for x in found.collect()} == truth
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="abc", min_size=1, max_size=12), st.text(alphabet="abc", max_size=20), st.integers(0, 4))
-def test_alignment_is_the_least_edit_distance(passage, text, budget):
-    def edits(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row, old = [i], row
-            for j, y in enumerate(b, 1):
-                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
-        return row[-1]
-
-    best = min(edits(passage, text[i:j]) for i in range(len(text) + 1) for j in range(i, len(text) + 1))
-    code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
-    got = decontaminate.align(code(passage), code(text), budget)
-    assert (got is None) == (best > budget)
-    if got:
-        assert got[2] == best == edits(passage, text[got[0] : got[1]])
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def codes(t):
+    return np.array([ord(c) for c in t], dtype=np.uint32)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abc", min_size=1, max_size=12), st.text(alphabet="abc", max_size=20)), min_size=1, max_size=4), st.integers(0, 4), st.booleans())
+def test_alignment_is_the_least_edit_distance(pairs, budget, backward):
+    """Several passages side by side, each against its own text, in a band that holds all of it."""
+    code = codes("".join(t for _, t in pairs) + "z")
+    base = np.cumsum([0] + [len(t) for _, t in pairs])
+    first = np.array([lo - len(p) for (p, _), lo in zip(pairs, base, strict=False)])
+    wide = max(len(t) + 2 * len(p) for p, t in pairs) + 1
+    many = lambda x: np.full(len(pairs), x)
+    got = decontaminate.align([codes(p) for p, _ in pairs], code, first, wide, base[:-1], base[1:], many(budget), many(True) if backward else None)
+    for (p, t), lo, (e, start, end) in zip(pairs, base.tolist(), got.tolist(), strict=False):
+        best = min(edits(p, t[i:j]) for i in range(len(t) + 1) for j in range(i, len(t) + 1))
+        assert e == (best if best <= budget else -1)
+        if e >= 0 and not backward:
+            inside = code[max(start, lo) : max(min(end, lo + len(t)), max(start, lo))]
+            assert edits(p, "".join(map(chr, inside))) <= e + max(0, lo - start) + max(0, end - lo - len(t))
+
+
+def near(p, t, budget):
+    """Sellers' algorithm: whether some stretch of t is within budget edits of p."""
+    row = np.zeros(len(t) + 1, dtype=int)
+    c = codes(t)
+    for x in p:
+        new = np.concatenate([[row[0] + 1], np.minimum(row[:-1] + (c != ord(x)), row[1:] + 1)])
+        row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+    return row.min() <= budget
+
+
+def test_all_pairs_of_passages_and_texts(spark, monkeypatch):
+    """Short, shared and edited passages of 3 to 900 characters against every text, counted and aligned in small slices."""
+    monkeypatch.setattr(decontaminate, "POSTINGS", 50)
+    monkeypatch.setattr(decontaminate, "CELLS", 3000)
+    r = random.Random(15)
+    head = "which of the following statements about abcd is"
+    items = [f"{head} {words(r, r.randint(1, 8))}" for _ in range(25)] + [words(r, n) for n in (1, 2, 3, 4, 6, 9, 100, 180)] + ["abcd", "ab ab ab ab ab ab ab ab ab ab", "."]
+    docs = []
+    for k in range(70):
+        body = [words(r, r.randint(0, 20))]
+        for _ in range(k % 4):
+            t = list(r.choice(items))
+            for _ in range(int(r.choice([0, 0.02, 0.06, 0.09]) * len(t))):
+                how, at = r.random(), r.randrange(len(t))
+                t[at : at + (how < 0.7)] = [] if how < 0.2 else [r.choice("abxy")]
+            body += ["".join(t), words(r, r.randint(0, 5))]
+        docs.append(" ".join(body))
+    docs += [f"{head} {head} {head}", "", "x"]
+    index = decontaminate.Index(list(enumerate(items)))
+    got = index.search([decontaminate.normal(t) for t in docs])
+    want = set()
+    for d, t in enumerate(docs):
+        t = decontaminate.normal(t)
+        for i, p in enumerate(items):
+            m = len(p)
+            if m < decontaminate.Q:
+                if re.search(rf"(?<![a-z0-9]){re.escape(p)}(?![a-z0-9])", t):
+                    want.add((d, i))
+            elif near(p, t, min(int(decontaminate.EDIT_RATE * m), (m - decontaminate.Q) // decontaminate.Q)):
+                want.add((d, i))
+    assert {(d, i) for d, i, *_ in got} == want
+    for d, i, start, end, e in got:
+        assert edits(items[i], decontaminate.normal(docs[d])[start:end]) == e
+    assert {d for d, *_ in index.search([decontaminate.normal(t) for t in docs], all_places=False)} == {d for d, _ in want}
+
+
+def test_every_place_and_blocks_of_passages(spark):
+    r = random.Random(16)
+    items = [(i, words(r, 20)) for i in range(12)]
+    text = " ".join([words(r, 9), items[3][1], words(r, 4), items[3][1], items[5][1]])
+    df, bench = spark.createDataFrame([(1, text), (2, words(r, 50))], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, decontaminate.find_passages(df, bench).collect()))
+    assert [(d, i) for d, i, *_ in one] == [(1, 3), (1, 3), (1, 5)]
+    assert sorted(map(tuple, decontaminate.find_passages(df, bench, block_chars=300).collect())) == one
+
+
+def test_a_shared_head_is_no_burden():
+    """8,000 passages with one head, and a text that holds the head 30 times: seconds and bounded memory."""
+    import time
+    import tracemalloc
+
+    r = random.Random(17)
+    head = "which of the following statements about the passage above is right and"[:70]
+    items = [(i, f"{head} {words(r, 6)}") for i in range(8000)]
+    text = " ".join(f"{head} {words(r, 28)}" for _ in range(30)) + " " + items[77][1]
+    index = decontaminate.Index(items)
+    tracemalloc.start()
+    began = time.time()
+    got = index.search([decontaminate.normal(text)])
+    assert {i for _, i, *_ in got} == {77}
+    assert time.time() - began < 30
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
 
 
 def test_neighbours_recall(spark, small):

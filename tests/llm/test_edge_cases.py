@@ -62,12 +62,15 @@ def test_pii(docs, none):
 
 def test_decontaminate(spark, docs, none):
     text = "ander wander der die das und ein kein wort mehr als " * 2
-    bench = spark.createDataFrame([(1, text, 0), (2, None, 0), (3, "short", 0), (4, text, 0), (None, text, 0)], "item_id long, text string, doc_id int")
-    more = docs.union(docs.where("doc_id = 7").withColumn("text", F.lit("x " + text.upper() + " y")))
-    assert {(r.doc_id, r.item_id, r.edits) for r in decontaminate.find_passages(more, bench).collect()} == {(7, 1, 0), (7, 4, 0)}
+    bench = spark.createDataFrame([(1, text, 0), (2, None, 0), (3, "kein", 0), (4, text, 0), (None, text, 0), (5, " ", 0)], "item_id long, text string, doc_id int")
+    more = docs.where("doc_id <> 7").union(docs.where("doc_id = 7").withColumn("text", F.lit("x " + text.upper() + " y")))
+    assert {(r.doc_id, r.item_id, r.edits) for r in decontaminate.find_passages(more, bench).collect()} == {(7, 1, 0), (7, 4, 0), (7, 3, 0)}
+    assert {r.doc_id for r in decontaminate.find_passages(docs, bench).collect()} == {None, 7}
     assert decontaminate.find_passages(none, bench).count() == 0
     assert decontaminate.find_passages(docs, bench.limit(0)).count() == 0
-    assert stages.drop_contaminated(more, bench).count() == 8
+    assert stages.drop_contaminated(more, bench).count() == 6
+    assert stages.drop_contaminated(docs, bench.limit(0)).count() == 8
+    assert stages.drop_contaminated(none, bench).columns == docs.columns
 
 
 def test_neighbours(spark):
