@@ -1,19 +1,23 @@
 """Main text of web pages by boosted trees over DOM nodes (operator 6).
 
-A page becomes a tree of block nodes. Gradient-boosted trees rate each node by
-the text and link density of its subtree, attribute tokens of it and its
+A page becomes a tree of block nodes; a run of text that stands beside blocks is
+a node of its own, so only leaves hold text. Gradient-boosted trees rate each node
+by the text and link density of its subtree, attribute tokens of it and its
 ancestors, depth, place and siblings. Decoding is hierarchical: the best set of
 kept nodes is found bottom up under the rule that below a dropped node all is
 dropped, so a node and its ancestors never contradict each other. The trees are
 trained here on labelled pages written by a generator.
 
-Scripts, styles, comments and the like are never text. Character references are
-decoded, white space inside a block becomes one space, and blocks are joined in
-page order by one space.
+Scripts, styles, templates, frames, markup comments and the fields of forms are
+never text; formulas and what stands inside drawings, players and the like is.
+Character references are decoded, white space inside a block becomes one space, and
+blocks are joined in page order by one space. Parsing takes time linear in the page.
 
 Defined cases: null or empty html gives an empty text; unclosed and stray tags
-are repaired as browsers do; a page without any kept node gives an empty text.
-Pages of any size are read whole. Repeated rows each get a result; other columns
+are repaired as browsers do (what follows a less-than sign and a letter is a tag
+up to the next greater-than sign); a page without any kept node gives an empty
+text. A node that is as likely kept as dropped is dropped. Pages of any size are
+read whole. Repeated rows each get a result; other columns
 are ignored; an empty table gives no rows.
 """
 
@@ -22,6 +26,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -33,15 +38,15 @@ from furrow.llm.common import read_table, ship, texts
 
 #: Element groups: fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noembed noframes svg math object canvas audio video".split())
-GONE = RAW | frozenset("head title textarea select option datalist button".split())
+RAW = frozenset("script style template iframe noembed noframes".split())
+GONE = RAW | frozenset("head title textarea select option datalist button annotation annotation-xml".split())
 #: What may stand in a head; any other start tag or text closes it.
 IN_HEAD = frozenset("head title base link meta style script noscript template basefont bgsound noframes html".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark meter nobr output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
+BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt datalist fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li listing main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
 #: What a start tag closes, and where the search for it stops.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd tr td th".split())
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "option": {"option"}}
-SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "option": {"select"}}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tbody", "thead", "tr", "td", "th"), "option": ("option",)}
+SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",), "option": ("select",)}
 P_SCOPE = frozenset("html body div article section main aside nav header footer form table td th li blockquote figure".split())
 #: Attribute tokens by meaning.
 TOKENS = {
@@ -65,6 +70,12 @@ _TAG_NO = {t: k for k, names in enumerate(TAGS) for t in names.split()}
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _ATTR = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop|style|hidden|aria-label)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SPACE = " \t\n\f\r"
+
+
+def is_block(tag: str) -> bool:
+    """Known blocks and custom elements; other unknown elements run in a line, as in browsers."""
+    return tag in BLOCK or "-" in tag
 
 
 @lru_cache(20_000)
@@ -86,54 +97,74 @@ def meanings(attrs: str) -> tuple[int, ...]:
 
 
 class Page:
-    """Block nodes in page order (parents first) and runs of text with their node and block."""
+    """Nodes in page order (parents first) and runs of text with their leaf and block."""
 
-    __slots__ = ("tag", "parent", "means", "depth", "links", "inputs", "runs", "blocks")
+    __slots__ = ("tag", "parent", "means", "depth", "links", "inputs", "runs", "blocks", "lined")
 
     def __init__(self, source: str):
         self.tag, self.parent, self.means, self.depth, self.links, self.inputs = ["body"], [-1], [()], [0], [0], [0]
-        self.runs: list[tuple[int, int, bool, str]] = []  # node, block, inside a link, text
+        self.runs: list[tuple[int, int, bool, str]] = []  # leaf, block, inside a link, text
         self.blocks = 0
         self._read(source)
+        self._join_single_runs()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
-        self.means.append(meanings(attrs))
+        self.means.append(meanings(attrs) if attrs else ())
         self.depth.append(self.depth[parent] + 1)
         self.links.append(0)
         self.inputs.append(0)
-        self.blocks += 1
         return len(self.tag) - 1
 
     def _read(self, s: str) -> None:
         stack: list[tuple[str, int]] = []  # open elements and the block node that each stands in
+        places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
+        inner: list[int] = []  # those of blocks
+        p_scopes: list[int] = []  # and of blocks that a new block doesn't reach beyond to close a paragraph
         node, link, gone, pos, n = 0, 0, 0, 0, len(s)
+        leaf, leaf_of = -1, -1  # the run's node, and the block that it stands in
         runs = self.runs
 
         def pop_to(k: int) -> None:
-            nonlocal node, link, gone
-            for tag, _ in stack[k:]:
+            nonlocal node, link, gone, leaf_of
+            while len(stack) > k:
+                tag, _ = stack.pop()
+                places[tag].pop()
                 link -= tag == "a"
                 gone -= tag in GONE
-                if tag not in INLINE:
+                if is_block(tag):
+                    inner.pop()
+                    if tag in P_SCOPE:
+                        p_scopes.pop()
                     self.blocks += 1
-            node = stack[k - 1][1] if k else 0
-            del stack[k:]
+                    leaf_of = -1
+            node = stack[-1][1] if stack else 0
 
         def end_head() -> None:
             """Close an open head, unless something is open inside it."""
             if stack and stack[-1][0] == "head":
-                pop_to(next(k for k, (tag, _) in enumerate(stack) if tag == "head"))
+                pop_to(places["head"][0])
+
+        def put(t: str) -> None:
+            nonlocal leaf, leaf_of
+            if leaf_of != node:
+                if not t.strip(_SPACE):
+                    return  # white space where no run has begun
+                leaf, leaf_of = self._open("#text", "", node), node
+            runs.append((leaf, self.blocks, link > 0, t))
+
+        def last(tags: tuple[str, ...]) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
         while pos < n:
             lt = s.find("<", pos)
             if lt < 0:
                 lt = n
-            if gone and s[pos:lt].strip(" \t\n\f\r"):
+            if gone and s[pos:lt].strip(_SPACE):
                 end_head()
             if lt > pos and not gone:
-                runs.append((node, self.blocks, link > 0, s[pos:lt]))
+                put(s[pos:lt])
             if lt == n:
                 break
             c = s[lt + 1 : lt + 2]
@@ -154,18 +185,14 @@ class Page:
                     if gone:
                         end_head()
                     if not gone:
-                        runs.append((node, self.blocks, link > 0, "<"))
+                        put("<")
                     pos = lt + 1
                 continue
             pos = m.end()
             tag = m[2].lower()
             if m[1]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        pop_to(k)
-                        break
-                    if tag in INLINE and stack[k][0] not in INLINE:
-                        break
+                if places.get(tag) and (is_block(tag) or not inner or places[tag][-1] > inner[-1]):
+                    pop_to(places[tag][-1])
                 continue
             if gone and tag not in IN_HEAD:
                 end_head()
@@ -176,39 +203,61 @@ class Page:
                     self.inputs[node] += 1
                 continue
             if tag in RAW or tag in ("title", "textarea"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(s, pos)
                 if not m[3].rstrip().endswith("/"):
+                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(s, pos)
                     pos = end.end() if end else n
                 continue
             if tag in ("html", "body"):
                 if tag == "body":
                     self.means[0] = meanings(m[3])
                 continue
-            if tag in CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        pop_to(k)
-                        break
-                    if stack[k][0] in P_SCOPE:
-                        break
+            if tag in CLOSES_P and places.get("p") and places["p"][-1] > (p_scopes[-1] if p_scopes else -1):
+                pop_to(places["p"][-1])
             if tag in CLOSES:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in CLOSES[tag]:
-                        pop_to(k)
-                        if tag in ("li", "dt", "dd", "td", "th", "option"):
-                            break
-                    elif stack[k][0] in SCOPE[tag]:
-                        break
+                floor = last(SCOPE[tag])
+                if tag in ("tr", "tbody"):  # all rows and cells of the table that are open
+                    own = [x[bisect_right(x, floor)] for t in CLOSES[tag] if (x := places.get(t)) and x[-1] > floor]
+                    if own:
+                        pop_to(min(own))
+                elif (at := last(CLOSES[tag])) > floor:
+                    pop_to(at)
+            if m[3].endswith("/") and ("-" in tag or not is_block(tag)):  # <svg/> and the like
+                continue
             if tag == "a":
                 link += 1
                 self.links[node] += 1
             elif tag in ("button", "select", "textarea"):
                 self.inputs[node] += 1
             gone += tag in GONE
-            if tag not in INLINE:
+            places.setdefault(tag, []).append(len(stack))
+            if is_block(tag):
+                inner.append(len(stack))
+                if tag in P_SCOPE:
+                    p_scopes.append(len(stack))
                 node = self._open(tag, m[3], node)
+                self.blocks += 1
+                leaf_of = -1
             stack.append((tag, node))
 
+    def _join_single_runs(self) -> None:
+        """A run that is all there is in its block is that block."""
+        n = len(self.tag)
+        kids = [0] * n
+        for p in self.parent[1:]:
+            kids[p] += 1
+        to, kept = [0] * n, []
+        for i in range(n):
+            p = self.parent[i]
+            if self.tag[i] == "#text" and p > 0 and kids[p] == 1:
+                to[i] = to[p]
+            else:
+                to[i] = len(kept)
+                kept.append(i)
+        self.lined = [self.tag[self.parent[i]] if self.tag[i] == "#text" else self.tag[i] for i in kept]
+        self.parent = [to[p] if p >= 0 else -1 for p in (self.parent[i] for i in kept)]
+        self.tag, self.means, self.depth, self.links, self.inputs = ([x[i] for i in kept] for x in (self.tag, self.means, self.depth, self.links, self.inputs))
+        self.runs = [(to[leaf], *x) for leaf, *x in self.runs]
+
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         """A row for each node, and the code points of its own text."""
         n = len(self.tag)
@@ -260,10 +309,11 @@ class Page:
             above[i, :N_MEAN] = np.maximum(above[i, :N_MEAN], mean[p])
             if self.tag[p] in kinds:
                 above[i, N_MEAN + kinds[self.tag[p]]] = 1
-        tags = np.zeros((n, len(TAGS)))
-        for i, t in enumerate(self.tag):
+        tags = np.zeros((n, len(TAGS) + 1))
+        for i, t in enumerate(self.lined):
             if t in _TAG_NO:
                 tags[i, _TAG_NO[t]] = 1
+        tags[:, -1] = [t == "#text" for t in self.tag]
         par = np.maximum(np.array(parent), 0)
         a = np.array
         text_, ltext_ = a(text, float), a(ltext, float)
@@ -414,7 +464,7 @@ class Writer:
             elif how < 0.95:
                 out.append(f"<div>{self.para()}</div>")
             elif how < 0.97:
-                out.append(f"<pre>{self.words(r.randint(5, 40), True)}</pre>")
+                out.append(f"<pre>{self.words(r.randint(5, 40), True)}</pre>" if r.random() < 0.5 else f"{self.para()}<br><br>{self.para()}")
             else:
                 out.append(self.junk(inside=True))
         return "".join(out)
@@ -443,9 +493,29 @@ class Writer:
             return f'<div class="{r.choice(["share", "social", "share-buttons", "follow"])}">{w(0, 2)}{self.links(r.randint(2, 5))}</div>'
         return f'<nav{self.attr(["menu", "nav", "toc"])}>{self.links(r.randint(2, 9))}</nav>'
 
+    def loose(self) -> str:
+        """Menus and notices as bare text beside the blocks."""
+        r = self.r
+        names = [self.words(r.randint(1, 2), False).strip(".,") for _ in range(r.randint(2, 6))]
+        if r.random() < 0.4:
+            names = [f'<a href="#">{x}</a>' for x in names]
+        return r.choice([" | ", " &middot; ", " - ", " "]).join(names) if r.random() < 0.8 else f"&copy; {self.words(r.randint(2, 9), False)}"
+
+    def small_page(self) -> str:
+        """One or a few short blocks with hardly anything beside them."""
+        r = self.r
+        text = r.choice([lambda: f"<p>{self.words(r.randint(3, 30), True)}</p>", lambda: self.words(r.randint(3, 40), True), lambda: f"<h1>{self.words(r.randint(1, 6), True)}</h1><p>{self.words(r.randint(3, 30), True)}</p>", lambda: f"<p>{self.words(r.randint(5, 20), True)}</p><p>{self.words(r.randint(3, 20), True)}</p>"])()
+        t = r.choice(["div", "div", "main", "article", "section", ""])
+        text = f"<{t}{self.attr(['content', 'page', 'wrapper'])}>{text}</{t}>" if t else text
+        before, after = (self.loose() if r.random() < 0.2 and t else "" for _ in range(2))
+        nav = f"<nav>{self.links(r.randint(2, 5))}</nav>" if r.random() < 0.3 else ""
+        return f"<html><body>{nav}{before}{text}{after}</body></html>"
+
     def page(self) -> str:
         r = self.r
         w = lambda lo, hi: self.words(r.randint(lo, hi), False)
+        if r.random() < 0.15:
+            return self.small_page()
         out = []
         if r.random() < 0.35:
             out.append(f'<{(t := r.choice(["header", "header", "div"]))}{self.attr(["header", "masthead", "banner", "top"]) or " id=header"}>' + r.choice([f"<h1>{w(1, 4)}</h1>", f'<a href="/">{w(1, 3)}</a>', f"<p>{w(2, 40)}</p>"]) + (self.links(r.randint(2, 6)) if r.random() < 0.4 else "") + f"</{t}>")
@@ -454,14 +524,17 @@ class Writer:
             out.append(f'<{t}{self.attr(["menu", "nav", "navbar", "navigation"]) or (" class=menu" if t == "div" else "")}>{self.links(r.randint(2, 12))}</{t}>')
         before, after = r.choice([0, 0, 1, 2]), r.choice([0, 1, 1, 2, 3])
         out += [self.junk() for _ in range(before)]
+        loose = [self.loose() if r.random() < 0.12 else "" for _ in range(4)]
         body = self.content()
         t = r.choice(["article", "article", "article", "main", "div", "section", ""])
         if t:
             own = self.attr(["content", "post", "article-body", "entry-content", "main", "story"]) if t != "div" or r.random() < 0.7 else ' class="c7"'
             body = f"<{t}{own}>{body}</{t}>"
             if r.random() < 0.3:
-                body = f'<{(u := r.choice(["main", "div", "section"]))}{self.attr(["main", "page", "wrapper", "container"])}>{self.junk() if r.random() < 0.3 else ""}{body}{self.junk() if r.random() < 0.4 else ""}</{u}>'
-        out.append(body)
+                body = f'<{(u := r.choice(["main", "div", "section"]))}{self.attr(["main", "page", "wrapper", "container"])}>{self.junk() if r.random() < 0.3 else ""}{loose[0]}{body}{loose[1]}{self.junk() if r.random() < 0.4 else ""}</{u}>'
+            out += [loose[2], body, loose[3]]
+        else:
+            out.append(body)
         out += [self.junk() for _ in range(after)]
         if r.random() < 0.75:
             t = r.choice(["footer", "footer", "div"])
