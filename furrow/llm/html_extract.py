@@ -545,7 +545,7 @@ class Writer:
         return f"<html><head><title>x</title></head><body>{text}" + r.choice(["</body></html>", ""])
 
 
-def labelled_pages(n: int = 1200, seed: int = 11) -> Iterator[tuple[Page, np.ndarray]]:
+def labelled_pages(n: int = 2400, seed: int = 11) -> Iterator[tuple[Page, np.ndarray]]:
     """Pages with a label for each node: 1 if any kept text stands in it or below."""
     w = Writer(seed)
     for _ in range(n):
@@ -560,7 +560,7 @@ def labelled_pages(n: int = 1200, seed: int = 11) -> Iterator[tuple[Page, np.nda
 
 
 @lru_cache(2)
-def train(n: int = 1200, seed: int = 11) -> Trees:
+def train(n: int = 2400, seed: int = 11) -> Trees:
     xs, ys = [], []
     for page, y in labelled_pages(n, seed):
         x, _ = page.features()
