@@ -106,10 +106,12 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     meta = F.broadcast(spark.createDataFrame(sorted({(n, t, *[tuple(x)]) for n, t, x, _, _ in template_rows(templates)}), "license string, t_size int, lengths array<int>"))
     own = ["row", "doc_id", "license"]
 
-    # a row for each bigram that some template has: made and tested one by one inside one generated loop
-    read = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), _words(F.coalesce("text", F.lit(""))).alias("w")).where(F.size("w") > 1)
-    each = read.select("doc_id", "row", "w", F.posexplode("w").alias("pos", "first")).where(F.col("pos") + 1 < F.size("w"))
-    met = each.select("doc_id", "row", "pos", (F.size("w") - 1).alias("n"), F.xxhash64("first", F.get("w", F.col("pos") + 1)).alias("bigram")).join(table, "bigram")
+    # a row for each bigram that some template has: made and tested one by one inside one generated loop. (An explode
+    # of the words themselves, or a filter on their number, would split each text once more.)
+    read = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), _words(F.coalesce("text", F.lit(""))).alias("w"))
+    n = F.size("w") - 1
+    each = read.select("doc_id", "row", n.alias("n"), F.inline(F.arrays_zip(F.col("w").alias("first"), F.slice("w", F.lit(2), F.greatest(n, F.lit(0))).alias("second"), F.sequence(F.lit(0), n).alias("pos"))))
+    met = each.select("doc_id", "row", "n", "pos", F.xxhash64("first", "second").alias("bigram"), "second").join(table, "bigram").where("second is not null")
     hits = met.groupBy(*own).agg(F.first("n").alias("n"), F.collect_set(F.struct("pos", "bigram")).alias("hits"), F.size(F.collect_set("bigram")).alias("kinds"))
     likely = hits.join(meta, "license").where((2 - threshold) * F.col("kinds") >= threshold * F.col("t_size") - 1e-9)
 
