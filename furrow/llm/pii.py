@@ -1,17 +1,18 @@
 """Personal data (operator 2): fixed patterns, and a linear-chain CRF over word shapes.
 
-The patterns give the base spans. The CRF labels the words around any word that
-holds a digit, an at sign or a spelled-out address mark, and adds spans that the
-patterns can't see: telephone numbers without a plus sign, addresses written
-with "(at)" and "(dot)", and quoted tokens after words such as token or key. It
-is trained here from a small labelled table of sentences by gradient ascent on
-the log likelihood, and decoded by Viterbi over batches of sequences in numpy.
+The patterns give the base spans. The CRF labels every word of every text and adds
+spans that the patterns can't see: telephone numbers in other forms, spelled-out
+addresses, secrets, document numbers, names after a title or a cue, and street
+addresses. It is trained here from a small labelled table (pii_sentences.tsv, whose
+slots are filled at random) by gradient ascent on the log likelihood, and decoded by
+Viterbi over batches of texts in numpy. Texts of more than SEQUENCE words are decoded
+in pieces; each ends at the word that is surest to stand outside of any span.
 
 Defined cases: null text counts as empty; an empty text has no spans and the
 hash of the empty string. Base spans of different kinds may overlap; an added
-span that touches a base span or an earlier added one is dropped. Repeated rows
-each get their row; other columns are ignored; whole texts are read, in time
-linear in their length.
+span that touches a base span or an earlier added one is dropped; of equally
+likely labels the first in order is taken. Repeated rows each get their row; other
+columns are ignored; whole texts are read, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -21,17 +22,24 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from furrow.llm.common import read_table, ship, texts
+from furrow.llm.common import chunks, expand, lean, read_table, ship, texts
 
-KINDS = ("email", "ip", "card", "phone", "secret")
-LABELS = ["O", *(f"{p}-{k}" for k in ("email", "phone", "secret") for p in "BI")]
-#: Words on either side of a trigger that the CRF reads with it.
-REACH = 4
+FOUND = ("phone", "email", "secret", "id", "name", "address")
+KINDS = ("email", "ip", "card", "phone", "secret", "id", "name", "address")
+LABELS = ["O", *(f"{p}-{k}" for k in FOUND for p in "BI")]
+#: Words whose features count for a word's label: two before it to two after it.
+REACH = 2
+#: Words decoded as one sequence, at most.
+SEQUENCE = 1000
+#: Sentences made of each line of the labelled table.
+FILLS = 6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -41,6 +49,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]")
+_DIGIT = re.compile(r"[^0-9]")
 _TRIGGER = re.compile(r"[0-9@]|[(\[]\s?(?:at|dot|punkt|arroba|punto|point)\s?[)\]]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"\S+")
@@ -99,239 +108,327 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
 
 
-def shape(word: str) -> str:
-    """Kind of each character, runs longer than four cut to four."""
-    s = re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "0", word[:40]))
-    return re.sub(r"(.)\1{4,}", r"\1\1\1\1", s)
-
-
-_MARKS = {"(at)": "at", "[at]": "at", "(dot)": "dot", "[dot]": "dot", "(punkt)": "dot", "(punto)": "dot", "(point)": "dot", "[punkt]": "dot", "[punto]": "dot", "[point]": "dot", "(arroba)": "at", "[arroba]": "at"}
-_CUES = {"phone": "tel", "tel": "tel", "telephone": "tel", "call": "tel", "fax": "tel", "mobile": "tel", "telefon": "tel", "teléfono": "tel", "téléphone": "tel", "token": "key", "key": "key", "apikey": "key", "api_key": "key", "secret": "key", "password": "key", "=": "eq", ":": "eq"}
-
-
-def features(word: str) -> list[str]:
-    low = word.lower().strip(".,;")
-    bare = low.strip("\"'():")
-    digits = sum(c.isdigit() for c in word)
-    out = ["bias", "s=" + shape(word), "mark=" + _MARKS.get(low, "-"), "cue=" + _CUES.get(bare if bare else low, _CUES.get(low, "-")), f"d={min(digits, 12)}"]
-    if len(bare) >= 16 and re.fullmatch(r"[0-9a-zA-Z_\-]+", bare) and digits >= 3 and digits < len(bare):
-        out.append("long=" + ("quoted" if word[0] in "\"'" else "bare"))
-    if re.fullmatch(r"\(?[0-9]{3}\)?", low):
-        out.append("area")
-    if re.fullmatch(r"[0-9]{3}[-.][0-9]{4}", low):
-        out.append("local")
-    if re.fullmatch(r"\(?[0-9]{3}\)?[-.][0-9]{3}[-.][0-9]{4}", low):
-        out.append("full")
-    return out
+class _Shapes(dict):
+    """Upper-case letters as A, other letters as a, digits as 0, the rest as it is."""
 
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = out = "0" if c.isdecimal() else "A" if c.isupper() else "a" if c.isalpha() else c
+        return out
 
-def labelled_sentences(n: int = 240, seed: int = 7) -> list[tuple[list[str], list[str]]]:
-    """The small labelled table: sentences made of plain words and one stretch of each kind, or of look-alikes."""
-    r = random.Random(seed)
-    plain = ["the", "and", "of", "onen", "thering", "Edly", "er", "mit", "der", "eau", "que", "ción", "stand", "ungen,", "heit.", "we", "met", "on", "is", "number", "page", "|", "at", "dot", "call"]
 
-    def word() -> str:
-        return r.choice(plain)
+_SHAPES = _Shapes()
+_RUN5, _RUN = re.compile(r"(.)\1{4,}", re.S), re.compile(r"(.)\1+", re.S)
 
-    def num(k: int) -> str:
-        return "".join(r.choice("0123456789") for _ in range(k))
 
-    def phone() -> list[str]:
-        a, b, c = num(3), num(3), num(4)
-        return r.choice([[f"({a})", f"{b}-{c}"], [f"{a}-{b}-{c}"], [f"{a}.{b}.{c}"], [f"({a})", f"{b}-{c}."], [f"{a}-{b}-{c},"]])
+def shape(word: str) -> str:
+    """Kind of each character, runs longer than four cut to four."""
+    return _RUN5.sub(r"\1\1\1\1", word.translate(_SHAPES))
 
-    def email() -> list[str]:
-        at, dot = r.choice([("(at)", "(dot)"), ("[at]", "[dot]"), ("(at)", "(punkt)"), ("[arroba]", "[punto]")])
-        name = word().strip(".,|") or "post"
-        host = ["mail", dot, r.choice(["com", "org", "net"])]
-        return [name + num(r.choice([0, 2])), at, *(host if r.random() < 0.7 else ["mail" + num(1), dot, "example", dot, "com"])]
 
-    def secret() -> list[str]:
-        q = r.choice(['"', "'"])
-        return [q + "".join(r.choice("0123456789abcdefABCDEF") for _ in range(r.randint(24, 48))) + q + r.choice(["", ",", "."])]
+def features(word: str) -> list[str]:
+    kinds = word.translate(_SHAPES)
+    low = word.lower()
+    core = low.strip(".,;:!?\"'()[]") or low
+    digits = kinds.count("0")
+    n = len(core)
+    out = ["bias", "s=" + _RUN5.sub(r"\1\1\1\1", kinds), "t=" + _RUN.sub(r"\1", kinds), "w=" + core, "p=" + core[:3], "x=" + core[-4:], f"d={digits if digits < 12 else 12 if digits < 20 else 20}", f"n={n if n < 12 else 12 if n < 20 else 20}", "b=" + kinds[:1], "e=" + kinds[-1:]]
+    if digits and n > 15 and digits < n:
+        out.append("mixed")
+    return out
 
-    def other() -> list[str]:
-        return r.choice([[num(r.randint(1, 8))], [num(16)], [f"+1", f"({num(3)})", f"{num(3)}-{num(4)}"], [f"{num(2)}.{num(2)}.{num(3)}.{num(1)}"], [f"{num(4)}-{num(2)}-{num(2)}"], ["v" + num(1) + "." + num(1)], ["a." + num(2) + "@mail" + num(1) + ".example.com"], [num(3)], [f"({num(1)})"], [f"{num(2)}:{num(2)}"], ["".join(r.choice("abcdef0123456789") for _ in range(r.randint(6, 12)))]])
 
+def labelled_sentences(fills: int = FILLS, seed: int = 7, lines: Iterable[str] | None = None) -> list[tuple[list[str], list[str]]]:
+    """Words and labels of the sentences that the labelled table gives when its slots are filled at random."""
+    r = random.Random(seed)
+    plain = "the and of to in is on we met for with that number page call name at dot key token der die und das mit von auf ist nicht ein et la les des que en est un una los del por con para".split()
+    first = "Anna John Maria Peter Johann Claire Pedro Lucy Omar Ines Karl Sophie Tom Elena Hugo Greta Ivan Julia Marc Nora".split()
+    last = "Schneider Smith Garcia Dubois Miller Baker Lopez Moreau Weber Jones Keller Martin Ruiz Fischer Brown Petit Novak Rossi King Hall".split()
+    city = "London Berlin Madrid Paris Leeds Hamburg Sevilla Lyon Boston Zürich".split()
+
+    def made(lo: int = 3, hi: int = 10) -> str:
+        return "".join(r.choice("aeiourstnlhdmcgwépbñüèkçöíyvß") for _ in range(r.randint(lo, hi)))
+
+    def some(known: list[str], cap: bool = True) -> str:
+        x = r.choice(known) if r.random() < 0.5 else made()
+        return x.capitalize() if cap else x.lower()
+
+    def chars(alphabet: str, lo: int, hi: int) -> str:
+        return "".join(r.choice(alphabet) for _ in range(r.randint(lo, hi)))
+
+    digit, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    slots = {
+        "w": lambda: r.choice(plain) if r.random() < 0.5 else made() + r.choice(["", "", "", ".", ","]),
+        "W": lambda: made().capitalize() + r.choice(["", "", ",", "."]),
+        "n": lambda: chars(digit, 1, 4),
+        "first": lambda: some(first),
+        "last": lambda: some(last),
+        "city": lambda: some(city),
+        "low": lambda: some(first + last, cap=False),
+        "dom": lambda: r.choice(["mail", "gmail", "post", "web", made(4, 8)]),
+        "hex": lambda: chars("0123456789abcdef", 24, 48),
+        "b62": lambda: chars(digit + lower + lower.upper(), 20, 44),
+        "pw": lambda: made(4, 8).capitalize() + chars(digit, 1, 4) + r.choice(["!", "", "$", "#"]),
+        "UP": lambda: chars(digit + lower.upper(), 16, 16),
+        "P": lambda: r.choice(lower.upper()),
+        "rep": lambda: " ".join([r.choice([r.choice(plain), made(2, 8), made(2, 8).capitalize() + r.choice(["", "."])])] * r.randint(3, 9)),
+        "CAPS": lambda: made(2, 9).upper() + r.choice(["", "", ".", ","]) + r.choice(["", "!!", "###", "%%%"]),
+        "junk": lambda: made(3, 8) + r.choice(["!!", "###", "%%%", "***", "$$$", "&&&"]),
+    }
     out = []
-    for k in range(n):
-        kind = ("phone", "email", "secret", "", "")[k % 5]
-        before = [word() for _ in range(r.randint(1, 5))]
-        if kind == "secret":
-            before += r.choice([["token", "="], ["key:"], ["secret", "="], ["password", "="], ["api_key", "="]])
-        elif kind == "phone" and r.random() < 0.4:
-            before.append(r.choice(["tel", "call", "phone:", "fax"]))
-        own = {"phone": phone, "email": email, "secret": secret, "": other}[kind]()
-        after = [word() for _ in range(r.randint(1, 5))]
-        labels = ["O"] * len(before) + ([f"B-{kind}"] + [f"I-{kind}"] * (len(own) - 1) if kind else ["O"] * len(own)) + ["O"] * len(after)
-        out.append((before + own + after, labels))
+    for line in list(lines if lines is not None else table_lines()) * fills:
+        words, labels = [], []
+        for piece in re.findall(r"\[\[.*?\]\](?!\])|\S+", line):
+            kind = None
+            if piece.startswith("[["):
+                kind, piece = piece[2:-2].split("|", 1)
+            filled = re.sub(r"\{(\w+)\}", lambda m: slots[m[1]](), re.sub("#", lambda m: r.choice(digit), piece))
+            own = filled.split()
+            words += own
+            labels += [f"B-{kind}"] + [f"I-{kind}"] * (len(own) - 1) if kind else ["O"] * len(own)
+        if r.random() < 0.5:  # inside running text
+            before, after = ([slots["w"]() for _ in range(r.randint(1, 4))] for _ in range(2))
+            words, labels = before + words + after, ["O"] * len(before) + labels + ["O"] * len(after)
+        out.append((words, labels))
     return out
 
 
-class CRF:
-    """Features of a word and of its neighbours, and transitions between labels."""
+def table_lines() -> list[str]:
+    """The lines of the labelled table: [[kind|text]] marks a span, # is a digit, {name} a slot."""
+    return [x for x in Path(__file__).with_name("pii_sentences.tsv").read_text(encoding="utf-8").split("\n") if x]
+
+
+def viterbi(scores: np.ndarray, first: np.ndarray, size: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """The best label of each row of scores, in sequences of rows first .. first + size that are decoded side by side."""
+    label = np.zeros(len(scores), dtype=np.int8)
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    live = int((size > 0).sum())
+    if not live:
+        return label
+    back = np.zeros(scores.shape, dtype=np.int8)
+    alive = np.searchsorted(-size[:live], -np.arange(int(size[0]) + 1), side="left")  # sequences longer than t
+    best = scores[first[:live]]
+    now = np.zeros(live, dtype=np.int64)
+    for t in range(1, int(size[0])):
+        k = alive[t]
+        if k < len(best):
+            now[k : len(best)] = best[k:].argmax(1)
+        at = first[:k] + t
+        step = best[:k, None, :] + move.T
+        came = step.argmax(2)
+        back[at] = came
+        best = np.take_along_axis(step, came[:, :, None], 2)[:, :, 0] + scores[at]
+    now[: len(best)] = best.argmax(1)
+    for t in range(int(size[0]) - 1, -1, -1):
+        k = alive[t]
+        at = first[:k] + t
+        label[at] = now[:k]
+        now[:k] = back[at, now[:k]]
+    return label
 
-    def __init__(self, index: dict[str, int], emit: np.ndarray, move: np.ndarray):
-        self.index, self.emit, self.move = index, emit, move
 
-    def scores(self, words: list[str]) -> np.ndarray:
-        own = [features(w) for w in words]
-        out = np.zeros((len(words), len(LABELS)))
-        for t, fs in enumerate(_context(own)):
-            known = [self.index[f] for f in fs if f in self.index]
-            out[t] = self.emit[known].sum(0)
+class CRF:
+    """Weights of the features of a word and of its neighbours (by place, feature and label), of moves between labels, and of a word that repeats the one before."""
+
+    def __init__(self, index: dict[str, int], emit: np.ndarray, move: np.ndarray, again: np.ndarray):
+        self.index, self.emit, self.move, self.again = index, emit.astype(np.float32), move.astype(np.float32), again.astype(np.float32)
+
+    def rows(self, words: Iterable[str]) -> np.ndarray:
+        """What words add to the scores of labels around them: words x places x labels."""
+        found = [[self.index[f] for f in features(w) if f in self.index] or [len(self.index)] for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        if not len(found):
+            return np.zeros((0, *self.emit.shape[::2]), np.float32)
+        out = np.empty((len(found), self.emit.shape[0], self.emit.shape[2]), np.float32)
+        for j, e in enumerate(self.emit):
+            out[:, j] = np.add.reduceat(e[flat], np.cumsum(size) - size)
         return out
 
-    def decode(self, sequences: list[list[str]]) -> list[np.ndarray]:
-        """Best labels of sequences, Viterbi over all of them side by side."""
-        n, size = len(sequences), np.array([len(s) for s in sequences])
-        order = np.argsort(-size, kind="stable")
-        longest = int(size.max()) if n else 0
-        e = np.full((n, longest, len(LABELS)), 0.0)
-        for row, k in enumerate(order):
-            e[row, : size[k]] = self.scores(sequences[k])
-        size = size[order]
-        alive = [int((size > t).sum()) for t in range(longest + 1)]
-        back = np.zeros((n, longest, len(LABELS)), dtype=np.int8)
-        best = e[:, 0] if longest else np.zeros((n, len(LABELS)))
-        last = np.zeros(n, dtype=np.int64)
-        for t in range(1, longest):
-            k = alive[t]
-            last[k : len(best)] = best[k:].argmax(1)
-            step = best[:k, :, None] + self.move
-            back[:k, t] = step.argmax(1)
-            best = step.max(1) + e[:k, t]
-        last[: len(best)] = best.argmax(1)
-        labels = np.zeros((n, longest), dtype=np.int8)
-        now = last
-        for t in range(longest - 1, -1, -1):
-            k = alive[t]
-            labels[:k, t] = now[:k]
-            if t:
-                now = now.copy()
-                now[:k] = back[np.arange(k), t, now[:k]]
-        out: list[np.ndarray] = [np.zeros(0, np.int8)] * n
-        for row, k in enumerate(order):
-            out[k] = labels[row, : size[row]]
+    def memory(self) -> Memory:
+        return Memory(self)
+
+    def scores(self, texts_of_words: list[list[str]], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the labels of all words, and the number of words of each text."""
+        size = np.fromiter(map(len, texts_of_words), np.int64, len(texts_of_words))
+        ids = memory.ids(chain.from_iterable(texts_of_words), int(size.sum()))
+        _, nth = expand(size)
+        left = np.repeat(size, size) - nth - 1  # words after it
+        out = memory.table[ids, REACH].copy()
+        for d in range(1, REACH + 1):
+            for place, ok, other in ((REACH - d, nth >= d, np.roll(ids, d)), (REACH + d, left >= d, np.roll(ids, -d))):
+                out += memory.table[np.where(ok, other, 0), place]
+        out[(nth > 0) & (ids == np.roll(ids, 1))] += self.again
+        return out, size
+
+    def decode(self, texts_of_words: list[list[str]], memory: Memory) -> list[np.ndarray]:
+        """Best labels of the words of each text."""
+        scores, size = self.scores(texts_of_words, memory)
+        starts, sizes = [], []
+        for at, n in zip((np.cumsum(size) - size).tolist(), size.tolist(), strict=True):
+            while n > SEQUENCE:
+                tail = scores[at + SEQUENCE - SEQUENCE // 10 : at + SEQUENCE]
+                k = SEQUENCE - SEQUENCE // 10 + int((tail[:, 0] - tail[:, 1:].max(1)).argmax()) + 1
+                starts.append(at)
+                sizes.append(k)
+                at, n = at + k, n - k
+            starts.append(at)
+            sizes.append(n)
+        label = viterbi(scores, np.array(starts, dtype=np.int64), np.array(sizes, dtype=np.int64), self.move)
+        return np.split(label, np.cumsum(size)[:-1]) if len(size) else []
+
+
+class Memory:
+    """Rows of words that were met; emptied between texts when it holds too many. Row 0 stands beyond a text's ends."""
+
+    LIMIT = 120_000
+
+    def __init__(self, crf: CRF):
+        self.crf, self.known, self.used = crf, {}, 1
+        self.table = np.zeros((1024, crf.emit.shape[0], crf.emit.shape[2]), np.float32)
+        self.table[0] = crf.emit[:, crf.index["edge"]]
+
+    def ids(self, words: Iterable[str], n: int) -> np.ndarray:
+        if self.used > self.LIMIT:
+            self.known, self.used = {}, 1
+        known, fresh = self.known, []
+        out = np.empty(n, dtype=np.int64)
+        for k, w in enumerate(words):
+            i = known.get(w)
+            if i is None:
+                known[w] = i = self.used + len(fresh)
+                fresh.append(w)
+            out[k] = i
+        if fresh:
+            need = self.used + len(fresh)
+            if need > len(self.table):
+                self.table = np.concatenate([self.table[: self.used], np.zeros((max(need, 2 * self.used) - self.used, *self.table.shape[1:]), np.float32)])
+            for lo in range(0, len(fresh), 20_000):
+                part = fresh[lo : lo + 20_000]
+                self.table[self.used + lo : self.used + lo + len(part)] = self.crf.rows(part)
+            self.used = need
         return out
 
 
-def _context(own: list[list[str]]) -> Iterator[list[str]]:
-    for t, fs in enumerate(own):
-        yield fs + [f"-{f}" for f in (own[t - 1] if t else ["edge"])] + [f"+{f}" for f in (own[t + 1] if t + 1 < len(own) else ["edge"])] + ["--" + f for f in (own[t - 2][3:4] if t > 1 else [])]
-
-
-@lru_cache(1)
-def trained(rounds: int = 120, l2: float = 0.003) -> CRF:
-    """Fit on labelled_sentences() by Adam on the log likelihood: forward and backward sums side by side."""
-    data = labelled_sentences()
-    index: dict[str, int] = {}
-    rows, cols, ys = [], [], []
-    longest = max(len(w) for w, _ in data)
-    for s, (words, labels) in enumerate(data):
-        for t, fs in enumerate(_context([features(w) for w in words])):
-            for f in fs:
-                rows.append(s * longest + t)
-                cols.append(index.setdefault(f, len(index)))
-        ys.append([LABELS.index(x) for x in labels])
-    rows_, cols_ = np.array(rows), np.array(cols)
-    n, k, size = len(data), len(LABELS), np.array([len(y) for y in ys])
-    mask = np.arange(longest) < size[:, None]
+def fit(data: list[tuple[list[str], list[str]]], rounds: int = 80, l2: float = 0.002, rate: float = 0.1) -> CRF:
+    """Weights by Adam on the log likelihood: forward and backward sums of all sentences side by side, rescaled at each step."""
+    own = {w: features(w) for words, _ in data for w in words}
+    seen: dict[str, int] = {}
+    for words, _ in data:
+        for f in {f for w in words for f in own[w]}:
+            seen[f] = seen.get(f, 0) + 1
+    index = {f: i for i, f in enumerate(["edge", *sorted(f for f, n in seen.items() if n > 1)])}
+    vocab = {w: i for i, w in enumerate(own, 1)}
+    n, k, places = len(data), len(LABELS), 2 * REACH + 1
+    size = np.array([len(w) for w, _ in data])
+    longest = int(size.max())
+    ids = np.zeros((n, longest + 2 * REACH), dtype=np.int64)  # 0 beyond the ends
     gold = np.zeros((n, longest, k))
     gold_move = np.zeros((k, k))
-    for s, y in enumerate(ys):
+    for s, (words, labels) in enumerate(data):
+        y = [LABELS.index(x) for x in labels]
+        ids[s, REACH : REACH + len(words)] = [vocab[w] for w in words]
         gold[s, np.arange(len(y)), y] = 1
         np.add.at(gold_move, (y[:-1], y[1:]), 1)
-    theta = [np.zeros((len(index), k)), np.zeros((k, k))]
+    pairs = [(0, index["edge"])] + [(i, index[f]) for w, i in vocab.items() for f in own[w] if f in index]
+    word_of, feature_of = (np.array(x) for x in zip(*pairs, strict=True))
+    bounds = np.searchsorted(word_of, np.arange(len(vocab) + 1))
+    by_feature = np.argsort(feature_of, kind="stable")
+    feature_bounds = np.searchsorted(feature_of[by_feature], np.arange(len(index)))
+    mask = np.arange(longest) < size[:, None]
+    flat_ids = [np.where(mask, ids[:, j : j + longest], -1).ravel() for j in range(places)]
+    orders = [np.argsort(x, kind="stable") for x in flat_ids]
+    middle = ids[:, REACH : REACH + longest]
+    again = (middle == ids[:, REACH - 1 : REACH - 1 + longest]) & mask
+    theta = [np.zeros((places, len(index), k)), np.zeros((k, k)), np.zeros(k)]
     m, v = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
-
-    def lse(x: np.ndarray, axis: int) -> np.ndarray:
-        top = x.max(axis, keepdims=True)
-        return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
-
     for it in range(1, rounds + 1):
-        emit, move = theta
-        e = np.zeros((n * longest, k))
-        np.add.at(e, rows_, emit[cols_])
-        e = e.reshape(n, longest, k)
-        f, b = np.zeros_like(e), np.zeros_like(e)
-        f[:, 0] = e[:, 0]
+        emit, move, twice = theta
+        rows = np.stack([np.add.reduceat(e[feature_of], bounds) for e in emit])
+        e = sum(rows[j][ids[:, j : j + longest]] for j in range(places)) + again[:, :, None] * twice
+        e = np.exp(np.clip(e - e.max(2, keepdims=True), -60, 0))
+        a = np.exp(np.clip(move, -30, 30))
+        f, b = np.zeros((n, longest, k)), np.ones((n, longest, k))
+        f[:, 0] = e[:, 0] / e[:, 0].sum(1, keepdims=True)
         for t in range(1, longest):
-            f[:, t] = np.where(mask[:, t, None], lse(f[:, t - 1, :, None] + move, 1) + e[:, t], f[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            b[:, t] = np.where(mask[:, t + 1, None], lse(move + (e[:, t + 1] + b[:, t + 1])[:, None, :], 2), 0)
-        z = lse(f[:, -1], 1)
-        p = np.exp(f + b - z[:, None, None]) * mask[:, :, None]
+            x = f[:, t - 1] @ a * e[:, t]
+            f[:, t] = np.where(mask[:, t, None], x / x.sum(1, keepdims=True), f[:, t - 1])
         pair = np.zeros((k, k))
-        for t in range(1, longest):
-            x = np.exp(f[:, t - 1, :, None] + move + (e[:, t] + b[:, t])[:, None, :] - z[:, None, None])
-            pair += (x * mask[:, t, None, None]).sum(0)
+        for t in range(longest - 2, -1, -1):
+            y = e[:, t + 1] * b[:, t + 1]
+            x = y @ a.T
+            live = mask[:, t + 1, None]
+            b[:, t] = np.where(live, x / x.sum(1, keepdims=True), 1.0)
+            z = (f[:, t] * x).sum(1, keepdims=True)  # of both steps together
+            pair += a * ((f[:, t] * live / z).T @ y)
+        p = f * b
+        p = p / p.sum(2, keepdims=True) * mask[:, :, None]
+        g = ((gold - p) * mask[:, :, None]).reshape(-1, k)
         g_emit = np.zeros_like(emit)
-        np.add.at(g_emit, cols_, (gold * mask[:, :, None] - p).reshape(-1, k)[rows_])
-        for i, g in enumerate((g_emit / n - l2 * emit, (gold_move - pair) / n - l2 * move)):
-            m[i] = 0.9 * m[i] + 0.1 * g
-            v[i] = 0.999 * v[i] + 0.001 * g * g
-            theta[i] = theta[i] + 0.1 * (m[i] / (1 - 0.9**it)) / (np.sqrt(v[i] / (1 - 0.999**it)) + 1e-8)
-    return CRF(index, *theta)
-
-
-def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of words within REACH words of a trigger: word positions in the text."""
-    if not ("@" in text or "(" in text or "[" in text or _DIGIT.search(text)):
-        return []
-    marks = [m.start() for m in _TRIGGER.finditer(text)]
-    if not marks:
-        return []
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts = np.array([s for s, _ in words])
-    hit = np.unique(np.searchsorted(starts, marks, side="right") - 1)
-    cut = np.flatnonzero(np.diff(hit) > 2 * REACH) + 1
-    return [words[max(0, g[0] - REACH) : g[-1] + REACH + 1] for g in np.split(hit, cut)]
-
-
-def crf_spans(items: list[str], crf: CRF) -> list[list[Span]]:
+        for j in range(places):
+            ordered = flat_ids[j][orders[j]]
+            at = np.searchsorted(ordered, np.arange(len(vocab) + 1))
+            sums = np.concatenate([np.zeros((1, k)), np.cumsum(g[orders[j]], 0)])
+            ends = np.append(at[1:], len(ordered))
+            by_word = sums[ends] - sums[at]
+            g_emit[j] = np.add.reduceat(by_word[word_of[by_feature]], feature_bounds)
+        g_twice = g[again.ravel()].sum(0)
+        for i, grad in enumerate((g_emit / n - l2 * emit, (gold_move - pair) / n - l2 * move, g_twice / n)):
+            m[i] = 0.9 * m[i] + 0.1 * grad
+            v[i] = 0.999 * v[i] + 0.001 * grad * grad
+            theta[i] = theta[i] + rate * (m[i] / (1 - 0.9**it)) / (np.sqrt(v[i] / (1 - 0.999**it)) + 1e-8)
+    emit = np.concatenate([theta[0], np.zeros((places, 1, k))], 1)  # a word without any known feature
+    return CRF(index, emit, theta[1], theta[2])
+
+
+@lru_cache(1)
+def trained() -> CRF:
+    return fit(labelled_sentences())
+
+
+def crf_spans(items: list[str], crf: CRF, memory: Memory) -> list[list[Span]]:
     """Spans that the CRF finds in each text, trimmed of punctuation at their ends."""
-    owner, places, seqs = [], [], []
-    for d, text in enumerate(items):
-        for w in windows(text):
-            owner.append(d)
-            places.append(w)
-            seqs.append([text[s:e] for s, e in w])
-    out: list[list[Span]] = [[] for _ in items]
-    for lo in range(0, len(seqs), 512):
-        for d, place, labels in zip(owner[lo : lo + 512], places[lo : lo + 512], crf.decode(seqs[lo : lo + 512]), strict=True):
-            t = 0
-            while t < len(labels):
-                name = LABELS[labels[t]]
-                if name == "O":
-                    t += 1
-                    continue
-                u = t + 1
-                while u < len(labels) and LABELS[labels[u]] == f"I-{name[2:]}":
-                    u += 1
-                s, e = place[t][0], place[u - 1][1]
-                text = items[d]
-                while e > s and text[e - 1] in ".,;:!?*%$&#|\"'":
-                    e -= 1
-                while s < e and text[s] in "\"'|":
-                    s += 1
-                if s < e:
-                    out[d].append((name[2:], s, e))
-                t = u
+    out: list[list[Span]] = []
+    for text, labels in zip(items, crf.decode([t.split() for t in items], memory), strict=True):
+        own: list[Span] = []
+        out.append(own)
+        marked = np.flatnonzero(labels)
+        if not len(marked):
+            continue
+        places = [m.span() for m in _WORD.finditer(text)]
+        t = 0
+        while t < len(marked):
+            u, name = t + 1, LABELS[labels[marked[t]]]
+            while u < len(marked) and marked[u] == marked[u - 1] + 1 and LABELS[labels[marked[u]]] == f"I-{name[2:]}":
+                u += 1
+            s, e = places[marked[t]][0], places[marked[u - 1]][1]
+            while e > s and text[e - 1] in ".,;:!?*%$&#|\"'":
+                e -= 1
+            while s < e and text[s] in "\"'|":
+                s += 1
+            if s < e:
+                own.append((name[2:], s, e))
+            t = u
     return out
 
 
-def find(items: list[str], crf: CRF) -> list[tuple[list[Span], list[Span]]]:
+def find(items: list[str], crf: CRF, memory: Memory | None = None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
-    base = [base_spans(t) for t in items]
+    memory = memory or crf.memory()
     out = []
-    for own, more in zip(base, crf_spans(items, crf), strict=True):
-        taken, extra = [(s, e) for _, s, e in own], []
-        for k, s, e in sorted(more, key=lambda x: (x[1], x[2])):
-            if all(e <= a or b <= s for a, b in taken):
-                extra.append((k, s, e))
-                taken.append((s, e))
-        out.append((own, own + extra))
+    for lo, hi in chunks(items):
+        for text, more in zip(items[lo:hi], crf_spans(items[lo:hi], crf, memory), strict=True):
+            own = base_spans(text)
+            taken, extra = sorted((s, e) for _, s, e in own), []
+            ends = np.maximum.accumulate([e for _, e in taken]) if taken else []
+            last = 0
+            for k, s, e in sorted(more, key=lambda x: (x[1], x[2])):
+                at = int(np.searchsorted([a for a, _ in taken], e)) if taken else 0  # base spans that begin before its end
+                if s >= last and not (at and ends[at - 1] > s):
+                    extra.append((k, s, e))
+                    last = e
+            out.append((own, own + extra))
     return out
 
 
@@ -345,26 +442,28 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """Counts, spans and masked text of every document of docs (doc_id, text)."""
+def detect(docs: DataFrame, masked: bool = True) -> DataFrame:
+    """Counts, spans and (with masked) masked text of every document of docs (doc_id, text)."""
+    ship(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = trained()
+        crf = held.value
+        memory = crf.memory()
         for b in batches:
             items = texts(b)
-            for lo in range(0, len(items), 500):
-                part = items[lo : lo + 500]
-                found = find(part, crf)
+            for lo, hi in chunks(items):
+                part = items[lo:hi]
+                found = find(part, crf, memory)
                 ids = b.column("doc_id").slice(lo, len(part)).cast(pa.int64())
                 counts = [pa.array([sum(k == kind for k, _, _ in own) for own, _ in found], pa.int64()) for kind in KINDS[:4]]
                 sha = [hashlib.sha256(joined(own).encode()).hexdigest() for own, _ in found]
-                masked = [mask(t, every) if every else t for t, (_, every) in zip(part, found, strict=True)]
-                yield pa.RecordBatch.from_arrays([ids, *counts, pa.array(sha, pa.string()), pa.array([joined(every) for _, every in found], pa.string()), pa.array(masked, pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans", "masked"])
+                more = [pa.array([mask(t, every) if every else t for t, (_, every) in zip(part, found, strict=True)], pa.string())] if masked else []
+                yield pa.RecordBatch.from_arrays([ids, *counts, pa.array(sha, pa.string()), pa.array([joined(every) for _, every in found], pa.string()), *more], ["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans", *["masked"] * masked])
 
-    ship(docs.sparkSession)
     counts = ", ".join(f"n_{k} bigint" for k in KINDS[:4])
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string, masked string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id bigint, {counts}, base_sha256 string, spans string" + ", masked string" * masked)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect(read_table(spark, sf_dir, "documents")).drop("masked")
+    return detect(read_table(spark, sf_dir, "documents"), masked=False)

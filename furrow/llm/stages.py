@@ -80,19 +80,28 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def mask_personal_data(docs: DataFrame) -> DataFrame:
-    """Documents with spans of personal data replaced by their kind; null texts stay null."""
+    """Documents with spans of personal data replaced by their kind; n_chars, where there is one, follows.
 
+    Null texts stay null and empty ones empty, with the n_chars that they had; whole texts are read; every row
+    stays, repeated ones too, and other columns are kept; spans that tie or touch are settled by the operator. No
+    rows give none.
+    """
     ship(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(pii.trained())
+    sized = "n_chars" in docs.columns
+    if sized:
+        docs = docs.withColumn("n_chars", F.col("n_chars").cast("bigint"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = pii.trained()
+        crf = held.value
+        memory = crf.memory()
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
+            for lo, hi in chunks(texts(b)):
+                part = b.slice(lo, hi - lo)
                 raw = part.column("text").to_pylist()
-                found = pii.find([t or "" for t in raw], crf)
+                found = pii.find([t or "" for t in raw], crf, memory)
                 new = [pii.mask(t, every) if every else t for t, (_, every) in zip(raw, found, strict=True)]
-                sizes = [len(t) if every else n for t, (_, every), n in zip(new, found, part.column("n_chars").to_pylist(), strict=True)]
-                yield _replaced(part, text=pa.array(new, pa.string()), n_chars=pa.array(sizes, pa.int64()))
+                more = {"n_chars": pa.array([len(t) if every else n for t, (_, every), n in zip(new, found, part.column("n_chars").to_pylist(), strict=True)], pa.int64())} if sized else {}
+                yield _replaced(part, text=pa.array(new, pa.string()), **more)
 
-    return docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).mapInArrow(lean(run), docs.withColumn("n_chars", F.col("n_chars").cast("bigint")).schema)
+    return docs.mapInArrow(lean(run), docs.schema)

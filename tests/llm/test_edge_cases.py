@@ -51,13 +51,19 @@ def test_lm(docs, none):
     assert lm_scoring.score(docs.where("doc_id = 2"), none.select("doc_id")).count() == 1
 
 
-def test_pii(docs, none):
+def test_pii(spark, docs, none):
     got = {r.doc_id: r for r in pii.detect(docs).collect()}
     assert len(got) == 7
     assert got[1].n_email == 1
     assert (got[2].spans, got[3].spans) == ("", "")
     assert got[2].base_sha256 == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     assert pii.detect(none).count() == 0
+    long = [(1, "ander " * 5000 + "write to bob (at) mail (dot) org now " + "ander " * 5000), (2, "a" * 300_000), (3, "a.b@mail.example.com " * 300)]
+    found = {r.doc_id: r for r in pii.detect(spark.createDataFrame(long, "doc_id long, text string"), masked=False).collect()}
+    assert found[1].spans == "email:30009:30032"
+    assert found[2].spans == ""
+    assert found[3].n_email == 300
+    assert found[3].spans.count("email") == 300
 
 
 def test_decontaminate(spark, docs, none):
@@ -141,3 +147,6 @@ def test_stages_keep_columns_and_rows(docs, none):
     assert masked[1].text == "the thing is onder and ander. write to <email> now"
     assert masked[1].n_chars == len(masked[1].text)
     assert masked[2].text is None
+    bare = docs.select("doc_id", "text")
+    assert stages.mask_personal_data(bare).columns == ["doc_id", "text"]
+    assert stages.mask_personal_data(bare).count() == 8
