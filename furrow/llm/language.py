@@ -7,7 +7,9 @@ spans of the whole text.
 Defined cases: null or letterless text gives lang_pred 'und', score 0 and no
 spans. Without any labelled row every document is 'und'. Ties go to the language
 first in alphabetical order. Repeated rows each get their own result; columns
-other than the id and the text are ignored. Very long texts are labelled whole.
+other than the id and the text are ignored. Very long texts are labelled whole:
+their words are scored a piece at a time, pieces end between words. More than
+MAX_LANGS languages are refused: the model is one table for every task.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import chunks, codepoints, expand, fold, lean, read_table, ship, texts
+from furrow.llm.common import chunks, codepoints, expand, fold, lean, maybe_broadcast, read_table, ship, texts
 
 #: Script ranges (first and last code point): fixed values of the Unicode blocks.
 SCRIPTS = [
@@ -47,10 +50,14 @@ SCRIPTS = [
 BUCKETS = 1 << 18
 #: Labelled documents of a language from which its scores are learned, at most about so many.
 SAMPLE_PER_LANG = 2000
+#: Languages of a model, at most: it has BUCKETS numbers of four bytes for each.
+MAX_LANGS = 256
 #: A language is a candidate for a script that holds this share of its training letters.
 MIN_SCRIPT_SHARE = 0.01
 SWITCH_PENALTY = 12.0
 VITERBI_CHARS = 3_000_000
+#: Characters whose words are scored at once.
+PIECE_CHARS = 500_000
 
 
 class Model(NamedTuple):
@@ -132,17 +139,20 @@ def train(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     ship(labelled.sparkSession)
     labelled = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = labelled.groupBy("lang").count()
+    known = [r.lang for r in sizes.select("lang").limit(MAX_LANGS + 1).collect()]
+    if len(known) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("count"))
-    chosen = labelled.join(F.broadcast(sizes.select("lang", share.alias("share"))), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    found = chosen.select("text", "lang").mapInArrow(lean(_counts), "lang string, what string, key int, n bigint").groupBy("lang", "what", "key").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(found["lang"].unique())
+    chosen = labelled.join(maybe_broadcast(sizes.select("lang", share.alias("share"))), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    found = chosen.select("text", "lang").mapInArrow(lean(_counts), "lang string, what string, key int, n bigint").groupBy("lang", "what", "key").agg(F.sum("n").alias("n")).toArrow()  # MAX_LANGS times BUCKETS narrow rows at most
+    langs = sorted(found.column("lang").unique().to_pylist())
     weights = np.full((BUCKETS, len(langs)), 0.5, dtype=np.float64)
     scripts = np.zeros((len(SCRIPTS) + 1, len(langs)))
-    for k, lang in enumerate(langs):
-        own = found[found["lang"] == lang]
-        for what, into in (("n", weights), ("s", scripts)):
-            x = own[own["what"] == what]
-            into[x["key"].to_numpy(), k] += x["n"].to_numpy()
+    lang_of = pc.index_in(found.column("lang"), pa.array(langs, pa.string())).to_numpy().astype(np.int64)
+    of_words = pc.equal(found.column("what"), "n").to_numpy()
+    key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
+    for own, into in ((of_words, weights), (~of_words, scripts)):
+        into[key[own], lang_of[own]] += n[own]
     if langs:
         seen = weights.sum(1) > 0.5 * len(langs) + 0.1
         weights = np.log(weights / weights.sum(0))
@@ -215,15 +225,31 @@ def labeller(get, penalty: float = SWITCH_PENALTY, spans: bool = True):
 SCHEMA = "doc_id bigint, lang_pred string, score double, n_spans int, spans array<struct<start:int,end:int,lang:string>>"
 
 
+def _pieces(items: list[str], size: int) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """Texts a few at a time, longer ones cut where no word goes on: (their numbers, where each begins, texts)."""
+    kind, _ = _tables()
+    for lo, hi in chunks(items, size):
+        if hi - lo > 1 or len(items[lo]) <= size:
+            yield list(range(lo, hi)), [0] * (hi - lo), items[lo:hi]
+            continue
+        text, at = items[lo], 0
+        while at < len(text):
+            end = min(at + size, len(text))
+            while end < len(text) and kind[ord(text[end])]:  # on to the end of the word
+                end += 1
+            yield [lo], [at], [text[at:end]]
+            at = end
+
+
 def _label(m: Model, ids: pa.Array, items: list[str], penalty: float, with_spans: bool) -> pa.RecordBatch:
     n = len(items)
     parts, owners, starts, ends = [], [], [], []
     size = max(50_000, 4_000_000 // max(len(m.langs), 1))
-    for lo, hi in chunks(items, min(size, 500_000)):
-        w = words_of(items[lo:hi])
+    for numbers, begin, own in _pieces(items, min(size, PIECE_CHARS)):
+        w = words_of(own)
         parts.append(_score(w, m))
-        base = np.cumsum([0] + [len(x) + 1 for x in items[lo:hi]])
-        owners.append(w.doc + lo)
+        base = np.cumsum([0] + [len(x) + 1 for x in own])[:-1] - begin
+        owners.append(np.array(numbers)[w.doc])
         starts.append(w.starts - base[w.doc])
         ends.append(w.ends - base[w.doc])
     scores = np.concatenate(parts) if parts else np.zeros((0, len(m.langs)), np.float32)
@@ -275,5 +301,5 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out: Column = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
-    found = identify(docs, training_rows(docs), spans=False)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans")
+    found = identify(docs, training_rows(docs))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans", "spans")

@@ -285,6 +285,62 @@ def test_passages_against_brute_force(spark):
     assert {(x.doc_id, x.item_id) for x in found.collect()} == truth
 
 
+def plain_features(word):
+    """Hashed 3-grams, 4-grams and the word itself, letter by letter."""
+    c, m = [ord(x) for x in word], 1 << 32
+    a = [0, *c, 0, 0]
+    tri = [((a[i] * 2654435761 + a[i + 1] * 2246822519 + a[i + 2] * 3266489917) % m) >> 14 for i in range(len(c))]
+    four = [((a[i] * 668265263 + a[i + 1] * 374761393 + a[i + 2] * 2869860233 + (a[i + 3] * 3624381081 if a[i + 2] else 0)) % m) >> 14 for i in range(len(c))]
+    h = sum(x * ((((i + 1) * 2654435769) % m) | 1) for i, x in enumerate(c)) % m
+    return tri, four, ((((h * 2654435761) % m) ^ (h >> 15)) % m) >> 14
+
+
+def test_word_scores_against_a_plain_version():
+    """Naive Bayes over a word's features, words whose script excludes a language, and the whole path by trying all labellings."""
+    r = np.random.default_rng(5)
+    langs = ["de", "en", "ru"]
+    weights = r.normal(size=(language.BUCKETS, 3)).astype(np.float32)
+    allowed = np.ones((len(language.SCRIPTS) + 1, 3), bool)
+    allowed[1, 2] = False  # no Latin in ru
+    allowed[3, :2] = False  # Cyrillic in ru only
+    m = language.Model(langs, weights, allowed, np.full(3, 1 / 3))
+    items = ["Ab c, дом über12x", "", "1 2", "xx YY zz. что это"]
+    w = language.words_of(items)
+    got = language._score(w, m)
+    flat = [(d, x.lower()) for d, t in enumerate(items) for x in re.findall(r"[^\W\d_]+", t)]
+    assert [d for d, _ in flat] == w.doc.tolist()
+    for (_, word), row in zip(flat, got, strict=True):
+        tri, four, whole = plain_features(word)
+        plain = weights[tri].sum(0) + weights[four].sum(0) + weights[whole]
+        may = allowed[3 if word[0] > "z" and word[0] not in "ü" else 1]
+        assert row == pytest.approx(np.where(may, plain, plain - 1000), abs=1e-3)
+    out = language._label(m, __import__("pyarrow").array([1, 2, 3, 4]), items, 2.0, True).to_pylist()
+    for d, x in enumerate(out):
+        own = got[[k for k, (e, _) in enumerate(flat) if e == d]]
+        if not len(own):
+            assert (x["lang_pred"], x["score"], x["spans"]) == ("und", 0.0, [])
+            continue
+        best = max(itertools.product(range(3), repeat=len(own)), key=lambda y: sum(own[t, k] for t, k in enumerate(y)) - 2.0 * sum(a != b for a, b in itertools.pairwise(y)))
+        runs = [langs[k] for k, _ in itertools.groupby(best)]
+        assert [s["lang"] for s in x["spans"]] == runs
+        share = collections.Counter()
+        for (_, word), k in zip([f for f in flat if f[0] == d], best, strict=True):
+            share[langs[k]] += len(word)
+        assert x["score"] == pytest.approx(max(share.values()) / sum(share.values()))
+
+
+def test_long_texts_in_pieces_are_labelled_alike(monkeypatch):
+    r = random.Random(2)
+    text = " ".join(r.choice(["und", "der", "this", "that", "это", "что", "x" * 300, "12"]) for _ in range(3000))
+    weights = np.random.default_rng(1).normal(size=(language.BUCKETS, 2)).astype(np.float32)
+    m = language.Model(["a", "b"], weights, np.ones((len(language.SCRIPTS) + 1, 2), bool), np.array([0.5, 0.5]))
+    ids = __import__("pyarrow").array([1, 2])
+    whole = language._label(m, ids, [text, "und x"], 3.0, True).to_pylist()
+    monkeypatch.setattr(language, "PIECE_CHARS", 1000)
+    assert language._label(m, ids, [text, "und x"], 3.0, True).to_pylist() == whole
+    assert len(whole[0]["spans"]) > 1
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
