@@ -617,21 +617,93 @@ def test_lm_against_a_plain_model(spark):
         assert got[i].score == pytest.approx(got[i].ce_target - got[i].ce_background)
 
 
-def test_toxicity_learns_from_bags_and_locates():
+def plain_sentences(text):
+    """Words between full stops and line ends, at most MAX_SENTENCE together, with their places."""
+    out, now = [], []
+    for m in re.finditer(r"[^\W_]+|[.!?\n]", text):
+        if m[0] in ".!?\n" or len(now) == toxicity.MAX_SENTENCE:
+            out, now = out + [now] * bool(now), []
+        if m[0] not in ".!?\n":
+            now.append(m)
+    return [(s[0].start(), s[-1].end(), [w[0].lower() for w in s]) for s in out + [now] * bool(now)]
+
+
+def test_toxicity_scores_against_a_plain_noisy_or(spark):
+    r = random.Random(4)
+    words_, weights = ["vile", "nast*", "kind", "abcd"], np.array([3.0, 2.0, -1.5, 0.4, -2.0])
+    m = toxicity.Model(words_, weights, (0.02, 0.1))
+    vocab = ["Vile", "nasty", "nastiest", "KIND", "abcd", "abcdefgh", "other", "words", "ünd", ".", "!", "\n", "?", "x_y"]
+    items = [" ".join(r.choice(vocab) for _ in range(r.choice([0, 1, 5, 30, 300]))) for _ in range(60)] + ["vile " * 100, "...", None]
+    df = spark.createDataFrame(list(enumerate(items)), "doc_id long, text string")
+    got = {x.doc_id: x for x in toxicity.score(df, m).collect()}
+    of = dict(zip(words_, weights[:-1].tolist(), strict=True))
+    for i, text in enumerate(items):
+        each = []
+        for start, end, ws in plain_sentences(text or ""):
+            own = [of[f] for w in ws for f in [w, *(w[:k] + "*" for k in (4, 5, 6, 7) if len(w) > k)] if f in of]
+            each.append((start, end, min(1 / (1 + np.exp(-sum(own) - weights[-1])), 1 - 1e-12) if own else 0.0))
+        clear = 1.0
+        for _, _, p in each:
+            clear *= 1 - p
+        worst = max((p for *_, p in each), default=0.0)
+        rest = -np.log(clear) + np.log(1 - worst) - 0.02 * len(each) - 0.1 * toxicity.LEAK_DEVIATIONS * len(each) ** 0.5
+        assert got[i].n_sentences == len(each)
+        assert got[i].score == pytest.approx(1 - (1 - worst) * np.exp(-max(rest, 0)), abs=1e-9)
+        want = [x for x in each if x[2] >= toxicity.OFFENDING]
+        assert [(s.start, s.end) for s in got[i].offending] == [x[:2] for x in want]
+        assert [s.score for s in got[i].offending] == pytest.approx([x[2] for x in want])
+    p, owner = np.array([0.5, 0.2, 0.9]), np.array([0, 0, 2])
+    assert toxicity.noisy_or(p, owner, 3) == pytest.approx([0.6, 0.0, 0.9])
+
+
+def test_toxicity_gradient_is_that_of_the_likelihood():
+    r = np.random.default_rng(8)
+    sent = np.sort(r.integers(0, 40, 200))
+    feat, owner, y = r.integers(0, 6, 200), np.sort(r.integers(0, 12, 40)), r.integers(0, 2, 12)
+    w = r.normal(size=7) * 0.5
+
+    def likelihood(w):
+        p = 1 / (1 + np.exp(-(np.bincount(sent, weights=w[feat], minlength=40) + w[-1])))
+        doc = np.clip(toxicity.noisy_or(p, owner, 12), 1e-9, 1 - 1e-9)
+        return np.mean(np.where(y == 1, np.log(doc), np.log(1 - doc)))
+
+    got = toxicity.gradient(w, feat, sent, owner, y)
+    for k in range(7):
+        up, down = (w + s * 1e-5 * (np.arange(7) == k) for s in (1, -1))
+        assert got[k] == pytest.approx((likelihood(up) - likelihood(down)) / 2e-5, abs=1e-5)
+
+
+def test_toxicity_learns_from_bags_and_locates(spark):
     r = random.Random(9)
-    items, y = [], []
+    rows = []
     for i in range(300):
         sents = [words(r, 8) for _ in range(6)]
         if i % 3 == 0:
             sents[r.randrange(6)] = "ababab you vilething cdcdcd"
-        items.append(". ".join(sents))
-        y.append(int(i % 3 == 0))
-    m = toxicity.fit(items[:200], np.array(y[:200]))
-    p, owner = m.sentence_scores(items[200:], m.cache())
-    doc = toxicity.noisy_or(p, owner, 100)
-    assert ((doc >= 0.5) == np.array(y[200:])).mean() > 0.95
-    p, _ = m.sentence_scores(["aaaa bbbb. ababab you vilething cdcdcd. cccc"], m.cache())
-    assert p.argmax() == 1
+        rows.append((i, ". ".join(sents)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    m = toxicity.train(df, labels)
+    got = {x.doc_id: x for x in toxicity.score(df, m).collect()}
+    assert sum((got[i].score >= 0.5) == (i % 3 == 0) for i in range(200, 300)) > 95
+    assert all("vilething" in rows[i][1][s.start : s.end] for i in range(200, 300) for s in got[i].offending)
+    assert sum(len(got[i].offending) for i in range(0, 300, 3)) >= 95
+    long = spark.createDataFrame([(1, ". ".join(t for i, t in rows if i % 3) * 20)], "doc_id long, text string")
+    assert toxicity.score(long, m).first().score < 0.5
+
+
+def test_toxicity_learns_from_bounded_rows(spark):
+    """One id repeated often, with one row a class asked for."""
+    df = spark.createDataFrame([(1, f"text {i}") for i in range(2000)] + [(2, "vile")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit
+    try:
+        toxicity.fit = lambda rows: seen.append(rows.count()) or fit(rows)
+        toxicity.train(df, labels, per_class=1)
+    finally:
+        toxicity.fit = fit
+    assert seen == [2]
 
 
 def test_pipeline_runs_and_keeps_clean_documents(spark, small):
