@@ -447,20 +447,68 @@ def test_a_shared_head_is_no_burden():
     tracemalloc.stop()
 
 
-def test_neighbours_recall(spark, small):
-    got = collections.defaultdict(list)
-    for x in ivfpq.op5_ivfpq(spark, small).orderBy("query_id", "rank").collect():
-        got[x.query_id].append((x.vec_id, x.score))
-    rows = spark.read.parquet(f"{small}/embeddings.parquet").select("vec_id", "embedding").collect()
-    ids, vec = np.array([x.vec_id for x in rows]), np.array([x.embedding for x in rows], dtype=float)
+def recall(rows, got, k=10):
+    """Share of the exact neighbours that got has; scores and ranks are checked on the way."""
+    ids, vec = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
     hits = 0
     for q, found in got.items():
         d = np.sqrt(((vec - vec[ids == q][0]) ** 2).sum(1))
-        best = [i for i in np.lexsort((ids, d)) if ids[i] != q][:10]
-        hits += len({int(ids[i]) for i in best} & {v for v, _ in found})
-        assert all(abs(s - d[ids == v][0]) < 1e-12 for v, s in found)
-    assert set(got) == {int(i) for i in ids if i % 100 == 0}
-    assert hits >= 9 * len(got)
+        best = [int(i) for i in ids[np.lexsort((ids, d))] if i != q][:k]
+        hits += len(set(best) & {v for _, v, _ in found})
+        assert [r for r, _, _ in found] == list(range(1, len(best) + 1))
+        assert all(abs(s - d[ids == v][0]) < 1e-12 for _, v, s in found)
+        assert found == sorted(found, key=lambda x: (x[2], x[1]))
+    return hits / (k * len(got))
+
+
+def answers(df):
+    got = collections.defaultdict(list)
+    for x in df.orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.rank, x.vec_id, x.score))
+    return got
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_neighbours_recall(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    rows = [(x.vec_id, x.embedding) for x in spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = answers(ivfpq.op5_ivfpq(spark, d))
+    assert set(got) == {i for i, _ in rows if i % 100 == 0}
+    assert recall(rows, got) >= 0.9
+
+
+def test_neighbours_of_outlying_queries(spark):
+    """Queries that lie apart from the vectors and from each other, many more lists than a query's neighbours fill."""
+    r = np.random.default_rng(16)
+    centres = r.normal(size=(20, 12)) * 4
+    rows = [(i, (r.normal(size=12) * (6 if i % 10 == 0 else 1) + centres[i % 20]).astype(np.float32).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert recall(rows, answers(ivfpq.search(df, F.col("vec_id") % 10 == 0))) >= 0.9
+    assert recall(rows, answers(ivfpq.search(df, F.col("vec_id") % 10 == 0, exact=True))) == 1
+    assert recall(rows, answers(ivfpq.search(df, F.col("vec_id") % 10 == 0, k=30)), 30) >= 0.9
+
+
+def test_neighbours_in_lists_of_thousands(spark, monkeypatch):
+    """Few long lists, in chunks, where codes decide what is measured."""
+    monkeypatch.setattr(ivfpq, "MAX_LISTS", 4)
+    monkeypatch.setattr(ivfpq, "CHUNK", 1500)
+    r = np.random.default_rng(17)
+    rows = [(i, x.tolist()) for i, x in enumerate((r.normal(size=(8000, 4)) @ r.normal(size=(4, 24)) + 0.3 * r.normal(size=(8000, 24))).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert recall(rows, answers(ivfpq.search(df, F.col("vec_id") % 200 == 0))) >= 0.9
+
+
+def test_neighbours_by_length_and_of_thin_lists(spark, monkeypatch):
+    """Two lengths of vectors; and far-off lists with fewer than k vectors."""
+    monkeypatch.setattr(ivfpq, "MIN_PROBES", 1)
+    r = np.random.default_rng(18)
+    rows = [(i, (r.normal(size=6) * 0.01 + (100 if i < 3 else 0)).tolist()) for i in range(200)]
+    other = [(1000 + i, r.normal(size=3).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows + other, "vec_id long, embedding array<double>")
+    got = answers(ivfpq.search(df, F.expr("vec_id = 0 or vec_id = 50 or vec_id = 1000"), reach=0.2))
+    assert {q: len(x) for q, x in got.items()} == {0: 10, 50: 10, 1000: 10}
+    assert recall(rows, {0: got[0]}) == 1
+    assert recall(other, {1000: got[1000]}) >= 0.9
 
 
 def test_neighbours_with_many_copies(spark):

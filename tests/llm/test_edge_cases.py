@@ -86,6 +86,7 @@ def test_neighbours(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in ivfpq.search(df, F.col("vec_id") % 100 == 0).collect())
     far = 1.414214
     assert got == [(100, 1, 1, 0.0), (100, 2, 2, 0.0), (100, 3, 9, far), (100, 4, 200, far), (200, 1, 9, 0.0), (200, 2, 1, far), (200, 3, 2, far), (200, 4, 100, far)]
+    assert ivfpq.search(df.union(df), F.col("vec_id") % 100 == 0).count() == len(got)
     assert ivfpq.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert ivfpq.search(df.where("vec_id = 3"), F.lit(True)).count() == 0
 
