@@ -7,13 +7,15 @@ batches up to a budget of padded tokens.
 The histogram has every distinct length, so the optimum is exact; there are at most
 about the square root of twice the tokens of all documents. Documents get dense
 positions inside a bucket without one task seeing the bucket: a bucket is dealt into
-slots by hash, the (few) slot sizes are summed up, and a document's place is its
-slot's offset plus its place there.
+slots by hash of id and length, the (few) slot sizes are summed up, and a document's
+place is its slot's offset plus its place there. Rows of one id and length that would
+fill more than a slot are dealt over several.
 
 Defined cases: null text counts as empty; an empty text has length 0 and goes to
-the first bucket; a document longer than the budget is a batch of its own; equal
-ids are placed one after the other; repeated rows each get a place; other columns
-are ignored; an empty table gives no rows.
+the first bucket; a document longer than the budget is a batch of its own; which
+document of a bucket comes first is up to the hash; of equal choices of boundaries
+the one with smaller bounds is taken; repeated rows and rows with a null id each get
+a place; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from furrow.llm.common import materialise, read_table
+from furrow.llm.common import materialise, maybe_broadcast, read_table
 
 BUCKETS = 8
 #: Padded tokens of a batch.
@@ -80,7 +82,7 @@ def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS,
     """Rows (doc_id, n_tokens, bucket, bucket_len, batch, place) for docs (doc_id, text)."""
     spark = docs.sparkSession
     length = word_count(F.col("text")) if length is None else length
-    sized = materialise(docs.select("doc_id", length.alias("n_tokens")), "lengths")
+    sized = materialise(docs.select("doc_id", length.alias("n_tokens"), F.monotonically_increasing_id().alias("row")), "lengths")
     hist = sorted((r.n_tokens, r.n) for r in sized.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())  # distinct lengths, two numbers each
     if not hist:
         return spark.createDataFrame([], "doc_id bigint, n_tokens bigint, bucket int, bucket_len bigint, batch bigint, place int")
@@ -90,7 +92,11 @@ def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS,
         docs_in[int(np.searchsorted(bounds, x))] += n
     table = spark.createDataFrame([(k, b, max(1, budget // max(b, 1)), -(-c // SLOT_DOCS)) for k, (b, c) in enumerate(zip(bounds, docs_in, strict=True))], "bucket int, bucket_len bigint, cap bigint, slots int")
     bucket = sum(((F.col("n_tokens") > b).cast("int") for b in bounds[:-1]), F.lit(0))
-    placed = sized.withColumn("bucket", bucket).join(F.broadcast(table), "bucket").withColumn("slot", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.col("slots")).cast("int"))
+    same = sized.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("rows")).where(F.col("rows") > SLOT_DOCS)
+    same = same.select(F.col("doc_id").alias("same_id"), F.col("n_tokens").alias("same_tokens"), F.ceil(F.col("rows") / SLOT_DOCS).alias("parts"))
+    sized = sized.join(maybe_broadcast(same), F.col("doc_id").eqNullSafe(F.col("same_id")) & (F.col("n_tokens") == F.col("same_tokens")), "left")
+    part = F.coalesce(F.col("row") % F.col("parts"), F.lit(0))
+    placed = sized.withColumn("bucket", bucket).join(F.broadcast(table), "bucket").withColumn("slot", F.pmod(F.xxhash64("doc_id", "n_tokens", part), F.col("slots")).cast("int"))
     totals = placed.groupBy("bucket", "slot").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("bucket", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

@@ -21,8 +21,14 @@ def _replaced(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
 
 
 def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """Documents with one main language, which becomes their lang. Without labelled rows only letterless documents go."""
-    model = language.train(language.training_rows(docs))
+    """Documents with one main language, which becomes their lang, with all other columns.
+
+    Null, empty and letterless texts go, and those without a language that holds min_share of their letters; ties go
+    to the first in alphabetical order. Without labelled rows (or without lang) only letterless documents go. Whole
+    texts are read; repeated rows stay or go together; no rows give none.
+    """
+    named = "lang" in docs.columns
+    model = language.train(language.training_rows(docs if named else docs.withColumn("lang", F.lit(None).cast("string"))))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,13 +43,17 @@ def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
                 out = language._label(m, pa.nulls(hi - lo, pa.int64()), items[lo:hi], language.SWITCH_PENALTY, False)
                 keep = np.array(out.column("lang_pred").to_pylist()) != "und"
                 keep &= out.column("score").to_numpy() >= min_share
-                yield _replaced(part, lang=out.column("lang_pred")).filter(pa.array(keep))
+                yield (_replaced(part, lang=out.column("lang_pred")) if named else part).filter(pa.array(keep))
 
     return docs.mapInArrow(lean(run), docs.schema)
 
 
 def keep_first_of_group(docs: DataFrame) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id; of rows with the same id and text one."""
+    """Of each component of near duplicates the document with the smallest id, with all its columns; of rows with the same id and text one.
+
+    Null and empty texts and null ids are linked with nothing and stay (repeated empty rows of one id count as one);
+    whole texts are read; equal documents tie, and the smallest id wins. No rows give none.
+    """
     found = jaccard_join.join(docs)
     gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(docs.columns)

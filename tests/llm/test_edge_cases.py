@@ -121,6 +121,19 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_of_one_hot_row(spark, monkeypatch):
+    """Most rows have no id and one length: they fill several slots."""
+    monkeypatch.setattr(packing, "SLOT_DOCS", 50)
+    df = spark.createDataFrame([(None, "a b c")] * 700 + [(i, "x " * (1 + i % 5)) for i in range(300)], "doc_id long, text string")
+    got = packing.pack(df, buckets=2, budget=60).collect()
+    assert len(got) == 1000
+    assert len({(r.bucket, r.batch, r.place) for r in got}) == 1000
+    for b in {r.bucket for r in got}:
+        own = [r for r in got if r.bucket == b]
+        cap = 60 // own[0].bucket_len
+        assert sorted(r.batch * cap + r.place for r in own) == list(range(len(own)))
+
+
 def test_jaccard(docs, none):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(docs).collect()), key=str)
     assert got == sorted([(1, 6, 1), (2, 0, 2), (3, 0, 3), (4, 4, 4), (4, 4, 4), (5, 1, 5), (7, 4, 7), (None, 3, None)], key=str)
@@ -142,6 +155,8 @@ def test_stages_keep_columns_and_rows(docs, none):
         assert stage(none).count() == 0
         assert stage(docs).columns == docs.columns
     assert {r.doc_id for r in stages.keep_identified(docs).collect()} == {1, 4, None, 7}
+    assert {r.doc_id for r in stages.keep_identified(docs.drop("lang")).collect()} == {1, 4, None, 7}
+    assert stages.drop_contaminated(docs, none.select(F.col("doc_id").alias("item_id"), "text")).columns == docs.columns
     kept = [r.doc_id for r in stages.keep_first_of_group(docs).collect()]
     assert sorted(map(str, kept)) == ["1", "2", "3", "4", "5", "7", "None"]
     masked = {r.doc_id: r for r in stages.mask_personal_data(docs).collect()}
