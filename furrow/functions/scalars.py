@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Spellings of state names and the names that stand for them (fixed values).
-STATE_NAMES = {
-    "keralam": "kerala",
-    "chattisgarh": "chhattisgarh",
-    "nct of delhi": "delhi",
-    "pondicherry": "puducherry",
-    "orissa": "odisha",
-}
-#: Words that a market's name may or may not carry (fixed values).
-MARKET_SUFFIXES = ("apmc", "mandi", "market", "sub yard", "yard")
-MARKET_SUFFIXES_OFFLINE = ("apmc", "mandi", "market", "sub yard", "principal yard", "yard", "vfpck market", "vfpck")
-#: Words kept in capitals in titles (fixed values).
-ACRONYMS = ("APMC", "PMY", "SMY")
-_TIME = r"(?:[ T](\d{1,2}:\d{2})(:\d{2})?)?$"
-_NUMERIC = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})" + _TIME
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_NAMED = r"^(\d{1,2})[ -]((?i)jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-zA-Z]*\.?[ -](\d{4})" + _TIME
+from furrow.data import load
+
+_WORDS = load("words")
+STATE_NAMES: dict[str, str] = _WORDS["state_names"]
+MARKET_SUFFIXES, MARKET_SUFFIXES_OFFLINE, ACRONYMS = (tuple(_WORDS[k]) for k in ("market_words", "market_words_offline", "acronyms"))
+#: What counts as white space at the ends of a text: Unicode's, and the separators from 1C to 1F.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_MONTHS = {name[:n]: k for k, name in enumerate("january february march april may june july august september october november december".split(), 1) for n in (3, len(name))} | {"sept": 9}
+_TOKEN = r"(\d{1,4}|[A-Za-z]{3,9})(?:(?<=\d)(?:st|nd|rd|th))?"
+_FREE = rf"^(?:[A-Za-z]{{3,9}},\s*)?{_TOKEN}\.?(?:\s*[/.-]\s*|[ ,]+){_TOKEN}\.?,?(?:(?:\s*[/.-]\s*|[ ,]+)(\d{{1,4}}))?(?:(?:T|,?\s+)(\d{{1,2}}):(\d{{2}})(?::(\d{{2}}))?\s*([AaPp][Mm])?)?$"
+
+
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, with x computed once though f uses it often."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def strip(x: Column) -> Column:
     """Without white space at both ends, Unicode's included."""
-    return F.regexp_replace(x.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(x.cast("string"), F.lit(WHITE_SPACE))
 
 
 def lower_strip(x: Column) -> Column:
@@ -44,8 +44,8 @@ def collapse(x: Column) -> Column:
 
 
 def truthy(x: Column) -> Column:
-    """Neither null nor empty nor zero, of a string or a number."""
-    return x.isNotNull() & (x.cast("string") != "") & ~F.coalesce(x.cast("string").isin("0", "0.0", "false"), F.lit(False))
+    """Neither null nor an empty string."""
+    return x.isNotNull() & (x.cast("string") != "")
 
 
 def first_truthy(*xs: Column) -> Column:
@@ -54,7 +54,7 @@ def first_truthy(*xs: Column) -> Column:
     Strings count as empty only when they have no characters: "0" is a value.
     """
     *head, last = xs
-    return F.coalesce(*(F.when(x.isNotNull() & (x.cast("string") != ""), x) for x in head), last)
+    return F.coalesce(*(F.when(truthy(x), x) for x in head), last)
 
 
 def first_truthy_number(*xs: Column) -> Column:
@@ -62,31 +62,70 @@ def first_truthy_number(*xs: Column) -> Column:
     return F.coalesce(*(F.when(x != 0, x) for x in head), last)
 
 
-def parse_date(x: Column) -> Column:
+def parse_date(x: Column, today: Column | None = None) -> Column:
     """A timestamp from a date string.
 
-    YYYY-MM-DD at the start (what follows is dropped), YYYYMMDD, else day first
-    with /, - or . or month names and an optional time; with the month in second
-    place beyond 12 the order is month first. Anything else is null. One cast at the
-    end does the work, so no format is tried in vain.
+    YYYY-MM-DD at the start (what follows is dropped) or YYYYMMDD; else two or three parts, day first, of numbers and
+    month names in the orders that people use, with an ordinal's ending, a day's name in front or a time behind:
+    9/7/26, 09-Jul-2026, July 9, 2026, 9th Jul 2026 06:30 PM. With numbers only, the second is the month unless it
+    can't be one; a first part over 31 is the year, and then the last is the month if it can be one. Years of two
+    digits are those within fifty years of today, and what is missing (Jul 2026, 9 Jul) is today's, the day at most
+    the month's last. Anything else is null.
     """
-    s = strip(x)
-    part = lambda pattern, k: F.regexp_extract(s, pattern, k)
-    first, second = part(_NUMERIC, 1).try_cast("int"), part(_NUMERIC, 2).try_cast("int")
-    swap = (second > 12) & (first <= 12)
-    day, month = F.when(swap, second).otherwise(first), F.when(swap, first).otherwise(second)
-    named = (F.position(F.lower(F.substring(part(_NAMED, 2), 1, 3)), F.lit(_MONTHS)) + 2) / 3
-    iso = (
-        F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10))
-        .when(s.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)))
-        .when(s.rlike(_NUMERIC), F.concat(F.format_string("%s-%02d-%02d", part(_NUMERIC, 3), month, day), _time(part(_NUMERIC, 4), part(_NUMERIC, 5))))
-        .when(s.rlike(_NAMED), F.concat(F.format_string("%s-%02d-%02d", part(_NAMED, 3), named.cast("int"), part(_NAMED, 1).try_cast("int")), _time(part(_NAMED, 4), part(_NAMED, 5))))
-    )
-    return iso.try_cast("timestamp")
-
-
-def _time(minutes: Column, seconds: Column) -> Column:
-    return F.when(minutes == "", F.lit("")).otherwise(F.concat(F.lit(" "), minutes, F.when(seconds == "", F.lit(":00")).otherwise(seconds)))
+    now = F.current_date() if today is None else F.to_date(today)
+    months = F.create_map(*(F.lit(v) for kv in _MONTHS.items() for v in kv))
+
+    def free(g: Column) -> Column:
+        """From the parts a, b, c of the date and hour, minute, second, half of the day."""
+        part = [F.get(g, F.lit(k)) for k in range(7)]
+        number = [part[k].try_cast("int") for k in range(3)]
+        named = [months[F.lower(part[k])] for k in range(2)]
+        value = [F.coalesce(named[0], number[0]), F.coalesce(named[1], number[1]), number[2]]
+        a, b, c = value
+        y, m, d = F.lit("y"), F.lit("m"), F.lit("d")
+        three = (
+            F.when(named[0].isNotNull(), F.when(b > 31, F.array(m, y, d)).otherwise(F.array(m, d, y)))
+            .when(named[1].isNotNull(), F.when(a > 31, F.array(y, m, d)).otherwise(F.array(d, m, y)))
+            .when((a > 31) | (F.length(part[0]) > 2), F.when(c <= 12, F.array(y, d, m)).otherwise(F.array(y, m, d)))
+            .when((a > 12) | (b <= 12), F.array(d, m, y))
+            .otherwise(F.array(m, d, y))
+        )
+        two = (
+            F.when(named[0].isNotNull(), F.when(b > 31, F.array(m, y)).otherwise(F.array(m, d)))
+            .when(named[1].isNotNull(), F.when(a > 31, F.array(y, m)).otherwise(F.array(d, m)))
+            .when(a > 31, F.array(y, m))
+            .when(b > 31, F.array(m, y))
+            .when(b <= 12, F.array(d, m))
+            .otherwise(F.array(m, d))
+        )
+        bad = (named[0].isNotNull() & named[1].isNotNull()) | a.isNull() | b.isNull()
+
+        def date(order: Column) -> Column:
+            def of(kind: str) -> Column:
+                at = F.array_position(order, kind)
+                return F.when(at == 1, a).when(at == 2, b).when(at == 3, c)
+
+            short = F.length(F.get(F.array(*part[:3]), (F.array_position(order, "y") - 1).cast("int"))) <= 2
+            near = F.year(now) - F.year(now) % 100 + of("y")
+            year = F.when(short, F.when(near >= F.year(now) + 50, near - 100).when(near < F.year(now) - 50, near + 100).otherwise(near)).otherwise(F.coalesce(of("y"), F.year(now)))
+            month = of("m")
+            last = F.dayofmonth(F.last_day(F.format_string("%04d-%02d-01", year, month).try_cast("date")))
+            day = F.coalesce(of("d"), F.least(F.dayofmonth(now), last))
+            hour = part[3].try_cast("int")
+            hour = F.when(part[6] == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(F.lower(part[6]) == "pm", 12).otherwise(0))
+            time = F.when(part[3] == "", F.lit("")).otherwise(F.format_string(" %02d:%s:%s", hour, part[4], F.when(part[5] == "", F.lit("00")).otherwise(part[5])))
+            return F.when(~bad, F.concat(F.format_string("%04d-%02d-%02d", year, month, day), time))
+
+        return F.when(F.size(g) == 7, bound(F.when(part[2] == "", two).otherwise(three), date))
+
+    def text(s: Column) -> Column:
+        return (
+            F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10))
+            .when(s.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)))
+            .otherwise(bound(F.split(F.regexp_replace(s, _FREE, "$1|$2|$3|$4|$5|$6|$7"), "[|]"), free))
+        )
+
+    return bound(strip(x), text).try_cast("timestamp")
 
 
 def is_future(x: Column, now: Column) -> Column:
@@ -105,11 +144,8 @@ def to_price(x: Column, strict: bool = True) -> Column:
     With strict, a currency mark's dot ('Rs. 5500') is not part of the number;
     without, it is (0.55).
     """
-    head = F.split_part(x.cast("string"), F.lit("/"), F.lit(1))
-    if strict:
-        head = F.regexp_replace(head, r"(?i)rs\.", "")
-    head = F.translate(head, "०१२३४५६७८९", "0123456789")
-    return F.regexp_replace(head, r"[^0-9.\-]", "").try_cast("double")
+    head = F.translate(F.split_part(x.cast("string"), F.lit("/"), F.lit(1)), "०१२३४५६७८९", "0123456789")
+    return F.regexp_replace(head, r"(?i)rs\.|[^0-9.\-]" if strict else r"[^0-9.\-]", "").try_cast("double")
 
 
 def lenient_number(x: Column) -> Column:
@@ -195,10 +231,17 @@ def has_non_ascii(x: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """A number with up to six significant digits and no trailing zeros, for sizes from 0.0001 to 999999."""
-    digits = F.greatest(F.lit(0), F.lit(5) - F.floor(F.log10(F.nullif(F.abs(x), F.lit(0.0)))).cast("int"))
-    rounded = F.when(x == 0, F.lit("0")).otherwise(F.format_string("%.10f", F.round(x * F.pow(F.lit(10.0), digits)) / F.pow(F.lit(10.0), digits)))
-    return F.regexp_replace(F.regexp_replace(rounded, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    """A number with up to six significant digits and no trailing zeros, with an exponent below 0.0001 and from a million up."""
+
+    def text(s: Column) -> Column:
+        """From the form d.ddddde+dd."""
+        exponent = F.substring_index(s, "e", -1).cast("int")
+        digits = F.regexp_replace(F.regexp_replace(F.substring_index(s, "e", 1), r"0+$", ""), r"\.$", "")
+        plain = F.regexp_replace(F.regexp_replace(F.format_string("%.9f", s.cast("double")), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+        scientific = F.concat(digits, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")))
+        return F.when((exponent < -4) | (exponent > 5), scientific).otherwise(plain)
+
+    return F.when(x == 0, F.lit("0")).when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(bound(F.format_string("%.5e", x.cast("double")), text))
 
 
 def composite_key(*xs: Column, sep: str = "||") -> Column:

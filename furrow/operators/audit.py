@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,27 +29,61 @@ def price_logic(lo: str, hi: str, modal: str) -> dict[str, Column]:
 
 
 def duplicate_groups(df: DataFrame, key: list[str], ident: str | None = None) -> DataFrame:
-    """Groups of more than one row with their number, extra rows and (few) sample ids."""
+    """Groups of more than one row with their number, extra rows and (with ident) the first and last of their ids."""
     agg = [F.count("*").alias("n")]
     if ident:
         agg += [F.min(ident).alias("first_id"), F.max(ident).alias("last_id")]
     return df.groupBy(*key).agg(*agg).where("n > 1").withColumn("extra", F.col("n") - 1)
 
 
+def duplicate_rows(df: DataFrame, key: list[str], ident: str) -> DataFrame:
+    """The ids of all rows of such groups, a row each, so that a group may have any size."""
+    groups = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in key]
+    return df.alias("d").join(groups.alias("g"), on).select(*(F.col(f"d.{k}") for k in key), F.col(f"d.{ident}"), "g.n")
+
+
+def unmatched_names(df: DataFrame, name: str, fk: str) -> DataFrame:
+    """Lower-case names (null as empty) without a foreign key, with the number of their rows."""
+    return df.where(F.col(fk).isNull()).groupBy(F.lower(F.coalesce(F.col(name), F.lit(""))).alias("name")).agg(F.count("*").alias("n"))
+
+
 def null_safe_distinct(*xs: Column) -> Column:
     """A distinct count to which null counts as a value."""
     return F.count_distinct(F.to_json(F.struct(*(x.alias(f"c{i}") for i, x in enumerate(xs)))))
 
 
+def distinct_values(c: str) -> Column:
+    """The distinct values of a column in order, null among them as an empty text."""
+    return F.array_sort(F.collect_set(F.coalesce(F.col(c).cast("string"), F.lit(""))))
+
+
 def source_overlap(df: DataFrame, key: list[Column], source: str) -> DataFrame:
-    """Keys that more than one source has, counted by the set of sources."""
-    sets = df.groupBy(*key).agg(F.array_sort(F.collect_set(source)).alias("sources"), F.count("*").alias("n")).where(F.size("sources") > 1)
+    """Keys that more than one source (null is one) has, counted by the set of sources."""
+    sets = df.groupBy(*key).agg(distinct_values(source).alias("sources"), F.count("*").alias("n")).where(F.size("sources") > 1)
     return sets.groupBy(F.array_join("sources", "|").alias("sources")).agg(F.count("*").alias("keys"), F.sum("n").alias("docs"))
 
 
 def variants(df: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Groups that carry more than one name."""
-    return df.groupBy(*key).agg(F.count("*").alias("n"), F.count_distinct(name).alias("n_names"), F.array_join(F.array_sort(F.collect_set(name)), "|").alias("names")).where("n > 1 and n_names > 1")
+    """Groups that carry more than one name; null is one."""
+    found = df.groupBy(*key).agg(F.count("*").alias("n"), distinct_values(name).alias("_names")).where("n > 1 and size(_names) > 1")
+    return found.select(*key, "n", F.size("_names").cast("bigint").alias("n_names"), F.array_join("_names", "|").alias("names"))
+
+
+def quality_holes(df: DataFrame, by: str, columns: list[str], texts: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (by, metric, value, total): nulls of columns and empty texts, for each value of by, in one pass."""
+    metrics = {f"{c}_null": F.col(c).isNull() for c in columns} | {f"{c}_empty": F.trim(c) == "" for c in texts}
+    one = df.groupBy(by).agg(F.count("*").alias("total"), *(F.count_if(x).alias(f"m{i}") for i, x in enumerate(metrics.values())))
+    parts = ", ".join(f"'{name}', m{i}" for i, name in enumerate(metrics))
+    return one.select(by, F.expr(f"stack({len(metrics)}, {parts}) as (metric, value)"), "total")
+
+
+def grand_total(found: DataFrame) -> DataFrame:
+    """Rows of nulls() with one more for all columns of all sections together."""
+    every = found.agg(F.sum("value").alias("value"), F.sum("total").alias("total"))
+    share = F.when(F.col("total") > 0, F.round(F.lit(100.0) * F.col("value") / F.col("total"), 2)).otherwise(F.lit(0.0))
+    severity = F.when(F.col("value") == 0, "ok").when(F.lit(10) * F.col("value") < F.col("total"), "warn").otherwise("err")
+    return found.unionByName(every.select(F.lit("all").alias("section"), F.lit("all").alias("metric"), "value", "total", share.alias("pct"), severity.alias("severity")))
 
 
 def distribution(df: DataFrame, column: str, small: int = 5) -> DataFrame:
@@ -57,12 +91,8 @@ def distribution(df: DataFrame, column: str, small: int = 5) -> DataFrame:
 
 
 def freshness(df: DataFrame, column: str, now: Column, days: int = 3) -> DataFrame:
-    """Rows of the last days and the latest time."""
-    return df.agg(F.count_if(F.col(column) > now - F.make_dt_interval(F.lit(days))).alias("recent"), F.max(column).alias("latest"))
-
-
-def date_range(df: DataFrame, column: str, now: Column) -> DataFrame:
-    return df.agg(F.min(column).alias("first"), F.max(column).alias("last"), F.datediff(now, F.max(column)).alias("days_since"))
+    """Rows of the last days, the first and the latest time and the days since: one pass."""
+    return df.agg(F.count_if(F.col(column) > now - F.make_dt_interval(F.lit(days))).alias("recent"), F.min(column).alias("first"), F.max(column).alias("latest"), F.datediff(now, F.max(column)).alias("days_since"))
 
 
 def outliers(df: DataFrame, section: str, column: str, most: float = 1_000_000) -> DataFrame:
@@ -90,12 +120,37 @@ def childless(parent: DataFrame, child: DataFrame, ident: str, fk: str) -> DataF
     return parent.join(child.select(F.col(fk).alias(ident)), ident, "left_anti")
 
 
+#: The rules of the nightly audit: section, metric, level and message of what should be zero.
+RULES = [
+    ("prices", "min_above_max", "critical", "minimum above maximum"),
+    ("prices", "negative", "critical", "negative prices"),
+    ("facts", "future", "critical", "dates in the future"),
+    ("facts", "orphans", "critical", "prices without their entry"),
+    ("facts", "duplicates", "critical", "two prices of one entry and day"),
+    ("prices", "modal_above_max", "warning", "modal price above maximum"),
+    ("prices", "modal_below_min", "warning", "modal price below minimum"),
+    ("prices", "zero", "warning", "prices of zero"),
+    ("dims", "childless", "warning", "entries without prices"),
+    ("dims", "market_id", "warning", "entries without a market"),
+    ("dims", "commodity_alias_lookup_id", "warning", "entries without a crop"),
+    ("arrivals", "below_zero", "warning", "negative arrivals"),
+    ("arrivals", "above_most", "warning", "arrivals beyond belief"),
+]
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RULES, "section string, metric string, level string, message string")
+
+
 def rollup(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Rules (section, metric, level, message) that some row breaks."""
     return metrics.join(F.broadcast(rules), ["section", "metric"]).where("value > 0").select("level", "section", "metric", "value", "message")
 
 
-def uniqueness(df: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Whether a key is unique: rows, distinct keys, and the verdict."""
-    groups = df.groupBy(*key).agg(F.count("*").alias("n"))
-    return groups.agg(F.lit(name).alias("constraint"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("keys"), F.coalesce(F.max("n") <= 1, F.lit(True)).alias("holds"))
+def uniqueness(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+    """For each named key whether it is unique: rows, distinct keys, and the verdict. The table is read once."""
+    each = [F.struct(F.lit(name).alias("constraint"), F.to_json(F.struct(*(F.col(c) for c in cols))).alias("key")) for name, cols in keys.items()]
+    groups = df.select(F.inline(F.array(*each))).groupBy("constraint", "key").agg(F.count("*").alias("n"))
+    found = groups.groupBy("constraint").agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), (F.max("n") <= 1).alias("holds"))
+    names = df.sparkSession.createDataFrame([(n,) for n in keys], "constraint string")
+    return F.broadcast(names).join(found, "constraint", "left").select("constraint", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("keys", F.lit(0)).alias("keys"), F.coalesce("holds", F.lit(True)).alias("holds"))

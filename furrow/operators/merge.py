@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: insert_only: as first written. overwrite_even_null: the batch's value. overwrite: the batch's value unless null.
 #: coalesce_old: the old value unless null. increment: sum of both. set_union: distinct values of both, sorted.
@@ -62,18 +63,25 @@ def merge_stats(merged: DataFrame) -> DataFrame:
     return merged.agg(*(F.count_if(F.col("action") == a).alias(f"{a}_rows") for a in ("insert", "update", "keep")))
 
 
-def last_wins(rows: DataFrame, key: list[str], order: str = "ordinal") -> DataFrame:
-    """The last row of each key."""
-    newest = Window.partitionBy(*key).orderBy(F.desc(order))
-    return rows.withColumn("_r", F.row_number().over(newest)).where("_r = 1").drop("_r")
+def upload_stats(rows: DataFrame, dim: DataFrame, fact: DataFrame) -> DataFrame:
+    """The counters of a run: rows without any part of the key, and what the merge plans of dimension and facts insert and update.
+
+    Errors and unresolved combinations can't occur: keys are hashes, and a merge is one table.
+    """
+    skipped = rows.agg(F.count_if(F.coalesce(*(F.col(c) for c in DIM_KEY)).isNull()).alias("skipped_degenerate"))
+    none = [F.lit(0).cast("bigint").alias(c) for c in ("master_errors", "price_errors", "unresolved_combos")]
+    counts = [merge_stats(x).select(F.col("insert_rows").alias(f"{n}_upserted"), F.col("update_rows").alias(f"{n}_matched")) for n, x in (("master", dim), ("price", fact))]
+    return counts[0].crossJoin(counts[1]).crossJoin(skipped).select("*", *none)  # one row each
 
 
+DIM_KEY = ["source_system", "state", "market_name", "commodity_name", "variety"]
 #: Policies of the tables.
 DIM = {"commodity_group": "insert_only", "grade": "insert_only", "source_url": "insert_only", "source_name": "insert_only", "method": "insert_only", "market_id": "overwrite_even_null", "commodity_alias_lookup_id": "overwrite_even_null"}
 FACT = dict.fromkeys(["market_id", "commodity_alias_lookup_id", "arrival_quantity", "min_price", "max_price", "modal_price"], "overwrite_even_null")
 REVIEW = {"type": "insert_only", "status": "insert_only", "first_seen": "insert_only", "title": "overwrite_even_null", "details": "overwrite_even_null", "last_seen": "overwrite_even_null", "last_run_id": "overwrite_even_null", "state": "overwrite_even_null", "source": "overwrite_even_null", "times_seen": "increment", "records_seen": "increment", "states": "set_union", "sources": "set_union", "sample_markets": "set_union", "sample_commodities": "set_union"}
-SUGGESTION = REVIEW | {"records_seen": "overwrite_even_null"}
+SUGGESTION = {"type": "insert_only", "status": "insert_only", "first_seen": "insert_only", "title": "insert_only", "details": "insert_only", "last_seen": "overwrite_even_null", "records_seen": "overwrite_even_null", "suggestion": "overwrite_even_null"}
 MARKET = {"aliases": "set_union", "district": "overwrite", "postcode": "overwrite", "location": "overwrite", "created_at": "insert_only", "updated_at": "overwrite_even_null"}
+IMPORT = {"canonical_name": "insert_only", "crop_master_id": "overwrite", "aliases": "set_union", "source_tags": "insert_only", "confidence": "insert_only", "active": "insert_only", "notes": "overwrite"}
 ALIAS = {"crop_master_id": "overwrite", "aliases": "set_union", "source_tags": "set_union", "confidence": "overwrite_even_null", "active": "insert_only", "notes": "overwrite"}
 
 
@@ -85,13 +93,21 @@ def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def save_version(df: DataFrame, table: str, version: int) -> str:
-    """Write a new version of a table and move its pointer there; readers see the old or the new, never a part."""
-    path = f"{table}/v{version}"
-    df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").json(f"{table}/_pointer")
-    return path
+    """Write a new version of a table under a fresh name and move its pointer there; readers see the old or the new, never a part.
+
+    A version whose pointer was never written is dead: the next attempt has a name of its own.
+    """
+    path = f"v{version}-{uuid4().hex}"
+    df.write.parquet(f"{table}/{path}")
+    df.sparkSession.createDataFrame([(version, path)], "version int, path string").coalesce(1).write.mode("append").json(f"{table}/_pointer")
+    return f"{table}/{path}"
+
+
+def current_version(spark: SparkSession, table: str) -> tuple[int, str]:
+    """Number and path of the newest version; of several of one number (a batch that was run again) the first by name."""
+    r = spark.read.schema("version int, path string").json(f"{table}/_pointer").orderBy(F.desc("version"), "path").first()
+    return r.version, f"{table}/{r.path}"
 
 
 def load_current(spark: SparkSession, table: str) -> DataFrame:
-    version = spark.read.schema("version int").json(f"{table}/_pointer").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{table}/v{version}")
+    return spark.read.parquet(current_version(spark, table)[1])

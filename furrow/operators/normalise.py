@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from furrow.functions import scalars as X
+from furrow.operators.merge import DIM_KEY
 from furrow.sources.landed import with_provenance
 from furrow.sources.specs import COMPAT, SPECS
 
-DIM_KEY = ["source_system", "state", "market_name", "commodity_name", "variety"]
 
 
 def _field(record: Column, names: list[str]) -> Column:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from furrow.data import load
 from furrow.functions import scalars as X
-from furrow.functions.fuzzy import MIN_MARGIN, MIN_SCORE, SURE, name_score
+from furrow.functions.fuzzy import MIN_MARGIN, MIN_SCORE, SURE, Lookup, candidate_names
+from furrow.session import ship
 
-#: Words that say nothing about a crop (fixed values).
-STOP_WORDS = "wet dry raw small big fresh green red white black seeds seed leaf leaves split".split()
+#: Words that say nothing about a crop.
+STOP_WORDS: list[str] = load("words")["stop_words"]
+#: Entries of a lookup that are sent to tasks at once.
+LOOKUP_ENTRIES = 20_000
 
 
 def _entity_keys(entities: DataFrame) -> DataFrame:
@@ -99,42 +106,73 @@ def resolve_aliases(names: DataFrame, lookup: DataFrame, name: str = "alias_inpu
     return names.withColumn("_k", X.lower_strip(F.col(name))).join(keys, "_k", "left").drop("_k")
 
 
+def _grams(text: Column, size: int = 3) -> Column:
+    """The distinct stretches of 1 to size characters of a text."""
+
+    def of(k: int) -> Column:
+        starts = F.when(F.length(text) >= k, F.sequence(F.lit(1), F.length(text) - (k - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substr(text, i, F.lit(k)))
+
+    return F.array_distinct(F.concat(*(of(k) for k in range(1, size + 1))))
+
+
+def _containing(needles: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Rows of needles (.., needle) joined with aliases (.., alias) that contain them: an equi-join on the needle's first three characters, then the test."""
+    n = needles.where(F.length("needle") > 0).withColumn("_gram", F.substring("needle", 1, 3))
+    return n.join(aliases.withColumn("_gram", F.explode(_grams(F.col("alias")))), "_gram").where(F.col("alias").contains(F.col("needle"))).drop("_gram")
+
+
 def crop_master_id(names: DataFrame, lookup: DataFrame, name: str = "name") -> DataFrame:
     """Names with a crop id: exact alias first, then an alias that contains the name; the smallest entry wins."""
     usable = lookup.where(F.coalesce("crop_master_id", F.lit("")) != "").select("id", "crop_master_id", F.explode("aliases").alias("alias"))
-    low = names.select(name).distinct().withColumn("_k", X.lower_strip(F.col(name)))
-    hit = low.join(F.broadcast(usable), F.col("alias").contains(F.col("_k"))).withColumn("rank", F.when(F.col("alias") == F.col("_k"), 1).otherwise(2))
+    low = names.select(name).distinct().withColumn("needle", X.lower_strip(F.col(name)))
+    hit = _containing(low, usable).withColumn("rank", F.when(F.col("alias") == F.col("needle"), 1).otherwise(2))
     best = hit.groupBy(name).agg(F.min(F.struct("rank", "id", "crop_master_id")).alias("b"))
-    return low.drop("_k").join(best, name, "left").select(name, F.col("b.crop_master_id").alias("crop_master_id"), F.col("b.rank").alias("rank"))
+    return low.drop("needle").join(best, name, "left").select(name, F.col("b.crop_master_id").alias("crop_master_id"), F.col("b.rank").alias("rank"))
 
 
 def token_match(names: DataFrame, crops: DataFrame, name: str = "name") -> DataFrame:
-    """The first crop (by ordinal) with an alias that a candidate equals, or that contains the clean name or one of its words."""
-    low = F.lower(F.trim(name))
-    clean = F.trim(F.regexp_replace(low, r"[()/\-]", " "))
+    """The first crop (by ordinal) with an alias that a candidate of the name equals, or that contains the clean name or one of its words."""
+    clean = F.trim(F.regexp_replace(F.trim(name), r"[()/\-]", " "))
     words = F.filter(F.split(clean, r"\s+"), lambda w: (F.length(w) >= 3) & ~w.isin(*STOP_WORDS))
-    probes = names.select(name).distinct().withColumn("_clean", clean).withColumn("_words", words).withColumn("_cands", F.array_distinct(F.concat(F.array(low), F.transform(F.split(low, r"[/(),\-]"), lambda p: F.trim(p)))))
-    each = F.broadcast(crops.select("ordinal", "crop_id", F.explode("aliases").alias("alias")))  # the crop master is a small table
-    hit = F.expr("array_contains(_cands, alias) or contains(alias, _clean) or exists(_words, w -> contains(alias, w))")
-    best = probes.join(each, hit).groupBy(name).agg(F.min(F.struct("ordinal", "crop_id")).alias("b"))
-    return probes.select(name).join(best, name, "left").select(name, F.col("b.crop_id").alias("crop_id"))
+    probes = names.select(name).distinct()
+    each = crops.select("ordinal", "crop_id", F.explode("aliases").alias("alias"))
+    same = probes.withColumn("alias", F.explode(candidate_names(F.col(name)))).join(each, "alias")
+    inside = _containing(probes.withColumn("needle", F.explode(F.array_distinct(F.concat(F.array(clean), words)))), each)
+    best = same.select(name, "ordinal", "crop_id").union(inside.select(name, "ordinal", "crop_id")).groupBy(name).agg(F.min(F.struct("ordinal", "crop_id")).alias("b"))
+    return probes.join(best, name, "left").select(name, F.col("b.crop_id").alias("crop_id"))
 
 
-def fuzzy_best(names: DataFrame, lookup: DataFrame, name: str = "name") -> DataFrame:
+def fuzzy_best(names: DataFrame, lookup: DataFrame, name: str = "name", contained: int = 5, block: int = LOOKUP_ENTRIES) -> DataFrame:
     """Best and second score of each distinct name over the lookup's names, and whether it is accepted.
 
-    The lookup is a hand-kept table of some thousand names, which is broadcast; names
-    are distinct before they meet it, and scores come from Arrow batches.
+    Names are distinct before they meet the lookup, in Arrow batches. The lookup (a hand-kept table of some
+    thousand names) is sent out in blocks of block entries, so its size is bounded, and each block gives its best two.
     """
-    probes = names.select(name).where(F.trim(name) != "").distinct()
-    entries = lookup.select("id", F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"))
-    pairs = probes.crossJoin(F.broadcast(entries)).withColumn("score", name_score(F.col(name), F.col("names")))
-    order = Window.partitionBy(name).orderBy(F.desc("score"), "id")
-    top = pairs.withColumn("r", F.row_number().over(order)).where("r <= 2").groupBy(name).agg(
+    spark = names.sparkSession
+    ship(spark)
+    probes = names.select(F.col(name).alias("name")).where(F.trim(name) != "").distinct()
+    entries = lookup.select(F.col("id").cast("string").alias("id"), "canonical_name", F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"))
+    blocks = max(1, -(-entries.count() // block))
+    pairs = None
+    for k in range(blocks):  # one, unless the lookup is large
+        own = entries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).select("id", "names").collect()
+        held = spark.sparkContext.broadcast([(r.id, r.names) for r in own])
+
+        def run(frames: Iterable[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+            known = Lookup(held.value, contained)
+            for f in frames:
+                yield pd.DataFrame([(n, i, s) for n in f["name"] for s, i in known.best_two(n)], columns=["name", "id", "score"])
+
+        found = probes.mapInPandas(run, "name string, id string, score double")
+        pairs = found if pairs is None else pairs.union(found)
+    order = Window.partitionBy("name").orderBy(F.desc("score"), "id")
+    top = pairs.withColumn("r", F.row_number().over(order)).where("r <= 2").groupBy("name").agg(
         F.max(F.when(F.col("r") == 1, F.col("id"))).alias("best_id"),
         F.max(F.when(F.col("r") == 1, F.col("score"))).alias("score"),
         F.coalesce(F.max(F.when(F.col("r") == 2, F.col("score"))), F.lit(0.0)).alias("second"),
     )
     sure = (F.col("score") >= MIN_SCORE) & ((F.col("score") - F.col("second") >= MIN_MARGIN) | (F.col("score") >= SURE))
     why = F.when(sure, F.lit(None).cast("string")).when(F.col("score") < MIN_SCORE, "score too low").otherwise("margin too small")
-    return top.withColumn("accepted", sure).withColumn("reason", why)
+    top = top.join(entries.select(F.col("id").alias("best_id"), F.col("canonical_name").alias("best_name")), "best_id", "left")
+    return top.select(F.col("name").alias(name), "best_id", "best_name", "score", "second", sure.alias("accepted"), why.alias("reason"))

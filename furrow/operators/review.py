@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from furrow.functions import scalars as X
+from furrow.sources.specs import NATIONAL
 
 MAX_PRICE_ITEMS = 500
 SAMPLES = 10
@@ -26,16 +27,18 @@ def first_samples(column: str, k: int = SAMPLES) -> Column:
     return F.slice(F.array_sort(F.collect_set(column)), 1, k)
 
 
-def _source(rows: DataFrame) -> DataFrame:
+def _named(rows: DataFrame) -> DataFrame:
+    """rows with _source, _state, _market and _commodity: empty names are none."""
     unknown = F.lit("unknown")
-    return rows.withColumn("_source", F.coalesce("source", "source_system", unknown)).withColumn("_state", F.coalesce("state", unknown))
+    name = lambda c: F.when(X.truthy(F.col(c)), F.col(c))
+    return rows.select("*", F.coalesce(name("source"), name("source_system"), unknown).alias("_source"), F.coalesce(name("state"), unknown).alias("_state"), name("market_name").alias("_market"), name("commodity_name").alias("_commodity"), name("source_system").alias("_system"))
 
 
 def run_stats(rows: DataFrame) -> DataFrame:
     """By source and state: records, markets, crops without an alias entry, markets without an id."""
-    unmapped = F.when(F.col("commodity_alias_lookup_id").isNull(), F.col("commodity_name"))
-    unknown = F.when(F.col("market_id").isNull(), F.col("market_name"))
-    return _source(rows).groupBy(F.col("_source").alias("source"), F.col("_state").alias("state")).agg(F.count("*").alias("records"), F.count_distinct("market_name").alias("markets"), F.count_distinct(unmapped).alias("unmapped_commodities"), F.count_distinct(unknown).alias("unknown_markets"))
+    unmapped = F.when(F.col("commodity_alias_lookup_id").isNull(), F.col("_commodity"))
+    unknown = F.when(F.col("market_id").isNull(), F.col("_market"))
+    return _named(rows).groupBy(F.col("_source").alias("source"), F.col("_state").alias("state")).agg(F.count("*").alias("records"), F.count_distinct("_market").alias("markets"), F.count_distinct(unmapped).alias("unmapped_commodities"), F.count_distinct(unknown).alias("unknown_markets"))
 
 
 def run_documents(stats: DataFrame, status: DataFrame, run_id: str) -> DataFrame:
@@ -45,6 +48,11 @@ def run_documents(stats: DataFrame, status: DataFrame, run_id: str) -> DataFrame
     return status.join(states, "source", "left").select(F.lit(run_id).alias("run_id"), "source", "success", error.alias("error"), F.col("records").alias("records_fetched"), F.coalesce("records_normalised", F.lit(0)).alias("records_normalised"), "states")
 
 
+def append_run(documents: DataFrame, path: str) -> None:
+    """Add the documents of a run to the log: runs are only ever appended."""
+    documents.write.mode("append").parquet(path)
+
+
 def pipeline_row(documents: DataFrame) -> DataFrame:
     """The sum of all sources of a run."""
     failed = F.array_sort(F.collect_list(F.when(~F.col("success"), F.col("source"))))
@@ -52,13 +60,13 @@ def pipeline_row(documents: DataFrame) -> DataFrame:
 
 
 def unmapped(rows: DataFrame) -> DataFrame:
-    own = _source(rows).where("commodity_name is not null and commodity_alias_lookup_id is null")
-    return own.groupBy("commodity_name").agg(F.count("*").alias("records"), F.array_sort(F.collect_set("_state")).alias("states"), F.array_sort(F.collect_set(F.coalesce("source_system", "_source"))).alias("sources"), first_samples("market_name").alias("sample_markets"))
+    own = _named(rows).where("_commodity is not null and commodity_alias_lookup_id is null")
+    return own.groupBy("commodity_name").agg(F.count("*").alias("records"), F.array_sort(F.collect_set("_state")).alias("states"), F.array_sort(F.collect_set(F.coalesce("_system", "_source"))).alias("sources"), first_samples("_market").alias("sample_markets"))
 
 
 def unknown_markets(rows: DataFrame) -> DataFrame:
-    own = _source(rows).where("market_name is not null and market_id is null")
-    return own.groupBy(F.col("_state").alias("state"), "market_name").agg(F.count("*").alias("records"), F.array_sort(F.collect_set(F.coalesce("source_system", "_source"))).alias("sources"), first_samples("commodity_name").alias("sample_commodities"))
+    own = _named(rows).where("_market is not null and market_id is null")
+    return own.groupBy(F.col("_state").alias("state"), "market_name").agg(F.count("*").alias("records"), F.array_sort(F.collect_set(F.coalesce("_system", "_source"))).alias("sources"), first_samples("_commodity").alias("sample_commodities"))
 
 
 def bad_prices(rows: DataFrame, limit: int = MAX_PRICE_ITEMS) -> DataFrame:
@@ -82,15 +90,17 @@ def review_items(rows: DataFrame, status: DataFrame, run_id: str, now: Column) -
     error = F.substring(F.coalesce(c("details"), c("error"), F.lit("invalid payload")), 1, 1000)
     failed = status.where("not success").select(*item(F.concat_ws("|", F.lit("run_failed"), c("source"), day), "run_failed", F.concat(c("source"), F.lit(" scrape failed on "), day), F.to_json(F.struct(error.alias("error"), day.alias("date"))), source=c("source")))
     crops = unmapped(rows).select(*item(F.concat(F.lit("unmapped_commodity|"), c("commodity_name")), "unmapped_commodity", F.concat(F.lit("Crop name not matched: "), c("commodity_name")), F.to_json(F.struct("commodity_name")), records=c("records"), states=c("states"), sources=c("sources"), sample_markets=c("sample_markets")))
-    markets = unknown_markets(rows).select(*item(F.concat_ws("|", F.lit("unknown_market"), c("state"), c("market_name")), "unknown_market", F.concat(F.lit("Mandi not found: "), c("market_name"), F.lit(" ("), c("state"), F.lit(")")), F.to_json(F.struct("market_name")), state=c("state"), records=c("records"), sources=c("sources"), sample_commodities=c("sample_commodities")))
+    markets = unknown_markets(rows).select(*item(F.concat_ws("|", F.lit("unknown_market"), c("state"), c("market_name")), "unknown_market", F.concat(F.lit("Market not found: "), c("market_name"), F.lit(" ("), c("state"), F.lit(")")), F.to_json(F.struct("market_name")), state=c("state"), records=c("records"), sources=c("sources"), sample_commodities=c("sample_commodities")))
     date = X.date_key(c("date"))
     prices = bad_prices(rows).select(*item(F.concat_ws("|", F.lit("price_invalid"), *(text(x) for x in (c("source_system"), c("state"), c("market_name"), c("commodity_name"), c("variety"), date))), "price_invalid", F.concat(F.lit("Price looks wrong: "), text(c("commodity_name")), F.lit(" at "), text(c("market_name")), F.lit(" on "), text(date)), F.to_json(F.struct("problems", "market_name", "commodity_name", "variety", date.alias("date"), "min_price", "max_price", "modal_price")), state=c("state"), source=c("source_system"), records=F.lit(1)))
     return failed.unionByName(crops).unionByName(markets).unionByName(prices).withColumn("ordinal", F.lit(0))
 
 
-def suggestions(best: DataFrame, now: Column, run_id: str) -> DataFrame:
-    """Review rows for the matches that are sure enough to be proposed."""
-    return best.where("accepted").select(F.concat(F.lit("alias_suggestion|"), F.col("name")).alias("key"), F.lit("alias_suggestion").alias("type"), F.col("best_id").alias("suggested_id"), F.round("score", 3).alias("score"), F.lit(run_id).alias("last_run_id"), now.alias("last_seen"))
+def suggestions(best: DataFrame, now: Column, script: str) -> DataFrame:
+    """Guesses of the fuzzy matcher (name, records, best_id, best_name, score, reason) as review rows for a person to approve: a merge by SUGGESTION policies keeps what the queue knows."""
+    c = F.col
+    guess = F.struct(c("best_id").cast("string").alias("group_id"), c("best_name").alias("group_name"), F.round(F.coalesce("score", F.lit(0.0)), 3).alias("score"), c("reason").alias("reason"), F.lit(script).alias("by"), now.alias("at"))
+    return best.select(F.concat(F.lit("unmapped_commodity|"), "name").alias("key"), F.lit("unmapped_commodity").alias("type"), F.lit("open").alias("status"), F.concat(F.lit("Crop name not matched: "), "name").alias("title"), F.to_json(F.struct(c("name").alias("commodity_name"))).alias("details"), now.alias("first_seen"), now.alias("last_seen"), F.coalesce(c("records"), F.lit(0)).cast("bigint").alias("records_seen"), guess.alias("suggestion"), F.lit(0).alias("ordinal"))
 
 
 def overall_status(status: DataFrame) -> DataFrame:
@@ -99,7 +109,7 @@ def overall_status(status: DataFrame) -> DataFrame:
     return status.agg(ok.alias("ok"), bad.alias("failed"), F.sum("records").alias("records")).withColumn("status", F.when(F.col("failed") == 0, "SUCCESS").when(F.col("ok") > 0, "PARTIAL").otherwise("FAILED"))
 
 
-def source_lines(status: DataFrame, national: str = "agmarknet") -> DataFrame:
+def source_lines(status: DataFrame, national: str = NATIONAL) -> DataFrame:
     """Sources for the report, the national feed first and then by name, with what to show."""
     shown = F.when(F.col("success") & (F.col("records") == 0), "SKIPPED").when(F.col("success"), "OK").otherwise(F.concat(F.lit("FAILED: "), X.error_text(F.col("error"), F.col("details"), 220)))
     order = Window.orderBy(F.when(F.col("source") == national, 0).otherwise(1), F.lower("source"))  # one row for each source

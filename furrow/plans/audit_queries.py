@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.operators import audit as A
@@ -26,6 +26,43 @@ m AS (SELECT 'c_name' AS metric, a AS value, total FROM t UNION ALL SELECT 'c_ac
 SELECT 'dim' AS section, metric, value, total, round(100.0::DOUBLE * value / total, 2) AS pct, CASE WHEN value = 0 THEN 'ok' WHEN 10 * value < total THEN 'warn' ELSE 'err' END AS severity FROM m"""
 
 
+def null_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Nulls of all columns of three tables, and of all together."""
+    o = table(spark, d, "orders")
+    o = o.select(*(F.when(F.col("o_orderkey") % (k + 2) != 0, F.col(c)).alias(c) for k, c in enumerate(o.columns)))
+    s = table(spark, d, "supplier")
+    found = A.nulls(_dirty_customers(spark, d), "dim", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]).unionByName(A.nulls(o, "fact", o.columns)).unionByName(A.nulls(s, "master", s.columns))
+    return A.grand_total(found)
+
+
+_ORDERS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+NULL_TOTALS = f"""
+WITH m AS (
+  SELECT 'dim' AS section, unnest(['c_custkey', 'c_name', 'c_acctbal', 'c_mktsegment']) AS metric, unnest([0, count(*) FILTER (c_custkey % 11 = 0), count(*) FILTER (c_custkey % 3 = 0), 0]) AS value, count(*) AS total FROM customer
+  UNION ALL SELECT 'fact', unnest({_ORDERS}), unnest([{", ".join(f"count(*) FILTER (o_orderkey % {k + 2} = 0)" for k in range(6))}]), count(*) FROM orders
+  UNION ALL SELECT 'master', unnest(['s_suppkey', 's_name', 's_nationkey', 's_acctbal']), 0, count(*) FROM supplier),
+a AS (SELECT * FROM m UNION ALL SELECT 'all', 'all', sum(value)::BIGINT, sum(total)::BIGINT FROM m)
+SELECT *, round(100.0::DOUBLE * value / total, 2) AS pct, CASE WHEN value = 0 THEN 'ok' WHEN 10 * value < total THEN 'warn' ELSE 'err' END AS severity FROM a"""
+
+
+def quality_holes(spark: SparkSession, d: str) -> DataFrame:
+    """Missing names and empty varieties by source."""
+    p = table(spark, d, "part").select("p_brand", F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")).alias("name"), F.when(F.col("p_partkey") % 5 == 0, F.lit(" ")).when(F.col("p_partkey") % 5 != 1, F.col("p_type")).alias("variety"))
+    return A.quality_holes(p, "p_brand", ["name", "variety"], ("variety",))
+
+
+QUALITY_HOLES = """
+SELECT p_brand, unnest(['name_null', 'variety_null', 'variety_empty']) AS metric, unnest([count(*) FILTER (p_partkey % 7 = 0), count(*) FILTER (p_partkey % 5 = 1), count(*) FILTER (p_partkey % 5 = 0)]) AS value, count(*) AS total FROM part GROUP BY p_brand"""
+
+
+def unmatched_names(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select(F.when(F.col("p_partkey") % 9 != 0, F.upper("p_type")).alias("name"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand")).alias("fk"))
+    return A.unmatched_names(p, "name", "fk")
+
+
+UNMATCHED_NAMES = "SELECT CASE WHEN p_partkey % 9 <> 0 THEN lower(p_type) ELSE '' END AS name, count(*) AS n FROM part WHERE p_partkey % 4 = 0 GROUP BY 1"
+
+
 def price_logic(spark: SparkSession, d: str) -> DataFrame:
     return A.fused_counts(table(spark, d, "lineitem"), "prices", A.price_logic("l_tax", "l_discount", "l_quantity"))
 
@@ -45,6 +82,16 @@ def dup_groups(spark: SparkSession, d: str) -> DataFrame:
 DUP_GROUPS = "SELECT l_orderkey, l_partkey, count(*) AS n, min(l_linenumber) AS first_id, max(l_linenumber) AS last_id, count(*) - 1 AS extra FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"
 
 
+def dup_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of all groups of duplicates; null is a key like any other."""
+    x = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("part"), "l_linenumber")
+    return A.duplicate_rows(x, ["l_orderkey", "part"], "l_linenumber")
+
+
+DUP_ROWS = """
+SELECT l_orderkey, part, l_linenumber, n FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, part) AS n FROM (SELECT l_orderkey, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey END AS part, l_linenumber FROM lineitem)) WHERE n > 1"""
+
+
 def dup_totals(spark: SparkSession, d: str) -> DataFrame:
     return A.duplicate_groups(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"]).agg(F.count("*").alias("groups"), F.coalesce(F.sum("extra"), F.lit(0)).alias("extra_rows"))
 
@@ -52,23 +99,32 @@ def dup_totals(spark: SparkSession, d: str) -> DataFrame:
 DUP_TOTALS = "SELECT count(*) AS groups, coalesce(sum(n - 1), 0)::BIGINT AS extra_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)"
 
 
+def _other(key: str, keep: Column) -> Column:
+    """key, or another value that no row has where keep isn't true: all rows are there, but some lose their match."""
+    return F.when(keep, F.col(key)).otherwise(-1 - F.col(key))
+
+
 def orphan_dims(spark: SparkSession, d: str) -> DataFrame:
-    return A.childless(table(spark, d, "customer"), table(spark, d, "orders").where("o_orderstatus = 'P'"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    o = table(spark, d, "orders").select(_other("o_custkey", F.col("o_orderstatus") == "P").alias("o_custkey"))
+    return A.childless(table(spark, d, "customer"), o, "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 ORPHAN_DIMS = "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"
 
 
+def _most_orders(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(_other("o_orderkey", F.col("o_orderkey") % 7 != 0).alias("o_orderkey"))
+
+
 def orphan_facts(spark: SparkSession, d: str) -> DataFrame:
-    kept = table(spark, d, "orders").where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
-    return table(spark, d, "lineitem").join(kept, "l_orderkey", "left_anti").agg(F.count("*").alias("rows"))
+    return A.orphans(table(spark, d, "lineitem"), _most_orders(spark, d), "l_orderkey", "o_orderkey").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
 
 
 ORPHAN_FACTS = "SELECT count(*) AS rows FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0)"
 
 
 def orphan_fks(spark: SparkSession, d: str) -> DataFrame:
-    return A.orphans(table(spark, d, "lineitem"), table(spark, d, "orders").where("o_orderkey % 7 <> 0"), "l_orderkey", "o_orderkey")
+    return A.orphans(table(spark, d, "lineitem"), _most_orders(spark, d), "l_orderkey", "o_orderkey")
 
 
 ORPHAN_FKS = "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0) GROUP BY 1"
@@ -76,8 +132,8 @@ ORPHAN_FKS = "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NO
 
 def future_by_source(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").where(F.col("o_orderdate") > F.lit("1997-01-01").cast("timestamp_ntz"))
-    c = table(spark, d, "customer").where("c_custkey % 5 <> 0")
-    return o.join(c, o.o_custkey == c.c_custkey, "left").groupBy("c_mktsegment").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c_mktsegment")
+    c = table(spark, d, "customer").select(_other("c_custkey", F.col("c_custkey") % 5 != 0).alias("o_custkey"), "c_mktsegment")
+    return o.join(c, "o_custkey", "left").groupBy("c_mktsegment").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c_mktsegment")
 
 
 FUTURE_BY_SOURCE = "SELECT c_mktsegment, count(*) AS n FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey WHERE o_orderdate > TIMESTAMP '1997-01-01' GROUP BY 1"
@@ -93,8 +149,7 @@ DISTRIBUTION = "SELECT s_nationkey, count(*) AS n, CASE WHEN count(*) < 5 THEN '
 def freshness(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     x = A.freshness(o, "o_orderdate", F.lit(_NOW).cast("timestamp"), 30)
-    r = A.date_range(o, "o_orderdate", F.lit(_NOW).cast("date"))
-    return x.crossJoin(r).select("recent", F.date_format("latest", "yyyy-MM-dd").alias("latest"), F.date_format("first", "yyyy-MM-dd").alias("first"), "days_since")
+    return x.select("recent", F.date_format("latest", "yyyy-MM-dd").alias("latest"), F.date_format("first", "yyyy-MM-dd").alias("first"), "days_since")
 
 
 FRESHNESS = f"SELECT count(*) FILTER (o_orderdate > TIMESTAMP '{_NOW}' - INTERVAL 30 DAY) AS recent, strftime(max(o_orderdate), '%Y-%m-%d') AS latest, strftime(min(o_orderdate), '%Y-%m-%d') AS first, CAST(date_diff('day', max(o_orderdate)::DATE, DATE '{_NOW}') AS INTEGER) AS days_since FROM orders"
@@ -108,32 +163,52 @@ OUTLIERS = "SELECT 'balance' AS section, metric, value, total FROM (SELECT 'belo
 
 
 def severity_rollup(spark: SparkSession, d: str) -> DataFrame:
-    rules = spark.createDataFrame([("balance", "below_zero", "critical", "negative balances"), ("balance", "above_most", "warning", "large balances"), ("dim", "c_name", "critical", "names missing"), ("dim", "c_mktsegment", "warning", "segments missing")], "section string, metric string, level string, message string")
-    metrics = outliers(spark, d).unionByName(null_scan(spark, d).select("section", "metric", "value", "total"))
-    return A.rollup(metrics, rules)
-
-
-SEVERITY_ROLLUP = """
-SELECT * FROM (
-  SELECT 'critical' AS level, 'balance' AS section, 'below_zero' AS metric, count(*) FILTER (c_acctbal < 0) AS value, 'negative balances' AS message FROM customer
-  UNION ALL SELECT 'warning', 'balance', 'above_most', count(*) FILTER (c_acctbal > 9000), 'large balances' FROM customer
-  UNION ALL SELECT 'critical', 'dim', 'c_name', count(*) FILTER (c_custkey % 11 = 0), 'names missing' FROM customer) WHERE value > 0"""
+    """The nightly audit's rules over line items as prices, orders as facts and customers as dimension."""
+    x, o, c = (table(spark, d, t) for t in ("lineitem", "orders", "customer"))
+    metrics = [
+        A.fused_counts(x, "prices", A.price_logic("l_tax", "l_discount", "l_quantity")),
+        A.outliers(c, "arrivals", "c_acctbal", 9000.0),
+        A.fused_counts(o, "facts", {"future": F.col("o_orderdate") > F.lit("1998-01-01").cast("timestamp_ntz")}),
+        A.nulls(c.select(F.when(F.col("c_custkey") % 11 != 0, F.col("c_nationkey")).alias("market_id"), F.col("c_mktsegment").alias("commodity_alias_lookup_id")), "dims", ["market_id", "commodity_alias_lookup_id"]).select("section", "metric", "value", "total"),
+        orphan_facts(spark, d).select(F.lit("facts").alias("section"), F.lit("orphans").alias("metric"), F.col("rows").alias("value"), F.lit(None).cast("bigint").alias("total")),
+        dup_totals(spark, d).select(F.lit("facts").alias("section"), F.lit("duplicates").alias("metric"), F.col("groups").alias("value"), F.lit(None).cast("bigint").alias("total")),
+        orphan_dims(spark, d).agg(F.count("*").alias("value")).select(F.lit("dims").alias("section"), F.lit("childless").alias("metric"), "value", F.lit(None).cast("bigint").alias("total")),
+    ]
+    every = metrics[0]
+    for m in metrics[1:]:
+        every = every.unionByName(m)
+    return A.rollup(every, A.rules(spark))
+
+
+_RULES_SQL = ", ".join(str(r) for r in A.RULES)
+SEVERITY_ROLLUP = f"""
+WITH rules(section, metric, level, message) AS (VALUES {_RULES_SQL}),
+m AS (
+  SELECT 'prices' AS section, unnest(['min_above_max', 'modal_above_max', 'modal_below_min', 'negative', 'zero']) AS metric,
+         unnest([count(*) FILTER (l_tax > l_discount), count(*) FILTER (l_quantity > l_discount), count(*) FILTER (l_quantity < l_tax), count(*) FILTER (l_tax < 0 OR l_discount < 0 OR l_quantity < 0), count(*) FILTER (l_tax = 0 OR l_discount = 0 OR l_quantity = 0)]) AS value FROM lineitem
+  UNION ALL SELECT 'arrivals', unnest(['below_zero', 'above_most']), unnest([count(*) FILTER (c_acctbal < 0), count(*) FILTER (c_acctbal > 9000)]) FROM customer
+  UNION ALL SELECT 'facts', 'future', count(*) FILTER (o_orderdate > TIMESTAMP '1998-01-01') FROM orders
+  UNION ALL SELECT 'dims', 'market_id', count(*) FILTER (c_custkey % 11 = 0) FROM customer
+  UNION ALL SELECT 'facts', 'orphans', rows FROM ({ORPHAN_FACTS}) UNION ALL SELECT 'facts', 'duplicates', groups FROM ({DUP_TOTALS}) UNION ALL SELECT 'dims', 'childless', count(*) FROM ({ORPHAN_DIMS}))
+SELECT level, section, metric, value::BIGINT AS value, message FROM m JOIN rules USING (section, metric) WHERE value > 0"""
 
 
 def cross_source_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return A.source_overlap(table(spark, d, "documents"), [F.md5(F.lower("text")).alias("k")], "source")
+    x = table(spark, d, "documents").withColumn("source", F.when(F.col("doc_id") % 13 != 0, F.col("source")))
+    return A.source_overlap(x, [F.md5(F.lower("text")).alias("k")], "source")
 
 
 CROSS_SOURCE_OVERLAP = """
-WITH k AS (SELECT md5(lower(text)) AS k, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(DISTINCT source) AS s, count(*) AS n FROM documents GROUP BY 1)
+WITH k AS (SELECT md5(lower(text)) AS k, array_to_string(list_sort(list(DISTINCT x)), '|') AS sources, count(DISTINCT x) AS s, count(*) AS n FROM (SELECT text, CASE WHEN doc_id % 13 <> 0 THEN source ELSE '' END AS x FROM documents) GROUP BY 1)
 SELECT sources, count(*) AS keys, sum(n)::BIGINT AS docs FROM k WHERE s > 1 GROUP BY 1"""
 
 
 def name_variants(spark: SparkSession, d: str) -> DataFrame:
-    return A.variants(table(spark, d, "part"), ["p_brand", "p_size"], "p_type")
+    p = table(spark, d, "part").withColumn("name", F.when(F.col("p_partkey") % 6 != 0, F.col("p_type")))
+    return A.variants(p, ["p_brand", "p_size"], "name")
 
 
-NAME_VARIANTS = "SELECT p_brand, p_size, count(*) AS n, count(DISTINCT p_type) AS n_names, array_to_string(list_sort(list(DISTINCT p_type)), '|') AS names FROM part GROUP BY 1, 2 HAVING count(*) > 1 AND count(DISTINCT p_type) > 1"
+NAME_VARIANTS = "SELECT p_brand, p_size, count(*) AS n, count(DISTINCT t) AS n_names, array_to_string(list_sort(list(DISTINCT t)), '|') AS names FROM (SELECT *, CASE WHEN p_partkey % 6 <> 0 THEN p_type ELSE '' END AS t FROM part) GROUP BY 1, 2 HAVING count(*) > 1 AND count(DISTINCT t) > 1"
 
 
 def alias_collisions(spark: SparkSession, d: str) -> DataFrame:
@@ -153,7 +228,7 @@ LOOKUP_KEY_DUPS = "SELECT p_size, count(*) AS n, count(DISTINCT CASE WHEN p_part
 
 def uniqueness(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "lineitem")
-    return A.uniqueness(x, ["l_orderkey", "l_linenumber"], "line").union(A.uniqueness(x, ["l_orderkey", "l_partkey"], "part"))
+    return A.uniqueness(x, {"line": ["l_orderkey", "l_linenumber"], "part": ["l_orderkey", "l_partkey"]})
 
 
 UNIQUENESS = """
@@ -199,4 +274,4 @@ SELECT count(*) FILTER (p_partkey % 3 <> 2) AS active_or_null, count(*) FILTER (
        count(*) FILTER (len(list_distinct(string_split(lower(p_name), ''))) > 6) AS array_size
 FROM part"""
 
-QUERIES = {k: (globals()[k], globals()[k.upper()]) for k in "null_scan price_logic dup_groups dup_totals orphan_dims orphan_facts orphan_fks future_by_source distribution freshness outliers severity_rollup cross_source_overlap name_variants alias_collisions lookup_key_dups uniqueness alias_health top_groups predicates".split()}
+QUERIES = {k: (globals()[k], globals()[k.upper()]) for k in "null_scan null_totals quality_holes unmatched_names price_logic dup_groups dup_rows dup_totals orphan_dims orphan_facts orphan_fks future_by_source distribution freshness outliers severity_rollup cross_source_overlap name_variants alias_collisions lookup_key_dups uniqueness alias_health top_groups predicates".split()}

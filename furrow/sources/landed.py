@@ -4,26 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from furrow.data import load
 from furrow.functions import scalars as X
 
-#: Where each source's records come from (fixed values): url, method, kind of source.
-SOURCES = {
-    "karnataka": ("https://krama.karnataka.gov.in/Reports/Main_rep", "scrapper", "state_level_website"),
-    "maharashtra": ("https://www.msamb.com/ApmcDetail/DataGridBind", "external_apis", "state_level_website"),
-    "punjab": ("https://emandikaran-pb.in/Home/MandiArrival", "external_apis", "state_level_website"),
-    "uttar_pradesh": ("https://upmandiprices.in/", "external_apis", "state_level_website"),
-    "nagaland": ("https://www.commodityonline.com/mandiprices/state/nagaland", "scrapper", "state_level_website"),
-    "meghalaya": ("https://megamb.gov.in/Public/MegambDailyReport.aspx", "scrapper", "state_level_website"),
-    "agmarknet": ("https://api.agmarknet.gov.in/v1", "external_apis", "agmarknet"),
-    "andhra_pradesh": ("https://agriculture.ap.gov.in/staging/api/emarket/getMarketPriceData", "external_apis", "state_level_website"),
-}
+#: Where each source's records come from: url, method, kind of source.
+SOURCES: dict[str, dict[str, str]] = load("feeds")["sources"]
 PAGE, WINDOW = 10_000, 10_000
 
 
 def source_table(spark: SparkSession) -> DataFrame:
     """Rows (source, source_url, method, source_name): a fixed table, small enough to broadcast."""
-    return spark.createDataFrame([(k, *v) for k, v in SOURCES.items()], "source string, source_url string, method string, source_name string")
+    return spark.createDataFrame([(k, v["url"], v["method"], v["kind"]) for k, v in SOURCES.items()], "source string, source_url string, method string, source_name string")
 
 
 def with_provenance(df: DataFrame, source: str = "source") -> DataFrame:
@@ -35,17 +28,32 @@ def code_table(spark: SparkSession, path: str, columns: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=columns)
 
 
+def known_partitions(spark: SparkSession) -> DataFrame:
+    """The states that the national feed is asked for, one by one."""
+    return spark.createDataFrame([(x,) for x in load("words")["partitions"]], "partition string")
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Rows (source, success, error, details, ordinal, record) from JSON files {source: {success, data, error, details}}.
 
-    A source without data gives one row with a null record, so its status is kept.
+    A source without data gives one row with a null record, so its status is kept. A feed's data may itself be a text
+    that holds JSON. Each file is one value; a day's files are many.
     """
-    text = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
-    each = text.select("v", F.explode(F.from_json(F.to_json("v"), "map<string,string>")).alias("source", "payload"))
-    shape = "success boolean, data array<map<string,string>>, error string, details string"
-    body = each.select("source", F.from_json("payload", shape).alias("p"))
-    rows = body.select("source", F.coalesce("p.success", F.lit(False)).alias("success"), "p.error", "p.details", F.posexplode_outer("p.data").alias("ordinal", "record"))
-    return rows
+    return payload_records(spark.read.text(path, wholetext=True))
+
+
+def payload_records(texts: DataFrame, column: str = "value") -> DataFrame:
+    """As read_payloads, from texts in a column."""
+    each = texts.select(F.explode(F.from_json(column, "map<string,string>")).alias("source", "payload"))
+    body = each.select("source", F.from_json("payload", "success boolean, data string, error string, details string").alias("p"))
+    rows = F.from_json("p.data", "array<map<string,string>>")
+    return body.select("source", F.coalesce("p.success", F.lit(False)).alias("success"), "p.error", "p.details", F.posexplode_outer(rows).alias("ordinal", "record"))
+
+
+def chained_pages(pages: DataFrame, key: str = "source") -> DataFrame:
+    """Pages (key, page, has_next) that a reader who follows next links sees: up to the first without one."""
+    before = Window.partitionBy(key).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    return pages.withColumn("_open", F.coalesce(F.min(F.col("has_next").cast("int")).over(before), F.lit(1))).where("_open = 1").drop("_open")
 
 
 def source_status(payloads: DataFrame) -> DataFrame:
@@ -63,20 +71,21 @@ def flatten_locations(df: DataFrame, column: str) -> DataFrame:
 
     Keys other than dates are the location's own values; levels of another type are left out.
     """
-    spark = df.sparkSession
-    df.select(F.try_parse_json(column).alias("doc")).createOrReplaceTempView("furrow_nested")
-    return spark.sql("""
+    return df.sparkSession.sql(
+        """
         SELECT loc.key AS location,
                try_variant_get(loc.value, '$.latitude', 'double') AS latitude,
                try_variant_get(loc.value, '$.longitude', 'double') AS longitude,
                day.key AS day, crop.key AS crop_key, item.pos AS pos, item.value AS item
-        FROM furrow_nested,
+        FROM {nested},
              LATERAL variant_explode(doc) AS loc,
              LATERAL variant_explode(loc.value) AS day,
              LATERAL variant_explode(day.value) AS crop,
              LATERAL variant_explode(crop.value) AS item
         WHERE day.key NOT IN ('latitude', 'longitude') AND schema_of_variant(item.value) LIKE 'OBJECT%'
-    """)
+        """,
+        nested=df.select(F.try_parse_json(column).alias("doc")),
+    )
 
 
 def page_plan(totals: DataFrame, page: int = PAGE, window: int = WINDOW) -> DataFrame:
@@ -115,12 +124,15 @@ def gather(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def write_checkpoint(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_checkpoint(payloads: DataFrame, path: str) -> None:
+    """Payload records as JSON texts, one a line, that payload_records() reads again."""
+    own = payloads.groupBy("source").agg(F.bool_and("success").alias("success"), F.max("error").alias("error"), F.max("details").alias("details"), F.array_sort(F.collect_list(F.when(F.col("record").isNotNull(), F.struct("ordinal", "record")))).alias("rows"))
+    body = F.struct("success", F.transform("rows", lambda r: r["record"]).alias("data"), "error", "details")
+    own.select(F.to_json(F.create_map("source", body)).alias("value")).write.mode("overwrite").text(path)
 
 
-def read_checkpoint(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
+    return payload_records(spark.read.text(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -129,7 +141,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_names_csv(spark: SparkSession, path: str, schema: str, name: str = "commodity_name") -> DataFrame:
     """A CSV of names without blank ones and placeholders."""
-    rows = spark.read.csv(path, header=True, schema=schema)
+    rows = spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
     return rows.where((F.coalesce(F.trim(name), F.lit("")) != "") & (F.lower(F.trim(name)) != "(no commodity_name)"))
 
 
@@ -139,6 +151,13 @@ def sheet_columns(header: list[str], wanted: dict[str, tuple[str, ...]], positio
     return {field: next((i for i, h in enumerate(low) if any(w in h for w in words)), positions[field]) for field, words in wanted.items()}
 
 
+def read_sheet(spark: SparkSession, path: str, wanted: dict[str, tuple[str, ...]], positions: dict[str, int]) -> DataFrame:
+    """The wanted fields of a sheet saved as CSV, found by their headers: texts without outer white space, blank ones null."""
+    raw = spark.read.csv(path, header=True)
+    at = sheet_columns(raw.columns, wanted, positions)
+    return raw.toDF(*(f"c{i}" for i in range(len(raw.columns)))).select(*(X.blank_to_null(F.col(f"c{i}")).alias(field) for field, i in at.items()))
+
+
 def copy_table(spark: SparkSession, source: str, target: str) -> int:
     """Copy a table before it is changed; the copy must have as many rows."""
     df = spark.read.parquet(source)
@@ -164,5 +183,11 @@ def override_source(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("source_system", F.lit(label))
 
 
-def epoch_range(day: Column, now: Column, days_back: int = 30) -> Column:
-    return X.epoch_millis(day, F.unix_millis(now - F.make_dt_interval(F.lit(days_back))))
+def epoch_range(first: Column, last: Column, now: Column, days_back: int = 30) -> Column:
+    """A struct (start, end) of milliseconds for a request: what is given in whatever form, else the last days."""
+    return F.struct(X.epoch_millis(first, F.unix_millis(now - F.make_dt_interval(F.lit(days_back)))).alias("start"), X.epoch_millis(last, F.unix_millis(now)).alias("end"))
+
+
+def day_range(first: Column, last: Column, today: Column) -> Column:
+    """A struct (first, last) of days: those given, else yesterday and today."""
+    return F.struct(F.coalesce(first, F.date_sub(today, 1)).alias("first"), F.coalesce(last, today).alias("last"))

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-#: For each source label: its own name, and for each target the source fields in order of preference (fixed values).
-SPECS: dict[str, dict] = {
-    "karnataka": {"system": "krama", "date": ["Date"], "market": ["Market"], "commodity": ["Commodity"], "variety": ["Variety"], "grade": ["Grade"], "group": ["Group"], "arrival": ["Arrival"], "min": ["Min"], "max": ["Max"], "modal": ["Modal"]},
-    "meghalaya": {"system": "megamb", "date": ["date"], "market": ["market"], "commodity": ["commodity_name"], "variety": ["variety"], "grade": ["grade"], "group": ["Group Name"], "arrival": ["arrival_quintals"], "min": ["min_price_rs_per_quintal"], "max": ["max_price_rs_per_quintal"], "modal": ["modal_price_rs_per_quintal"]},
-    "nagaland": {"system": "commodity_online", "date": ["Arrival Date"], "market": ["Market"], "commodity": ["Commodity"], "variety": ["Variety"], "min": ["Min Price"], "max": ["Max Price"], "modal": ["Avg price"]},
-    "maharashtra": {"system": "msamb", "date": ["date"], "market": ["Market"], "commodity": ["commodity"], "variety": ["variety"], "arrival": ["arrival"], "min": ["min_price"], "max": ["max_price"], "modal": ["modal_price"]},
-    "uttar_pradesh": {"system": "up_krishi", "date": ["Date"], "market": ["Market", "market", "Mandi", "mandi"], "commodity": ["Commodity", "ProductName", "commodity"], "group": ["MainProductName", "Category"], "arrival": ["arrival", "aavakRate"], "min": ["min_price", "Wholesale_rate", "WholeSeleRate"], "max": ["max_price"], "modal": ["modal_price", "Retail_price", "PhutKarRate", "Wholesale_rate", "WholeSeleRate"]},
-    "punjab": {"system": "emandikaran", "date": ["EntryDate", "Date"], "market": ["BranchName", "Market", "market", "Mandi", "mandi"], "commodity": ["CommodityName", "Commodity", "commodity"], "arrival": ["Quantity", "arrival"], "min": ["Minprice", "min_price"], "max": ["MaxPrice", "max_price"], "modal": ["ModalPrice", "modal_price"]},
-    "agmarknet": {"system": "agmarknet", "date": ["arrival_date", "Arrival_Date", "reported_date"], "market": ["market", "Market"], "commodity": ["commodity", "Commodity", "cmdt_name"], "variety": ["variety", "Variety"], "grade": ["grade", "Grade"], "group": ["cmdt_grp_name"], "arrival": ["as_on_arrival"], "min": ["min_price", "Min_Price"], "max": ["max_price", "Max_Price"], "modal": ["modal_price", "Modal_Price", "as_on_price"], "state": ["state", "State"]},
-    "andhra_pradesh": {"system": "agriculture.ap.gov.in", "date": ["tranDate"], "market": ["mandi"], "commodity": ["commodity"], "variety": ["variety"], "arrival": ["arrivalQty"], "min": ["minPrice"], "max": ["maxPrice"], "modal": ["modalPrice"]},
-}
+from furrow.data import load
+
+#: For each source label: its own name, and for each target the source fields in order of preference.
+SPECS: dict[str, dict] = load("feeds")["specs"]
 #: Fields that the old normalisers looked for under names that their feeds don't use; compat mode does so again.
-COMPAT = {
-    "meghalaya": {"variety": ["Variety"], "grade": ["Grade"], "modal": ["Modal"], "group": []},
-    "nagaland": {"alias_input": ["commodity_name"]},
-    "karnataka": {"group": []},
-}
+COMPAT: dict[str, dict] = load("feeds")["compat"]
+#: The feed that covers all states.
+NATIONAL: str = load("feeds")["national"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from furrow.operators.merge import load_current, merge, save_version
+from furrow.operators.merge import current_version, load_current, merge, save_version
 
 
 def merge_stream(rows: DataFrame, table: str, key: list[str], policies: dict[str, str], checkpoint: str, order: str = "ordinal", trigger: dict | None = None) -> StreamingQuery:
@@ -25,7 +25,7 @@ def merge_stream(rows: DataFrame, table: str, key: list[str], policies: dict[str
 
 def _once(f: Callable[[DataFrame, int], None], table: str) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, number: int) -> None:
-        done = batch.sparkSession.read.schema("version int").json(f"{table}/_pointer").agg(F.max("version")).first()[0]
+        done, _ = current_version(batch.sparkSession, table)
         if done <= number:
             f(batch, number)
 

@@ -19,6 +19,42 @@ def test_parse_date(spark, text, day):
     assert value(spark, F.date_format(X.parse_date(F.lit(text).cast("string")), "yyyy-MM-dd")) == day
 
 
+def test_free_dates_against_dateutil(spark):
+    """Numbers and month names in all orders, short years, ordinals, times and missing parts."""
+    import itertools
+    import random
+
+    dateutil = pytest.importorskip("dateutil.parser")
+    r = random.Random(6)
+    texts = ["Jul 2026", "July 9, 2026", "9 July, 2026", "2026/07/09", "2026/07/28", "09-Jul-26", "9/7/26", "9th Jul 2026", "09/07/2026 06:30 PM", "Thu, 9 Jul 2026", "9 Jul", "1st Sept 1999", "31/02/2026", "Feb 2026", "12/31/99", "1.2.2003", "5 May 68", "5 May 80", "13/13/2026", "9 Jul 2026 12:05 am", "July 9 2026 23:59:58", "2026 Jul 09", "2026-7-9", "Smarch 5, 2026", "09 / 07 / 2026"]
+    for day, month, year in itertools.product((1, 9, 12, 13, 28), (2, 7, 11), (1994, 2026, 2003)):
+        name = ["February", "July", "November"][(2, 7, 11).index(month)]
+        m = r.choice([str(month), f"{month:02d}", name, name[:3], name[:3].upper()])
+        y, sep = r.choice([str(year), f"{year % 100:02d}"]), r.choice("/-. ")
+        parts = r.choice([(day, m, y), (m, day, year), (year, m, day)])
+        text = sep.join(map(str, parts)) if not m[0].isalpha() or sep != "." else " ".join(map(str, parts))
+        texts.append(text + r.choice(["", "", " 10:30", " 4:05 PM"]))
+    today = datetime(2026, 8, 31)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.parse_date(F.col("t"), F.lit("2026-08-31")).alias("d"))
+    got = {x.i: x.d for x in df.collect()}
+    wrong = []
+    for i, t in enumerate(texts):
+        iso = t[:10] if t[4:5] == "-" and t[7:8] == "-" and len(t) >= 10 and t[:4].isdigit() else None
+        try:
+            want = datetime.strptime(iso, "%Y-%m-%d") if iso else dateutil.parse(t, dayfirst=True, yearfirst=False, default=today)
+        except (ValueError, OverflowError):
+            want = None
+        if got[i] != want:
+            wrong.append((t, got[i], want))
+    assert wrong == []
+
+
+def test_numbers_as_general_text(spark):
+    numbers = [0.0, 1.0, -2600.0, 0.1, 1 / 3, 123456.0, 999999.4, 999999.5, 1e6, 1234567.0, 1.5e9, 0.0001, 0.00012345678, 0.00009999, 1e-7, -3.25e-9, 2450.255, 1e22, 12345.65, 1e100, 100000.0, 0.5]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double").select("i", X.number_text(F.col("x")).alias("t"))
+    assert {r.i: r.t for r in df.collect()} == {i: f"{x:g}" for i, x in enumerate(numbers)}
+
+
 def test_day_first_keeps_time(spark):
     assert value(spark, X.parse_date(F.lit("09/07/2026 18:30"))) == datetime(2026, 7, 9, 18, 30)
 
