@@ -126,16 +126,27 @@ def shape(word: str) -> str:
     return _RUN5.sub(r"\1\1\1\1", word.translate(_SHAPES))
 
 
-def features(word: str) -> list[str]:
-    kinds = word.translate(_SHAPES)
+_EDGES = ".,;:!?\"'()[]"
+
+
+def shape_features(kinds: str) -> list[str]:
+    """Features that the kinds of a word's characters tell."""
+    cut = _RUN5.sub(r"\1\1\1\1", kinds) if len(kinds) > 4 else kinds
+    core = kinds.strip(_EDGES) or kinds
+    digits, n = kinds.count("0"), len(core)
+    out = ["bias", "s=" + cut, "t=" + _RUN.sub(r"\1", cut), f"d={digits if digits < 12 else 12 if digits < 20 else 20}", f"n={n if n < 12 else 12 if n < 20 else 20}", "b=" + kinds[:1], "e=" + kinds[-1:]]
+    return [*out, "mixed"] if digits and n > 15 and digits < n else out
+
+
+def word_features(word: str) -> tuple[str, str, str]:
+    """Features of its letters: the word itself, its first three and its last four."""
     low = word.lower()
-    core = low.strip(".,;:!?\"'()[]") or low
-    digits = kinds.count("0")
-    n = len(core)
-    out = ["bias", "s=" + _RUN5.sub(r"\1\1\1\1", kinds), "t=" + _RUN.sub(r"\1", kinds), "w=" + core, "p=" + core[:3], "x=" + core[-4:], f"d={digits if digits < 12 else 12 if digits < 20 else 20}", f"n={n if n < 12 else 12 if n < 20 else 20}", "b=" + kinds[:1], "e=" + kinds[-1:]]
-    if digits and n > 15 and digits < n:
-        out.append("mixed")
-    return out
+    core = low.strip(_EDGES) or low
+    return "w=" + core, "p=" + core[:3], "x=" + core[-4:]
+
+
+def features(word: str) -> list[str]:
+    return [*shape_features(word.translate(_SHAPES)), *word_features(word)]
 
 
 def labelled_sentences(fills: int = FILLS, seed: int = 7, lines: Iterable[str] | None = None) -> list[tuple[list[str], list[str]]]:
@@ -234,17 +245,23 @@ class CRF:
     def __init__(self, index: dict[str, int], emit: np.ndarray, move: np.ndarray, again: np.ndarray):
         self.index, self.emit, self.move, self.again = index, emit.astype(np.float32), move.astype(np.float32), again.astype(np.float32)
 
-    def rows(self, words: Iterable[str]) -> np.ndarray:
-        """What words add to the scores of labels around them: words x places x labels."""
-        found = [[self.index[f] for f in features(w) if f in self.index] or [len(self.index)] for w in words]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
-        if not len(found):
-            return np.zeros((0, *self.emit.shape[::2]), np.float32)
-        out = np.empty((len(found), self.emit.shape[0], self.emit.shape[2]), np.float32)
-        for j, e in enumerate(self.emit):
-            out[:, j] = np.add.reduceat(e[flat], np.cumsum(size) - size)
-        return out
+    def known(self, word: str, shapes: dict[str, tuple[int, ...]]) -> tuple[int, ...]:
+        """Numbers of the features of a word that have weights; shapes remembers those of short kinds."""
+        index, kinds = self.index, word.translate(_SHAPES)
+        own = shapes.get(kinds)
+        if own is None:
+            own = tuple([index[f] for f in shape_features(kinds) if f in index])
+            if len(kinds) < 40:
+                shapes[kinds] = own
+        more = tuple([index[f] for f in word_features(word) if f in index])
+        return own + more if more else own
+
+    def rows(self, found: list[tuple[int, ...]]) -> np.ndarray:
+        """What words with these features add to the scores of labels around them: words x places x labels."""
+        own = [x or (len(self.index),) for x in found]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+        return np.stack([np.add.reduceat(e[flat], np.cumsum(size) - size) for e in self.emit], 1)
 
     def memory(self) -> Memory:
         return Memory(self)
@@ -252,12 +269,12 @@ class CRF:
     def scores(self, texts_of_words: list[list[str]], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
         """Scores of the labels of all words, and the number of words of each text."""
         size = np.fromiter(map(len, texts_of_words), np.int64, len(texts_of_words))
-        ids = memory.ids(chain.from_iterable(texts_of_words), int(size.sum()))
+        ids, rows = memory.ids(chain.from_iterable(texts_of_words), int(size.sum()))
         _, nth = expand(size)
         left = np.repeat(size, size) - nth - 1  # words after it
-        out = memory.table[ids, REACH].copy()
+        out = memory.table[rows, REACH]
         for d in range(1, REACH + 1):
-            for place, ok, other in ((REACH - d, nth >= d, np.roll(ids, d)), (REACH + d, left >= d, np.roll(ids, -d))):
+            for place, ok, other in ((REACH - d, nth >= d, np.roll(rows, d)), (REACH + d, left >= d, np.roll(rows, -d))):
                 out += memory.table[np.where(ok, other, 0), place]
         out[(nth > 0) & (ids == np.roll(ids, 1))] += self.again
         return out, size
@@ -279,36 +296,46 @@ class CRF:
         return np.split(label, np.cumsum(size)[:-1]) if len(size) else []
 
 
-class Memory:
-    """Rows of words that were met; emptied between texts when it holds too many. Row 0 stands beyond a text's ends."""
+class Memory(dict):
+    """Numbers of words that were met, and a row for each set of features; emptied between texts when there are too many.
+
+    Row 0 stands beyond a text's ends.
+    """
 
-    LIMIT = 120_000
+    LIMIT = 300_000
 
     def __init__(self, crf: CRF):
-        self.crf, self.known, self.used = crf, {}, 1
-        self.table = np.zeros((1024, crf.emit.shape[0], crf.emit.shape[2]), np.float32)
-        self.table[0] = crf.emit[:, crf.index["edge"]]
-
-    def ids(self, words: Iterable[str], n: int) -> np.ndarray:
-        if self.used > self.LIMIT:
-            self.known, self.used = {}, 1
-        known, fresh = self.known, []
-        out = np.empty(n, dtype=np.int64)
-        for k, w in enumerate(words):
-            i = known.get(w)
-            if i is None:
-                known[w] = i = self.used + len(fresh)
-                fresh.append(w)
-            out[k] = i
-        if fresh:
-            need = self.used + len(fresh)
-            if need > len(self.table):
-                self.table = np.concatenate([self.table[: self.used], np.zeros((max(need, 2 * self.used) - self.used, *self.table.shape[1:]), np.float32)])
-            for lo in range(0, len(fresh), 20_000):
-                part = fresh[lo : lo + 20_000]
-                self.table[self.used + lo : self.used + lo + len(part)] = self.crf.rows(part)
-            self.used = need
-        return out
+        super().__init__()
+        self.crf = crf
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.table = self.crf.emit[:, self.crf.index["edge"]][None]
+        self.sets: dict[tuple[int, ...], int] = {}
+        self.row_of: list[int] = []
+        self.fresh: list[tuple[int, ...]] = []
+        self.shapes: dict[str, tuple[int, ...]] = {}
+
+    def __missing__(self, word: str) -> int:
+        own = self.crf.known(word, self.shapes)
+        row = self.sets.get(own)
+        if row is None:
+            self.sets[own] = row = len(self.table) + len(self.fresh)
+            self.fresh.append(own)
+        self[word] = i = len(self.row_of)
+        self.row_of.append(row)
+        return i
+
+    def ids(self, words: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and their rows of the table."""
+        if len(self) > self.LIMIT:
+            self.empty()
+        out = np.fromiter(map(self.__getitem__, words), np.int64, n)
+        if self.fresh:
+            self.table = np.concatenate([self.table, self.crf.rows(self.fresh)])
+            self.fresh = []
+        return out, np.array(self.row_of, dtype=np.int64)[out] if n else out
 
 
 def fit(data: list[tuple[list[str], list[str]]], rounds: int = 80, l2: float = 0.002, rate: float = 0.1) -> CRF:
