@@ -9,16 +9,23 @@ join into regions:
    quarter of A, its window reaches the first n // 4 + 1 shingles of A, and A is
    replicated to those regions. (Pivots that are whole documents can't do this
    job: unrelated documents are all at distance 1 from them, and every window
-   would hold every document.) Shingles of crowded regions come last in the
-   order, so that common passages stop being pivots.
+   would hold every document.) The order has levels by how many documents hold a
+   shingle, rare ones first, so common passages are pivots only for documents that
+   have little else.
 2. Small regions give candidate pairs, kept if the number of pivots they share
    can still reach the threshold. Crowded regions are not cut or sampled: all
    their documents go on together.
 3. Connected candidates form the regions of the second level. Each document's
-   full set is sent there once. Inside, documents serve as pivots: Voronoi cells,
-   triangle-inequality windows that replicate boundary documents, recursion while
-   cells shrink, and exact comparison in the leaves. Large regions are dealt out
-   as pairs of blocks.
+   full set is sent there once. Inside, documents are the pivots: each cell is the
+   ball of radius 1/4 around its pivot, whose members are thereby linked, and the
+   triangle inequality says which documents of other cells can be near a member:
+   those within twice the radius of the pivot. They are replicated to the cell and
+   compared with its members, unless cell and document are connected already. Which
+   pivots a document meets is again told by its rarest shingles in the region.
+   A region of more than a block is dealt out in blocks first; the pivots of its
+   blocks form a region of their own, and so on while they get fewer. Near copies are
+   one component then. What is left are documents outside the region's largest
+   component: all its blocks are joined with them once more, again in blocks.
 4. Links (a spanning forest of each task's links) give the components.
 
 Defined cases: null text counts as empty; sets without words link with nothing;
@@ -30,6 +37,7 @@ Columns other than doc_id and text are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,23 +45,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, mix64, read_table
+from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, mix64, read_table, ship
 
 WORDS = 5
-#: Documents up to which a first-level region gives its pairs at once.
-CROWD = 16
+#: Documents up to which a first-level region gives its pairs at once, and where further levels of the order begin.
+CROWD, LEVELS = 16, (16, 512, 16384)
 #: Crowded shingles are looked for in a window longer by this part of the set.
 WIDER = 16
-#: Documents and shingles of a block of a large second-level region.
-BLOCK_DOCS, BLOCK_SHINGLES = 768, 2_000_000
-#: Below so many documents a region is compared without further pivots.
-LEAF = 96
-PIVOTS = 8
-RADIUS = 0.25
+#: Documents and shingles of a block of a large second-level region, and the share of documents that a round must leave out for another one.
+BLOCK_DOCS, BLOCK_SHINGLES, SHRINK = 256, 2_000_000, 0.25
+#: Parts into which the documents of a crowded shingle are dealt before they are tied.
+SALTS = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_TOP = 1 << 62
+_BITS = 60  # of a shingle's hash; the level stands above
 
 
 class WordHash(dict):
@@ -67,7 +72,7 @@ class WordHash(dict):
 
 
 def shingle_set(text: bytes, cache: WordHash) -> np.ndarray:
-    """Sorted 62-bit hashes of the distinct shingles of a text. bytes.lower and bytes.split know ASCII only, as wanted."""
+    """Sorted 60-bit hashes of the distinct shingles of a text. bytes.lower and bytes.split know ASCII only, as wanted."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.int64)
@@ -77,7 +82,7 @@ def shingle_set(text: bytes, cache: WordHash) -> np.ndarray:
     acc = np.full(n, k, np.uint64)
     for j in range(k):
         acc += h[j : j + n] * _ODD[j]
-    return np.unique((mix64(acc) >> np.uint64(2)).view(np.int64))
+    return np.unique((mix64(acc) >> np.uint64(64 - _BITS)).view(np.int64))
 
 
 def _described(get=None):
@@ -85,7 +90,7 @@ def _described(get=None):
 
     Without get(), pivots in hash order, somewhat more than the window, so that
     crowded shingles are also found where the window will move on to. With get(),
-    which gives the crowded shingles, the window in the final order.
+    which gives the shingles of each level, the window in the final order.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,9 +115,25 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
-def _later(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+def _later(s: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
     """Shingles as keys of the global order: those of crowded regions after all others."""
-    return s + np.where(in_bitmap(crowded, s), _TOP, 0)
+    return s + sum((in_bitmap(x, s).astype(np.int64) for x in levels), np.zeros(len(s), np.int64)) * (1 << _BITS)
+
+
+def _shared(get):
+    """Window entries (t, doc_id, n, crowd) of shingles that other windows hold too, by the bitmaps of get(); both may let a few more through."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several, crowds = get()
+        for b in batches:
+            win = b.column("win")
+            t = win.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), np.diff(win.offsets.to_numpy()))
+            at = np.flatnonzero(in_bitmap(several, t))
+            own = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(t[at]), b.column("doc_id").take(own), b.column("n").take(own), pa.array(in_bitmap(crowds, t[at]))], ["t", "doc_id", "n", "crowd"])
+
+    return run
 
 
 def _full_sets(get):
@@ -145,145 +166,195 @@ class Forest:
         return a != b
 
 
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes of all of left with all of right."""
-    if len(left) * len(right) <= 64:
-        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left], dtype=np.int64).reshape(len(left), len(right))
-    both = [*left, *right]
-    flat = np.concatenate(both)
-    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
-    _, col, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times[col] > 1
-    row, col = row[shared], np.unique(col[shared], return_inverse=True)[1]
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    step = 4096
-    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, step):
-        i, j = np.searchsorted(col, [lo, lo + step])
-        m = np.zeros((len(both), step), dtype=np.float32)
-        m[row[i:j], col[i:j] - lo] = 1
-        out += m[: len(left)] @ m[len(left) :].T
-    return np.rint(out).astype(np.int64)
-
-
-def voronoi_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, forest: Forest, depth: int = 0) -> list[tuple[int, int]]:
-    """Links between positions left and right of sets, so many that forest is complete; exact."""
-    found: list[tuple[int, int]] = []
-    members = np.union1d(left, right)
-    if len(members) > LEAF and depth < 6:
-        size = np.array([len(sets[i]) for i in members])
-        spread = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
-        common = _overlaps([sets[i] for i in members], [sets[p] for p in spread])
-        dist = 1 - common / (size[:, None] + np.array([len(sets[p]) for p in spread]) - common)
-        near = dist.argmin(1)
-        own = dist[np.arange(len(members)), near]
-        cells = []
-        for j in range(PIVOTS):
-            core = near == j
-            if core.any():
-                # d(x, p_j) - d(x, p_i) <= 2 r for a partner on the other side; and p_j is within the cell's radius plus r
-                window = (dist[:, j] - own <= 2 * RADIUS + 1e-9) & (dist[:, j] <= own[core].max() + RADIUS + 1e-9)
-                cells.append((members[core], members[window]))
-        if max(len(w) for _, w in cells) <= 0.75 * len(members):
-            for core, window in cells:
-                a, b = np.intersect1d(core, left), np.intersect1d(window, right)
-                if len(a) and len(b):
-                    found += voronoi_links(sets, a, b, forest, depth + 1)
-            return found
-    for lo in range(0, len(left), 512):
-        part = left[lo : lo + 512]
-        common = _overlaps([sets[i] for i in part], [sets[i] for i in right])
-        union = np.array([len(sets[i]) for i in part])[:, None] + np.array([len(sets[i]) for i in right]) - common
-        for a, b in zip(*np.nonzero(100 * common >= 75 * union), strict=True):
-            i, j = int(part[a]), int(right[b])
-            if i != j and forest.join(i, j):
-                found.append((i, j))
-    return found
-
-
-def _region(ids: list[int], sets: list[np.ndarray], sides: list[int]) -> list[tuple[int, int]]:
-    """sides: 0 for a document of a region that is whole, else 1 or 2 for its block."""
-    side = np.array(sides)
-    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-    return [(ids[i], ids[j]) for i, j in voronoi_links(sets, left, right, Forest(len(ids)))]
+def _near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have at least percent of their union in common."""
+    least = (percent * (len(a) + len(b)) + 99 + percent) // (100 + percent)  # of the intersection
+    return min(len(a), len(b)) >= least and len(np.intersect1d(a, b, assume_unique=True)) >= least
+
+
+def cell_links(sets: list[np.ndarray], count: Counter | None = None) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links between positions of sets, so many that their components are complete (exact); and the pivots.
+
+    count, if given, counts cells, replicated documents and comparisons.
+    """
+    n, found = len(sets), []
+    count = Counter() if count is None else count
+    if n < 3:
+        count["compared"] += n - 1
+        near = n == 2 and _near(*sets, 75)
+        return [(0, 1)] if near else [], list(range(1 if near else n))
+    # the rarest shingles of each set, of which near sets share one
+    flat = np.concatenate(sets)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), size)
+    _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.lexsort((code, times[code], owner))
+    first = np.cumsum(size) - size
+    rare = [x[x >= 0].tolist() for x in (np.where(times[code[order[f : f + s // 4 + 1]]] > 1, code[order[f : f + s // 4 + 1]], -1) for f, s in zip(first, size, strict=True))]
+
+    forest = Forest(n)
+    members: dict[int, list[int]] = {}  # of the cell of each pivot
+    pivots_at: dict[int, list[int]] = {}  # pivots that have a shingle among their rarest
+    cell = [0] * n
+    for x in np.argsort(-size, kind="stable").tolist():
+        met = Counter(p for t in rare[x] for p in pivots_at.get(t, ()))
+        for p, _ in met.most_common():
+            count["compared"] += 1
+            if _near(sets[x], sets[p], 75):
+                found.append((x, p))
+                forest.join(x, p)
+                members[p].append(x)
+                cell[x] = p
+                break
+        else:
+            members[x] = [x]
+            cell[x] = x
+            for t in rare[x]:
+                pivots_at.setdefault(t, []).append(x)
+    count["cells"] += len(members)
+    if len(members) == 1:
+        return found, list(members)
+    cells_at: dict[int, set[int]] = {}  # cells with a member that has a shingle among its rarest
+    for x in range(n):
+        for t in rare[x]:
+            cells_at.setdefault(t, set()).add(cell[x])
+    for x in range(n):
+        for p in sorted(set().union(*(cells_at[t] for t in rare[x])) - {cell[x]}) if rare[x] else ():
+            if forest.find(p) == forest.find(x):
+                continue
+            count["compared"] += 1
+            if not _near(sets[x], sets[p], 50):  # further than 2 r from the pivot: further than r from all members
+                continue
+            count["replicated"] += 1
+            for y in members[p]:
+                count["compared"] += y != p
+                if _near(sets[x], sets[y], 75):
+                    found.append((x, y))
+                    forest.join(x, y)
+                    break
+    return found, list(members)
 
 
 def _join_regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches hold regions one after the other, sorted by task."""
-    key, ids, sets, sides = None, [], [], []
-    links: list[tuple[int, int]] = []
+    """Links (region, a, b) and pivots (region, a, null) of batches that hold regions or their blocks one after the other, documents in order."""
+    key, ids, sets = None, [], []
+    out: list[tuple[int, int, int | None]] = []
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+    def close() -> None:
+        if ids:
+            links, pivots = cell_links(sets)
+            out.extend((key[0], ids[i], ids[j]) for i, j in links)
+            out.extend((key[0], ids[i], None) for i in pivots)
+
+    def table() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["region", "a", "b"])
 
     for b in batches:
-        for region, i, j, doc, side, s in zip(*(b.column(c).to_pylist() for c in ("region", "i", "j", "doc_id", "side", "shingles")), strict=True):
+        for region, i, j, doc, s in zip(*(b.column(c).to_pylist() for c in ("region", "i", "j", "doc_id", "shingles")), strict=True):
             if (region, i, j) != key:
-                links += _region(ids, sets, sides)
-                key, ids, sets, sides = (region, i, j), [], [], []
-            ids.append(doc)
-            sets.append(np.frombuffer(s, dtype=np.int64))
-            sides.append(side)
-        yield out()
-        links = []
-    links += _region(ids, sets, sides)
-    yield out()
+                close()
+                key, ids, sets = (region, i, j), [], []
+            if not ids or ids[-1] != doc:  # a document may come to a task from both sides
+                ids.append(doc)
+                sets.append(np.frombuffer(s, dtype=np.int64))
+        yield table()
+        out.clear()
+    close()
+    yield table()
+
+
+def _joined(tasks: DataFrame) -> DataFrame:
+    """Links and pivots of tasks (region, i, j, doc_id, shingles)."""
+    tasks = tasks.select("region", "i", "j", "doc_id", "shingles")
+    return tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(lean(_join_regions), "region bigint, a bigint, b bigint")
+
+
+def _in_blocks(sets: DataFrame) -> DataFrame:
+    """sets (region, doc_id, n, shingles) with the number of blocks of their region and their block."""
+    whole = sets.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    return sets.drop("blocks", "i").join(whole.select("region", blocks.alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+
+
+def _large_regions(sets: DataFrame) -> DataFrame:
+    """Links (a, b) of regions of several blocks, from sets (region, doc_id, n, shingles, blocks, i)."""
+    nowhere = F.lit(0).alias("j")
+    links, rows, left = None, sets, sets.count()
+    while True:
+        found = materialise(_joined(rows.select("*", nowhere)), "round")
+        links = found.where("b is not null") if links is None else links.union(found.where("b is not null"))
+        pivots = found.where("b is null").select("region", F.col("a").alias("doc_id"))
+        single = rows.where("blocks > 1").isEmpty()
+        rows = _in_blocks(sets.join(pivots, ["region", "doc_id"]))
+        before, left = left, pivots.count()
+        if single or left > (1 - SHRINK) * before:
+            break
+    so_far = materialise(components(links.select("a", "b")), "connected")
+    placed = sets.select("region", "doc_id", "blocks", "i").join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    placed = materialise(placed.withColumn("component", F.coalesce("component_id", "doc_id")).drop("component_id"), "placed")
+    main = placed.groupBy("region", "component").count().groupBy("region").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    other = placed.join(main, "region").where("component <> main")
+    parts = other.groupBy("region").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("parts"))
+    # every block with every part of the others
+    blocks = sets.join(parts, "region").select("region", "doc_id", "shingles", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    guests = other.select("region", "doc_id").join(parts, "region").withColumn("j", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"))
+    guests = sets.join(guests, ["region", "doc_id"]).select("region", "doc_id", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "j")
+    across = materialise(_joined(blocks.unionByName(guests)).where("b is not null"), "across")
+    return so_far.select(F.col("id").alias("a"), F.col("component_id").alias("b")).union(across.select("a", "b"))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for docs (doc_id, text)."""
     spark = docs.sparkSession
+    ship(spark)
     hold = spark.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     described = "doc_id bigint, n int, f1 bigint, f2 bigint, win array<bigint>"
     first = materialise(docs.mapInArrow(lean(_described()), described), "sets")
     sizes = materialise(first.drop("win"), "sizes")
-    crowded_tokens = first.select(F.explode("win").alias("t")).groupBy("t").count().where(F.col("count") > CROWD)
-    crowded = hold(bitmap(crowded_tokens, "t"))  # 8 MB, whatever the input
-    discard(first)
+    crowded = materialise(first.select(F.explode("win").alias("t")).groupBy("t").count().where(F.col("count") > LEVELS[0]), "crowded")
+    levels = hold([bitmap(crowded.where(F.col("count") > x), "t") for x in LEVELS])  # 8 MB each, whatever the input
+    discard(first, crowded)
 
     # one node for each distinct set: the copy with the smallest id, with its window
-    again = docs.where("doc_id is not null").mapInArrow(lean(_described(lambda: crowded.value)), described).where("n > 0")
+    again = docs.where("doc_id is not null").mapInArrow(lean(_described(lambda: levels.value)), described).where("n > 0")
     node = again.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "win")).alias("x"))
     windows = materialise(node.select("x.doc_id", "x.n", "f1", "f2", "x.win"), "windows")
     nodes = materialise(windows.select("doc_id", "n", "f1", "f2", F.element_at("win", -1).alias("last")), "nodes")
-    met = windows.select(F.explode("win").alias("t"), "doc_id", "n").withColumn("cnt", F.count("*").over(Window.partitionBy("t"))).where("cnt > 1")
-    met = materialise(met, "regions")
-    discard(windows)
+    times = materialise(windows.select(F.explode("win").alias("t")).groupBy("t").count().where("count > 1"), "times")
+    bits = hold((bitmap(times, "t"), bitmap(times.where(F.col("count") > CROWD), "t")))
+    met = materialise(windows.mapInArrow(lean(_shared(lambda: bits.value)), "t bigint, doc_id bigint, n int, crowd boolean"), "regions")
+    discard(windows, times)
 
     # small regions: pairs that share enough pivots
-    a, b = (met.where(F.col("cnt") <= CROWD).select("t", F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    a, b = (met.where("not crowd").select("t", F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
     pairs = a.join(b, "t").where("a < b and 4 * n_a >= 3 * n_b and 4 * n_b >= 3 * n_a").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    of_crowd = met.where(F.col("cnt") > CROWD).groupBy("doc_id").agg(F.count("*").alias("crowd"))
+    of_crowd = met.where("crowd").groupBy("doc_id").agg(F.count("*").alias("crowd"))
     meta = nodes.select("doc_id", "n", "last").join(of_crowd, "doc_id", "left").na.fill(0, ["crowd"])
     ma, mb = (meta.select(*(F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in meta.columns)) for x in "ab")
     # beyond the last pivot of the document whose window ends first, at most its remaining shingles can be shared
     rest = F.when(F.col("last_a") <= F.col("last_b"), F.expr("n_a - n_a div 4 - 1")).otherwise(F.expr("n_b - n_b div 4 - 1"))
     near = pairs.join(ma, "a").join(mb, "b").where(7 * (F.col("shared") + F.least("crowd_a", "crowd_b") + rest) >= 3 * (F.col("n_a") + F.col("n_b")))
 
-    # crowded regions: their documents stay together, tied to the smallest
-    crowd = met.where(F.col("cnt") > CROWD)
-    ties = crowd.join(crowd.groupBy("t").agg(F.min("doc_id").alias("b")), "t").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
+    # crowded regions: their documents stay together, tied to the smallest of their part, and those to the smallest of all
+    crowd = met.where("crowd").select("t", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), "doc_id")
+    low = crowd.groupBy("t", "salt").agg(F.min("doc_id").alias("b"))
+    within = crowd.join(low, ["t", "salt"]).select(F.col("doc_id").alias("a"), "b")
+    across = low.join(low.groupBy("t").agg(F.min("b").alias("lowest")), "t").select(F.col("b").alias("a"), F.col("lowest").alias("b"))
+    ties = within.union(across).where("a <> b").distinct()
     linked = components(near.select("a", "b").union(ties)).withColumnsRenamed({"id": "doc_id", "component_id": "region"})
 
     linked = materialise(linked.join(nodes.select("doc_id", "n", "f1", "f2"), "doc_id"), "second")
-    whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    blocks = whole.select("region", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = linked.join(blocks, "region").withColumn("k", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     wanted = hold(bitmap(linked, "doc_id"))
-    sets = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
-    sets = sets.join(placed, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id", "f1", "f2"])
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    tasks = sets.select("region", "doc_id", "shingles", "k", "blocks", other).select(
-        "region",
-        F.least("k", "o").alias("i"),
-        F.greatest("k", "o").alias("j"),
-        "doc_id",
-        F.when(F.col("k") == F.col("o"), 0).when(F.col("k") < F.col("o"), 1).otherwise(2).alias("side"),
-        "shingles",
-    )
-    links = tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(lean(_join_regions), "a bigint, b bigint")
+    full = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
+    whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    linked = linked.join(whole.select("region", blocks.alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    sets = materialise(full.join(linked, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id"]).select("region", "doc_id", "n", "shingles", "blocks", "i"), "full")
+    links = _joined(sets.where("blocks = 1").withColumn("j", F.lit(0))).where("b is not null").select("a", "b")
+    large = sets.where("blocks > 1")
+    if not large.isEmpty():
+        links = links.union(_large_regions(large))
     final = components(links)
 
     by_set = nodes.select("f1", "f2", "doc_id").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("f1", "f2", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -61,39 +61,79 @@ def test_jaccard_with_crowds_and_shared_passages(spark):
     assert got == linked(texts)
 
 
-def test_voronoi_recursion_is_exact():
-    """Clusters far apart, so that cells shrink and windows replicate."""
-    r = np.random.default_rng(2)
-    sets = []
-    for c in range(12):
-        core = np.arange(c * 1000, c * 1000 + 60)
-        for _ in range(25):
-            drop = r.integers(0, 22)
-            keep = np.delete(core, r.choice(60, drop, replace=False)) if drop else core
-            sets.append(np.sort(np.concatenate([keep, r.integers(10**6, 10**9, r.integers(0, 8))]).astype(np.int64)))
-    every = np.arange(len(sets))
-    forest = jaccard_join.Forest(len(sets))
-    jaccard_join.voronoi_links(sets, every, every, forest)
+def plain_links(sets):
     plain = jaccard_join.Forest(len(sets))
     for i, j in itertools.combinations(range(len(sets)), 2):
         both = len(np.intersect1d(sets[i], sets[j]))
         if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
             plain.join(i, j)
-    assert [forest.find(i) for i in every] == [plain.find(i) for i in every]
+    return [plain.find(i) for i in range(len(sets))]
+
+
+def by_cells(sets, count=None):
+    forest = jaccard_join.Forest(len(sets))
+    for i, j in jaccard_join.cell_links(sets, count)[0]:
+        both = len(np.intersect1d(sets[i], sets[j]))
+        assert 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+        forest.join(i, j)
+    return [forest.find(i) for i in range(len(sets))]
 
 
-def test_blocks_of_a_large_region(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 20)
+def test_cells_and_windows_are_exact():
+    """Clusters whose members lie up to 1/2 apart, so that cells meet and boundary documents are replicated."""
+    r = np.random.default_rng(2)
+    count = collections.Counter()
+    for _ in range(40):
+        sets = []
+        for c in range(int(r.integers(1, 7))):
+            core = np.arange(c * 1000, c * 1000 + int(r.integers(8, 60)))
+            for _ in range(int(r.integers(1, 30))):
+                drop = int(r.integers(0, len(core) // 2))
+                keep = np.delete(core, r.choice(len(core), drop, replace=False))
+                sets.append(np.sort(np.concatenate([keep, r.integers(10**6, 10**9, r.integers(0, 8))]).astype(np.int64)))
+        if len(sets) > 1:
+            assert by_cells(sets, count) == plain_links(sets)
+    assert count["replicated"] > 100
+
+
+def test_a_crowd_of_copies_is_one_cell():
+    """1,500 near copies of one text: hardly more comparisons than documents."""
+    r = np.random.default_rng(3)
+    sets = [np.sort(np.concatenate([np.delete(np.arange(200), r.choice(200, r.integers(0, 12), replace=False)), r.integers(10**6, 10**9, 3)]).astype(np.int64)) for _ in range(1500)]
+    count = collections.Counter()
+    assert set(by_cells(sets, count)) == {0}
+    assert count["compared"] < 4 * len(sets)
+
+
+def test_a_chain_of_shared_passages_is_not_all_pairs():
+    """60 groups of 20 documents; a passage is shared by two neighbouring groups, and no two documents link."""
+    r = np.random.default_rng(4)
+    sets = [np.sort(np.concatenate([np.arange(g * 100, g * 100 + 56), np.arange(g * 100 + 100, g * 100 + 156), r.integers(10**6, 10**9, 25)]).astype(np.int64)) for g in range(60) for _ in range(20)]
+    few = [s for s in sets[:200]]
+    assert by_cells(few) == plain_links(few)
+    count = collections.Counter()
+    by_cells(sets, count)
+    assert count["compared"] < len(sets) ** 2 / 8
+
+
+@pytest.mark.parametrize("spread", [4, 14])
+def test_blocks_of_a_large_region(spark, monkeypatch, spread):
+    """Near copies and chains of them, some of which link with nothing, in rounds over blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 12)
+    monkeypatch.setattr(jaccard_join, "CROWD", 4)
+    monkeypatch.setattr(jaccard_join, "LEVELS", (4, 30, 100))
     r = random.Random(3)
     base = words(r, 60).split()
     texts = {}
-    for i in range(90):
+    for i in range(150):
         t = list(base)
-        for _ in range(r.randint(0, 4)):
+        for _ in range(r.randint(0, spread)):
             t[r.randrange(len(t))] = words(r, 1)
         texts[i] = " ".join(t)
     df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
-    assert {x.doc_id: x.component_id for x in jaccard_join.join(df).collect()} == linked(texts)
+    want = linked(texts)
+    assert {x.doc_id: x.component_id for x in jaccard_join.join(df).collect()} == want
+    assert len(set(want.values())) > (1 if spread > 4 else 0)
 
 
 def test_components_of_chains_and_stars(spark):
