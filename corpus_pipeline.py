@@ -4,14 +4,15 @@ Each stage takes (spark, docs, sf_dir), works on every row that its predecessor
 kept, and returns the columns of documents; the last returns the packing plan.
 
 - language: documents without letters, or without a language that holds half of
-  their letters, go; lang becomes the predicted language.
+  their letters, go; lang becomes the predicted language of the others.
 - near_duplicates: the document with the smallest id of each component stays.
 - decontamination: documents that hold a benchmark passage go.
 - personal_data: spans are replaced by their kind in angle brackets; n_chars follows.
 - packing: bucket, batch and place of every document.
 
 Nulls and empty tables pass as the operators define them; extra columns are kept
-by all stages but the last.
+by all stages but the last. The tables that stages make on the way are deleted as
+soon as the next stage's rows are written; run() leaves its result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from furrow.llm import stages
-from furrow.llm.common import materialise, read_table
+from furrow.llm.common import materialise, read_table, tidy
 from furrow.llm.packing import pack
 
 
@@ -58,6 +59,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written as Parquet and read again."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+    with tidy() as kept:
+        for name, stage in STAGES:
+            with tidy() as own:
+                docs = materialise(stage(spark, docs, sf_dir), name)
+                own.append(docs)
+        kept.append(docs)
     return docs
