@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -13,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.session import ship
+from furrow.session import fresh_path, ship
 
 #: Rows up to which a side is broadcast; beyond it the join is left to shuffle.
 BROADCAST_ROWS = 200_000
@@ -22,21 +20,9 @@ CHUNK_CHARS = 1_000_000
 #: Bits of a membership bitmap (8 MB); a fuller bitmap lets more rows through, never fewer.
 BITMAP_BITS = 1 << 26
 
-_own_dir: dict[str, str] = {}
 _tables: list[DataFrame] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or a local one where that is unset and the driver is the only machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        key = spark.sparkContext.applicationId
-        path = _own_dir.setdefault(key, _own_dir.get(key) or tempfile.mkdtemp(prefix="furrow-"))
-    return path.rstrip("/")
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage ends there.
 
@@ -44,7 +30,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/furrow-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._furrow_path = path
