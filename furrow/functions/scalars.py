@@ -232,6 +232,26 @@ def has_non_ascii(x: Column) -> Column:
 
 def number_text(x: Column) -> Column:
     """A number with up to six significant digits and no trailing zeros, with an exponent below 0.0001 and from a million up."""
+    x = x.cast("double")
+
+    def halfway(seven: Column) -> Column:
+        """Six digits where the shortest form has seven and ends in 5: what the binary number is nearer to, else the even digit."""
+        exponent = F.substring_index(seven, "e", -1).cast("int")
+        six = F.replace(F.substring(F.ltrim(seven, F.lit("-")), 1, 7), F.lit("."), F.lit("")).cast("int")
+        scale = F.pow(F.lit(10.0), F.greatest(6 - exponent, F.lit(0)))
+        # the error of |x| * scale, by halves of 26 bits (Dekker)
+        size = F.abs(x)
+        half = lambda v: v * 134217729.0 - (v * 134217729.0 - v)
+        xh, ch = half(size), half(scale)
+        xl, cl, product = size - xh, scale - ch, size * scale
+        error = ((xh * ch - product) + xh * cl + xl * ch) + xl * cl
+        rest = F.when(exponent > 6, F.lit(0.0)).otherwise((six.cast("double") * 10 + 5 - product) - error)
+        up = (rest < 0) | ((rest == 0) & (six % 2 == 1))
+        kept = six + up.cast("int")
+        full = kept == 1_000_000
+        digits = F.when(full, F.lit("100000")).otherwise(kept.cast("string"))
+        sign = F.when(x < 0, "-").otherwise("")
+        return F.concat(sign, F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 5), F.lit("e"), (exponent + full.cast("int")).cast("string"))
 
     def text(s: Column) -> Column:
         """From the form d.ddddde+dd."""
@@ -241,7 +261,8 @@ def number_text(x: Column) -> Column:
         scientific = F.concat(digits, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")))
         return F.when((exponent < -4) | (exponent > 5), scientific).otherwise(plain)
 
-    return F.when(x == 0, F.lit("0")).when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(bound(F.format_string("%.5e", x.cast("double")), text))
+    six = bound(F.format_string("%.6e", x), lambda s: F.when(s.contains("5e") & (s.cast("double") == x), halfway(s)).otherwise(F.format_string("%.5e", x)))
+    return F.when(x == 0, F.lit("0")).when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(bound(six, text))
 
 
 def composite_key(*xs: Column, sep: str = "||") -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions import scalars as X
-from furrow.operators.normalise import DIM_KEY
+from furrow.operators.merge import DIM_KEY
 
 DIM_INSERT_ONLY = ["commodity_group", "grade", "source_url", "source_name", "method"]
 DIM_REFRESHED = ["market_id", "commodity_alias_lookup_id"]
@@ -19,6 +19,13 @@ def with_key(rows: DataFrame, key: list[str] | None = None, name: str = "market_
     return rows.withColumn(name, X.surrogate_key(*(F.col(c) for c in key or DIM_KEY)))
 
 
+def last_of_day(rows: DataFrame) -> DataFrame:
+    """Of each key and date the last row by ordinal: one shuffle of harmonised rows, which both tables of split() then read."""
+    others = [c for c in rows.columns if c not in (*DIM_KEY, "date")]
+    last = rows.groupBy(*DIM_KEY, "date").agg(F.max_by(F.struct(*others), "ordinal").alias("_last"))
+    return last.select(*DIM_KEY, "date", "_last.*")
+
+
 def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(dimension rows, fact rows). Facts without a date or without any price are left out; their dimension row stays."""
     keyed = with_key(rows)

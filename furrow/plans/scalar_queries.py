@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furrow.functions import fuzzy
 from furrow.functions import scalars as X
 from furrow.operators import review
 from furrow.plans.tables import table
@@ -13,21 +14,32 @@ _NOW = "1997-06-17"
 
 
 def parse_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates in the forms that feeds use: ISO, numbers, month names, ordinals, short years, with a time, without a day."""
     o = table(spark, d, "orders")
-    k = F.col("o_orderkey") % 6
     day = F.col("o_orderdate")
-    text = (
-        F.when(k == 0, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(k == 1, F.date_format(day, "yyyyMMdd"))
-        .when(k == 2, F.date_format(day, "dd/MM/yyyy"))
-        .when(k == 3, F.date_format(day, "d-M-yyyy"))
-        .when(k == 4, F.date_format(day, "d MMM yyyy"))
-        .otherwise(F.lit("not a date"))
-    )
-    return o.select("o_orderkey", F.date_format(X.parse_date(text), "yyyy-MM-dd").alias("parsed"))
-
-
-PARSE_DATES = "SELECT o_orderkey, CASE WHEN o_orderkey % 6 <= 4 THEN strftime(o_orderdate, '%Y-%m-%d') END AS parsed FROM orders"
+    forms = [
+        F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.date_format(day, "yyyyMMdd"),
+        F.date_format(day, "dd/MM/yyyy"),
+        F.date_format(day, "d-M-yyyy"),
+        F.date_format(day, "d MMM yyyy"),
+        F.lit("not a date"),
+        F.date_format(day, "MMMM d, yyyy"),
+        F.date_format(day, "dd-MMM-yy"),
+        F.date_format(day, "d/M/yy"),
+        F.date_format(day, "MMM yyyy"),
+        F.date_format(day, "d'th' MMMM, yyyy"),
+        F.concat(F.lit(" "), F.date_format(day, "dd.MM.yyyy"), F.lit(" 06:30 PM ")),
+        F.date_format(day, "EEE, d MMM yyyy 7:05:09"),
+    ]
+    text = F.element_at(F.array(*forms), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
+    return o.select("o_orderkey", F.date_format(X.parse_date(text, F.lit(_NOW).cast("date")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+PARSE_DATES = f"""
+SELECT o_orderkey, CASE o_orderkey % 13 WHEN 5 THEN NULL
+    WHEN 9 THEN strftime(make_date(year(o_orderdate), month(o_orderdate), least(day(DATE '{_NOW}'), day(last_day(o_orderdate)))), '%Y-%m-%d') || ' 00:00:00'
+    ELSE strftime(o_orderdate, '%Y-%m-%d') || CASE o_orderkey % 13 WHEN 11 THEN ' 18:30:00' WHEN 12 THEN ' 07:05:09' ELSE ' 00:00:00' END END AS parsed FROM orders"""
 
 
 def parse_prices(spark: SparkSession, d: str) -> DataFrame:
@@ -111,15 +123,40 @@ FROM orders"""
 
 def formats(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    sec = F.when(F.col("event_id") % 10 != 0, F.round("value", 1))
-    return e.select("event_id", F.when(sec.isNull(), X.duration_text(sec)).otherwise(F.when(sec < 60, F.lit("short")).otherwise(F.regexp_extract(X.duration_text(sec), r"^[0-9]+m", 0))).alias("duration"), X.percent_text(F.col("event_id") % 4, F.col("event_id") % 5).alias("pct"), X.date_key(F.col("ts")).alias("day"), X.has_non_ascii(F.concat("event_type", F.when(F.col("event_id") % 2 == 0, "é").otherwise("e"))).alias("non_ascii"))
+    sec = F.when(F.col("event_id") % 10 != 0, F.round("value", 1) * F.when(F.col("event_id") % 3 == 0, 10).otherwise(1))
+    return e.select("event_id", X.duration_text(sec).alias("duration"), X.percent_text(F.col("event_id") % 4, F.col("event_id") % 5).alias("pct"), X.date_key(F.col("ts")).alias("day"), X.has_non_ascii(F.concat("event_type", F.when(F.col("event_id") % 2 == 0, "é").otherwise("e"))).alias("non_ascii"))
 
 
 FORMATS = """
-SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'N/A' WHEN round(value, 1) < 60 THEN 'short' ELSE CAST(floor(round(value, 1) / 60) AS BIGINT) || 'm' END AS duration,
+WITH t AS (SELECT *, CASE WHEN event_id % 10 <> 0 THEN round(value, 1) * CASE WHEN event_id % 3 = 0 THEN 10 ELSE 1 END END AS sec FROM events)
+SELECT event_id, CASE WHEN sec IS NULL THEN 'N/A' WHEN sec < 60 THEN printf('%.1fs', sec) ELSE CAST(floor(sec / 60) AS BIGINT) || 'm ' || printf('%.1fs', sec - floor(sec / 60) * 60) END AS duration,
        CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE printf('%.1f%%', 100.0 * (event_id % 4) / (event_id % 5)) END AS pct,
        strftime(ts, '%Y-%m-%d') AS day, event_id % 2 = 0 AS non_ascii
-FROM events"""
+FROM t"""
+
+
+def loose_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers of a hand-kept sheet: blank and unreadable ones are null."""
+    p = table(spark, d, "part")
+    text = F.when(F.col("p_partkey") % 4 == 0, F.lit("  ")).when(F.col("p_partkey") % 4 == 1, F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.format_string("%.2f", "p_retailprice"), F.lit("\u00a0")))
+    return p.select("p_partkey", X.lenient_number(text).alias("number"), X.number_or_text(F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" 00"), F.col("p_size").cast("string"))).otherwise("x y")).alias("cell"))
+
+
+LOOSE_NUMBERS = "SELECT p_partkey, CASE WHEN p_partkey % 4 >= 2 THEN round(p_retailprice, 2) END AS number, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE 'x y' END AS cell FROM part"
+
+
+def candidate_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Normal form and the variants that the matchers try."""
+    p = table(spark, d, "part")
+    name = F.concat(F.lit(" "), F.upper("p_name"), F.lit("  ("), "p_brand", F.lit(")/"), "p_type", F.lit(" "))
+    return p.select("p_partkey", fuzzy.normal_name(name).alias("normal"), F.array_join(fuzzy.candidate_names(name), "|").alias("forms"))
+
+
+CANDIDATE_FORMS = """
+WITH t AS (SELECT p_partkey, lower(p_name) || ' (' || lower(p_brand) || ')/' || lower(p_type) AS w, lower(p_name) AS n, lower(p_brand) AS b, lower(p_type) AS ty FROM part),
+f AS (SELECT p_partkey, w, unnest([w, regexp_replace(w, '[^a-z0-9]', '', 'g'), n, regexp_replace(n, '[^a-z0-9]', '', 'g'), b, regexp_replace(b, '[^a-z0-9]', '', 'g'), ty, regexp_replace(ty, '[^a-z0-9]', '', 'g')]) AS form, unnest(range(8)) AS i FROM t),
+u AS (SELECT p_partkey, w, form, min(i) AS i FROM f GROUP BY ALL)
+SELECT p_partkey, w AS normal, string_agg(form, '|' ORDER BY i) AS forms FROM u GROUP BY 1, 2"""
 
 
 def keys(spark: SparkSession, d: str) -> DataFrame:
@@ -143,19 +180,19 @@ STATE_NAMES = "SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'odisha' WHE
 
 
 def price_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Problems with small, fractional and very large prices in them."""
     x = table(spark, d, "lineitem")
-    lo, hi, modal = (F.round(F.col(c) * 100) for c in ("l_discount", "l_tax", "l_discount"))
-    modal = F.when(F.col("l_linenumber") % 2 == 0, F.round(F.col("l_quantity"))).otherwise(modal)
+    lo, hi = F.col("l_discount"), F.col("l_tax")
+    modal = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity") * 100000.3).otherwise(lo)
     return x.select("l_orderkey", "l_linenumber", F.array_join(review.price_problems(lo, hi, modal), "; ").alias("problems"))
 
 
 PRICE_PROBLEMS = """
-WITH t AS (SELECT l_orderkey, l_linenumber, CAST(round(l_discount * 100) AS BIGINT) AS lo, CAST(round(l_tax * 100) AS BIGINT) AS hi,
-                  CAST(round(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity ELSE l_discount * 100 END) AS BIGINT) AS m FROM lineitem)
+WITH t AS (SELECT l_orderkey, l_linenumber, l_discount AS lo, l_tax AS hi, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity * 100000.3::DOUBLE ELSE l_discount END AS m FROM lineitem)
 SELECT l_orderkey, l_linenumber, concat_ws('; ',
-       CASE WHEN lo <= 0 THEN 'min price is ' || lo END, CASE WHEN hi <= 0 THEN 'max price is ' || hi END, CASE WHEN m <= 0 THEN 'modal price is ' || m END,
-       CASE WHEN lo > hi THEN 'min price ' || lo || ' is above max price ' || hi END,
-       CASE WHEN lo <= hi AND (m < lo OR m > hi) THEN 'modal price ' || m || ' is outside ' || lo || '–' || hi END) AS problems
+       CASE WHEN lo <= 0 THEN printf('min price is %g', lo) END, CASE WHEN hi <= 0 THEN printf('max price is %g', hi) END, CASE WHEN m <= 0 THEN printf('modal price is %g', m) END,
+       CASE WHEN lo > hi THEN printf('min price %g is above max price %g', lo, hi) END,
+       CASE WHEN lo <= hi AND (m < lo OR m > hi) THEN printf('modal price %g is outside %g–%g', m, lo, hi) END) AS problems
 FROM t"""
 
 QUERIES = {
@@ -168,6 +205,8 @@ QUERIES = {
     "alias_lists": (alias_lists, ALIAS_LISTS),
     "feed_dates": (feed_dates, FEED_DATES),
     "formats": (formats, FORMATS),
+    "loose_numbers": (loose_numbers, LOOSE_NUMBERS),
+    "candidate_forms": (candidate_forms, CANDIDATE_FORMS),
     "keys": (keys, KEYS),
     "state_names": (state_names, STATE_NAMES),
     "price_problems": (price_problems, PRICE_PROBLEMS),

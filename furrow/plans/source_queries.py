@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from furrow.data import load
 from furrow.functions import scalars as X
+from furrow.operators import audit as A
 from furrow.operators import normalise as N
 from furrow.operators import star
 from furrow.plans.tables import table
+from furrow.session import fresh_path
 from furrow.sources import html_tables, landed
+from furrow.sources.specs import SPECS
 
 
 def harmonise_union(spark: SparkSession, d: str) -> DataFrame:
@@ -24,57 +28,98 @@ SELECT 'customer' AS kind, c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_m
 UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier"""
 
 
+#: The feeds in order, and the columns that each gives for records made from orders.
+_FEEDS = list(SPECS)
+_GIVEN = {name: [t for t in ("date", "market", "commodity", "variety", "min", "max", "modal") if SPECS[name].get(t)] for name in _FEEDS}
+
+
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    """Raw records of three sources made from orders, with the fields that each feed uses."""
+    """Raw records of all feeds made from orders, each with the last of the fields that the feed may use, and an empty one before it."""
     o = table(spark, d, "orders")
     text = lambda c: F.col(c).cast("string")
-    name, day = F.concat(F.lit(" Market "), text("o_custkey")), F.date_format("o_orderdate", "dd/MM/yyyy")
     price = F.concat(F.lit("Rs "), F.round("o_totalprice").cast("bigint").cast("string"), F.lit(" / Quintal"))
-    k = F.col("o_orderkey") % 3
-    source = F.when(k == 0, "karnataka").when(k == 1, "punjab").otherwise("agmarknet")
-    pairs = lambda *kv: F.create_map(*(F.lit(x) if isinstance(x, str) else x for x in kv))
-    record = (
-        F.when(k == 0, pairs("Market", name, "Date", day, "Commodity", text("o_orderpriority"), "Min", price, "Max", price, "Modal", F.lit("n/a")))
-        .when(k == 1, pairs("BranchName", F.lit(""), "Market", name, "EntryDate", F.date_format("o_orderdate", "yyyy-MM-dd"), "CommodityName", text("o_orderpriority"), "Minprice", price))
-        .otherwise(pairs("market", name, "state", F.lit("Odisha"), "arrival_date", day, "commodity", text("o_orderpriority"), "modal_price", price))
-    )
+    value = {"market": F.concat(F.lit(" Market "), text("o_custkey")), "date": F.date_format("o_orderdate", "dd/MM/yyyy"), "commodity": text("o_orderpriority"), "variety": text("o_orderstatus"), "min": price, "max": price, "modal": price}
+    record = None
+    for k, name in enumerate(_FEEDS):
+        pairs = []
+        for t in _GIVEN[name]:
+            fields = SPECS[name][t]
+            pairs += [x for f in fields[:-1][:1] if fields[-1] != f for x in (F.lit(f), F.lit(""))] if t == "market" else []
+            pairs += [F.lit(fields[-1 if t == "market" else 0]), value[t]]
+        if SPECS[name].get("state"):
+            pairs += [F.lit(SPECS[name]["state"][0]), F.lit("Odisha")]
+        c, m = F.col("o_orderkey") % len(_FEEDS) == k, F.create_map(*pairs)
+        record = F.when(c, m) if record is None else record.when(c, m)
+    source = F.element_at(F.array(*map(F.lit, _FEEDS)), (F.col("o_orderkey") % len(_FEEDS) + 1).cast("int"))
     return o.select(source.alias("source"), F.col("o_orderkey").alias("ordinal"), record.alias("record"))
 
 
+def _by_feed(of) -> str:
+    return "CASE o_orderkey % " + str(len(_FEEDS)) + " " + " ".join(f"WHEN {k} THEN {of(n)}" for k, n in enumerate(_FEEDS)) + " END"
+
+
+def _given(target: str, value: str) -> str:
+    return _by_feed(lambda n: value if target in _GIVEN[n] else "NULL")
+
+
+_NORMAL_SQL = f"""n AS (SELECT {_by_feed(lambda n: f"'{n}'")} AS source, o_orderkey AS ordinal, {_by_feed(lambda n: "'" + SPECS[n]["system"] + "'")} AS source_system,
+  {_by_feed(lambda n: "'odisha'" if SPECS[n].get("state") else "'" + n.replace("_", " ") + "'")} AS state, 'market ' || o_custkey AS market_name, lower(o_orderpriority) AS commodity_name, {_given("variety", "lower(o_orderstatus)")} AS variety,
+  strftime(o_orderdate, '%Y-%m-%d') AS day, {_given("min", "round(o_totalprice)")} AS min_price, {_given("max", "round(o_totalprice)")} AS max_price, {_given("modal", "round(o_totalprice)")} AS modal_price, {_by_feed(lambda n: "'" + landed.SOURCES[n]["method"] + "'")} AS method FROM orders)"""
+
+
 def normalise(spark: SparkSession, d: str) -> DataFrame:
     n = N.normalise(_records(spark, d))
-    return n.select("source", "ordinal", "source_system", "state", "market_name", "commodity_name", F.date_format("date", "yyyy-MM-dd").alias("day"), "min_price", "max_price", "modal_price", "method")
+    return n.select("source", "ordinal", "source_system", "state", "market_name", "commodity_name", "variety", F.date_format("date", "yyyy-MM-dd").alias("day"), "min_price", "max_price", "modal_price", "method")
 
 
-NORMALISE = """
-SELECT CASE o_orderkey % 3 WHEN 0 THEN 'karnataka' WHEN 1 THEN 'punjab' ELSE 'agmarknet' END AS source, o_orderkey AS ordinal,
-       CASE o_orderkey % 3 WHEN 0 THEN 'krama' WHEN 1 THEN 'emandikaran' ELSE 'agmarknet' END AS source_system,
-       CASE o_orderkey % 3 WHEN 0 THEN 'karnataka' WHEN 1 THEN 'punjab' ELSE 'odisha' END AS state, 'market ' || o_custkey AS market_name, lower(o_orderpriority) AS commodity_name,
-       strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 3 <= 1 THEN round(o_totalprice) END AS min_price, CASE WHEN o_orderkey % 3 = 0 THEN round(o_totalprice) END AS max_price,
-       CASE WHEN o_orderkey % 3 = 2 THEN round(o_totalprice) END AS modal_price, CASE WHEN o_orderkey % 3 = 0 THEN 'scrapper' ELSE 'external_apis' END AS method FROM orders"""
+NORMALISE = f"WITH {_NORMAL_SQL} SELECT * FROM n"
 
 
 def guard(spark: SparkSession, d: str) -> DataFrame:
+    """What the guard lets through and what goes to quarantine, with the reason."""
     now = F.lit("1997-06-17").cast("timestamp")
+    records = _records(spark, d).withColumn("record", F.when(F.col("ordinal") % 9 == 0, F.map_concat(F.map_filter("record", lambda k, _: ~k.isin(*(s["date"][0] for s in SPECS.values()))), F.create_map(F.element_at(F.array(*(F.lit(SPECS[n]["date"][0]) for n in _FEEDS)), (F.col("ordinal") % len(_FEEDS) + 1).cast("int")), F.lit("soon")))).otherwise(F.col("record")))
+    rows = N.normalise(records)
+    kept = N.guard(rows, now).select("source", "ordinal", F.lit("kept").alias("what"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(N.quarantine(rows, now).select("source", "ordinal", F.lit("rejected").alias("what"), "reason"))
+
+
+GUARD = f"""
+WITH {_NORMAL_SQL}, x AS (SELECT *, ordinal % 9 = 0 AS bad, ordinal % 9 <> 0 AND day > '1997-06-17' AS late FROM n)
+SELECT source, ordinal, 'kept' AS what, NULL AS reason FROM x WHERE NOT late UNION ALL SELECT source, ordinal, 'rejected', CASE WHEN late THEN 'future date' ELSE 'date: soon' END FROM x WHERE late OR bad"""
+
+
+def quarantine_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = N.normalise(_records(spark, d))
-    kept = N.guard(rows, now).groupBy("source").agg(F.count("*").alias("n")).withColumn("what", F.lit("kept"))
-    return kept.unionByName(N.quarantine(rows, now).groupBy("source").agg(F.count("*").alias("n")).withColumn("what", F.lit("rejected")))
+    return N.quarantine_summary(N.quarantine(rows, F.lit("1997-06-17").cast("timestamp")))
 
 
-GUARD = """
-SELECT CASE o_orderkey % 3 WHEN 0 THEN 'karnataka' WHEN 1 THEN 'punjab' ELSE 'agmarknet' END AS source, count(*) AS n, CASE WHEN o_orderdate::DATE > DATE '1997-06-17' THEN 'rejected' ELSE 'kept' END AS what FROM orders GROUP BY 1, 3"""
+QUARANTINE_SUMMARY = f"""
+WITH {_NORMAL_SQL} SELECT source, count(*) AS rejected, array_to_string(list_resize(list_transform(range(count(*)), lambda i: 'future date'), least(5, count(*))), '; ') AS samples FROM n WHERE day > '1997-06-17' GROUP BY 1"""
+
+
+def unknown_sources(spark: SparkSession, d: str) -> DataFrame:
+    return N.unknown_sources(_records(spark, d).withColumn("source", F.when(F.col("ordinal") % 4 == 0, F.concat(F.lit("new "), "source")).otherwise(F.col("source"))))
+
+
+UNKNOWN_SOURCES = f"WITH {_NORMAL_SQL} SELECT 'new ' || source AS source, count(*) AS count FROM n WHERE ordinal % 4 = 0 GROUP BY 1"
 
 
 def star_split(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of both tables, each key's last ones; harmonised once."""
     rows = N.normalise(_records(spark, d)).withColumn("market_id", F.lit(None).cast("string")).withColumn("commodity_alias_lookup_id", F.lit(None).cast("string"))
-    dim, fact = star.split(rows)
-    facts = fact.groupBy("market_commodity_id", "date").agg(F.max_by("modal_price", "ordinal").alias("modal_price"))
-    return dim.select("market_commodity_id").distinct().agg(F.count("*").alias("n")).select(F.lit("dim").alias("t"), "n").union(facts.agg(F.count("*").alias("n")).select(F.lit("fact").alias("t"), "n"))
+    dim, fact = star.split(star.last_of_day(rows))
+    none = F.lit(None).cast("double")
+    dims = dim.groupBy("market_commodity_id", *star.DIM_KEY).agg(F.max("ordinal").alias("ordinal")).select(F.lit("dim").alias("t"), "market_commodity_id", *star.DIM_KEY, F.lit(None).cast("string").alias("day"), none.alias("min_price"), none.alias("modal_price"), "ordinal")
+    facts = fact.select(F.lit("fact").alias("t"), "market_commodity_id", *(F.lit(None).cast("string").alias(c) for c in star.DIM_KEY), F.date_format("date", "yyyy-MM-dd").alias("day"), "min_price", "modal_price", "ordinal")
+    return dims.union(facts)
 
 
-STAR_SPLIT = """
-SELECT 'dim' AS t, count(*) AS n FROM (SELECT DISTINCT o_orderkey % 3, o_custkey, o_orderpriority FROM orders)
-UNION ALL SELECT 'fact', count(*) FROM (SELECT DISTINCT o_orderkey % 3, o_custkey, o_orderpriority, o_orderdate::DATE FROM orders)"""
+STAR_SPLIT = f"""
+WITH {_NORMAL_SQL}, k AS (SELECT *, md5(source_system || '||' || state || '||' || market_name || '||' || commodity_name || '||' || coalesce(variety, '')) AS id FROM n),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, day ORDER BY ordinal DESC) AS r FROM k) WHERE r = 1)
+SELECT 'dim' AS t, id AS market_commodity_id, source_system, state, market_name, commodity_name, variety, NULL AS day, NULL::DOUBLE AS min_price, NULL::DOUBLE AS modal_price, max(ordinal) AS ordinal FROM k GROUP BY ALL
+UNION ALL SELECT 'fact', id, NULL, NULL, NULL, NULL, NULL, day, min_price, modal_price, ordinal FROM f"""
 
 
 def strip_nulls(spark: SparkSession, d: str) -> DataFrame:
@@ -103,22 +148,113 @@ SELECT partition, o::BIGINT AS "offset", least(700, 1500 - o)::BIGINT AS size FR
 
 
 def date_spine(spark: SparkSession, d: str) -> DataFrame:
-    files = table(spark, d, "events").where("event_id % 9 = 0").select(F.to_date("ts").alias("day"))
-    first, last = files.agg(F.min("day"), F.max("day")).first()
-    out = landed.landed_days(landed.date_spine(spark, str(first), str(last)), files)
+    """Records by day; the days of every fifth date gave none."""
+    files = table(spark, d, "events").select(F.when(F.dayofmonth("ts") % 5 != 0, F.to_date("ts")).alias("day"))
+    out = landed.landed_days(landed.date_spine(files, "day"), files)
     return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "records", "landed")
 
 
 DATE_SPINE = """
-WITH f AS (SELECT ts::DATE AS day, count(*) AS n FROM events WHERE event_id % 9 = 0 GROUP BY 1), s AS (SELECT unnest(generate_series((SELECT min(day) FROM f), (SELECT max(day) FROM f), INTERVAL 1 DAY))::DATE AS day)
+WITH f AS (SELECT ts::DATE AS day, count(*) AS n FROM events WHERE day(ts) % 5 <> 0 GROUP BY 1), s AS (SELECT unnest(generate_series((SELECT min(day) FROM f), (SELECT max(day) FROM f), INTERVAL 1 DAY))::DATE AS day)
 SELECT strftime(s.day, '%Y-%m-%d') AS day, coalesce(n, 0) AS records, n IS NOT NULL AS landed FROM s LEFT JOIN f USING (day)"""
 
 
+def request_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """What a request asks for: days and milliseconds from whatever is given, else the usual range."""
+    o = table(spark, d, "orders")
+    k, now = F.col("o_orderkey") % 3, F.lit("1998-12-01")
+    text = F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 1, F.date_format("o_orderdate", "dd/MM/yyyy"))
+    span = landed.epoch_range(text, F.lit(None).cast("string"), now.cast("timestamp"), 30)
+    days = landed.day_range(F.when(k == 0, F.to_date("o_orderdate")), F.lit(None).cast("date"), now.cast("date"))
+    return o.select("o_orderkey", span["start"].alias("start"), span["end"].alias("end"), F.date_format(days["first"], "yyyy-MM-dd").alias("first"), F.date_format(days["last"], "yyyy-MM-dd").alias("last"))
+
+
+REQUEST_RANGES = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN epoch_ms(TIMESTAMP '1998-11-01') ELSE epoch_ms(date_trunc('day', o_orderdate)) END AS start, epoch_ms(TIMESTAMP '1998-12-01') AS "end",
+       CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '1998-11-30' END AS first, '1998-12-01' AS last FROM orders"""
+
+
 def absent_partitions(spark: SparkSession, d: str) -> DataFrame:
-    return landed.absent_partitions(table(spark, d, "nation").select("n_nationkey"), table(spark, d, "supplier").where("s_suppkey % 6 = 0").select(F.col("s_nationkey").alias("n_nationkey")), "n_nationkey")
+    """States that the national feed knows and no customer is from: customers' nations stand for every other state."""
+    known = landed.known_partitions(spark).withColumn("n", F.row_number().over(Window.orderBy("partition")) - 1)  # a fixed, short list
+    found = table(spark, d, "customer").select((F.col("c_nationkey") * 2).alias("n"))
+    return landed.absent_partitions(known, found, "n").select("partition")
+
+
+_PARTITIONS = ", ".join(f"('{x}')" for x in load("words")["partitions"])
+ABSENT_PARTITIONS = f"SELECT partition FROM (SELECT partition, row_number() OVER (ORDER BY partition) - 1 AS n FROM (VALUES {_PARTITIONS}) t(partition)) WHERE n NOT IN (SELECT c_nationkey * 2 FROM customer)"
+
 
+def page_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Pages up to the first without a next link: an event's page is its place on its user's day."""
+    w = Window.partitionBy("source").orderBy("event_id")
+    e = table(spark, d, "events").select(F.concat_ws(":", F.col("user_id"), F.to_date("ts")).alias("source"), "event_id", (F.col("event_id") % 3 != 0).alias("has_next"))
+    return landed.chained_pages(e.withColumn("page", F.row_number().over(w))).select("source", "page", "event_id")
 
-ABSENT_PARTITIONS = "SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 6 = 0)"
+
+PAGE_CHAIN = """
+WITH p AS (SELECT user_id || ':' || ts::DATE AS source, event_id, event_id % 3 <> 0 AS has_next, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY event_id) AS page FROM events)
+SELECT source, page::INTEGER AS page, event_id FROM p WHERE NOT EXISTS (SELECT 1 FROM p x WHERE x.source = p.source AND x.page < p.page AND NOT x.has_next)"""
+
+
+def json_checkpoint(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads written as a checkpoint and read again; one source failed, one source's data is a text of JSON."""
+    e = table(spark, d, "events")
+    ok = F.col("event_type") != "click"
+    record = F.when(ok, F.create_map(F.lit("id"), F.col("event_id").cast("string"), F.lit("v"), F.col("value").cast("string")))
+    rows = e.select(F.col("event_type").alias("source"), ok.alias("success"), F.when(~ok, "timeout").alias("error"), F.lit(None).cast("string").alias("details"), F.col("event_id").alias("ordinal"), record.alias("record"))
+    path = fresh_path(spark, "checkpoint")
+    landed.write_checkpoint(rows, path)
+    again = landed.read_checkpoint(spark, path)
+    texts = again.where("success").groupBy("source").agg(F.to_json(landed.records_in_order()).alias("data"))
+    texts = texts.select(F.to_json(F.create_map(F.concat(F.lit("text "), "source"), F.struct(F.lit(True).alias("success"), "data"))).alias("value"))
+    every = again.unionByName(landed.payload_records(texts))
+    return every.select("source", "success", "error", F.col("ordinal").cast("bigint").alias("ordinal"), F.col("record")["id"].alias("id"))
+
+
+JSON_CHECKPOINT = """
+WITH o AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS n FROM events WHERE event_type <> 'click')
+SELECT event_type AS source, true AS success, NULL AS error, n AS ordinal, CAST(event_id AS VARCHAR) AS id FROM o UNION ALL SELECT 'text ' || event_type, true, NULL, n, CAST(event_id AS VARCHAR) FROM o
+UNION ALL SELECT 'click', false, 'timeout', NULL, NULL WHERE EXISTS (SELECT 1 FROM events WHERE event_type = 'click')"""
+
+
+def csv_names(spark: SparkSession, d: str) -> DataFrame:
+    """A CSV of names written and read again: blank names and placeholders go."""
+    p = table(spark, d, "part")
+    name = F.when(F.col("p_partkey") % 5 == 0, F.lit(" ")).when(F.col("p_partkey") % 5 == 1, F.lit("(No commodity_name)")).otherwise(F.concat(F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"')))
+    path = fresh_path(spark, "names")
+    landed.write_csv(p.select(name.alias("commodity_name"), "p_partkey").withColumn("notes", F.when(F.col("p_partkey") % 2 == 0, "a,b")), path)
+    return landed.read_names_csv(spark, path, "commodity_name string, p_partkey bigint, notes string")
+
+
+CSV_NAMES = """SELECT p_name || ', "' || p_brand || '"' AS commodity_name, p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'a,b' END AS notes FROM part WHERE p_partkey % 5 > 1"""
+
+
+def sheet_import(spark: SparkSession, d: str) -> DataFrame:
+    """A sheet whose columns are found by words in their headers, or by their place."""
+    p = table(spark, d, "part")
+    path = fresh_path(spark, "sheet")
+    landed.write_csv(p.select(F.col("p_partkey").cast("string").alias("No."), F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("Market Name (full)"), F.when(F.col("p_size") > 25, " ").otherwise(F.col("p_brand")).alias("col3")), path)
+    return landed.read_sheet(spark, path, {"name": ("market",), "state": ("state",), "row": ("no.",)}, {"name": 0, "state": 2, "row": 1})
+
+
+SHEET_IMPORT = "SELECT trim(p_name) AS name, CASE WHEN p_size <= 25 THEN p_brand END AS state, CAST(p_partkey AS VARCHAR) AS row FROM part"
+
+
+def report_copy(spark: SparkSession, d: str) -> DataFrame:
+    """An audit's report as JSON, a checked copy of a table, and its source's label set."""
+    p = table(spark, d, "part")
+    report, copy = fresh_path(spark, "report"), fresh_path(spark, "copy")
+    landed.write_report(A.outliers(p, "size", "p_size", 40), report)
+    n = landed.copy_table(spark, f"{d}/part.parquet", copy)
+    same = landed.override_source(spark.read.parquet(copy), "copied").groupBy("source_system").agg(F.count("*").alias("value"))
+    found = spark.read.schema("section string, metric string, value bigint, total bigint").json(report)
+    return found.unionByName(same.select(F.lit("copy").alias("section"), F.col("source_system").alias("metric"), "value", F.lit(n).cast("bigint").alias("total")))
+
+
+REPORT_COPY = """
+SELECT 'size' AS section, unnest(['below_zero', 'above_most']) AS metric, unnest([count(*) FILTER (p_size < 0), count(*) FILTER (p_size > 40)]) AS value, count(*) AS total FROM part
+UNION ALL SELECT 'copy', 'copied', count(*), count(*) FROM part"""
 
 
 def gather_sources(spark: SparkSession, d: str) -> DataFrame:
@@ -200,21 +336,12 @@ GRID_ROWS = "SELECT p_partkey, array_to_string(list_transform(range(9), lambda i
 def geocodes(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation")
     markets = n.select(F.col("n_regionkey").cast("string").alias("state"), F.col("n_name").alias("name"))
-    geo = n.where("n_nationkey % 2 = 0").select(F.col("n_regionkey").cast("string").alias("state"), F.col("n_name").alias("name"), F.lit("d").alias("district"), F.lit("1").alias("postcode"), F.col("n_nationkey").cast("double").alias("lon"), F.lit(2.0).alias("lat"))
+    own = F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.concat(F.lit("other "), "n_name"))
+    geo = n.select(F.col("n_regionkey").cast("string").alias("state"), own.alias("name"), F.lit("d").alias("district"), F.lit("1").alias("postcode"), F.col("n_nationkey").cast("double").alias("lon"), F.lit(2.0).alias("lat"))
     out = landed.with_geocodes(markets, geo)
     return out.select("state", "name", "district", "postcode", F.col("location.type").alias("type"), F.col("location.coordinates")[0].alias("lon"))
 
 
 GEOCODES = "SELECT CAST(n_regionkey AS VARCHAR) AS state, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'd' END AS district, CASE WHEN n_nationkey % 2 = 0 THEN '1' END AS postcode, CASE WHEN n_nationkey % 2 = 0 THEN 'Point' END AS type, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::DOUBLE END AS lon FROM nation"
 
-
-def best_and_second(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("p_brand").orderBy(F.desc("p_retailprice"), "p_partkey")
-    p = table(spark, d, "part").withColumn("r", F.row_number().over(w)).withColumn("second", F.lead("p_retailprice").over(w))
-    return p.where("r = 1").select("p_brand", F.col("p_retailprice").alias("best"), "second")
-
-
-BEST_AND_SECOND = """
-SELECT p_brand, p_retailprice AS best, second FROM (SELECT p_brand, p_retailprice, row_number() OVER w AS r, lead(p_retailprice) OVER w AS second FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey)) WHERE r = 1"""
-
-QUERIES = {k: (globals()[k], globals()[k.upper()]) for k in "harmonise_union normalise guard star_split strip_nulls request_plan page_plan date_spine absent_partitions gather_sources json_flatten payload_status html_table forward_fill grid_rows geocodes best_and_second".split()}
+QUERIES = {k: (globals()[k], globals()[k.upper()]) for k in "harmonise_union normalise guard quarantine_summary unknown_sources star_split strip_nulls request_plan page_plan date_spine request_ranges absent_partitions page_chain json_checkpoint csv_names sheet_import report_copy gather_sources json_flatten payload_status html_table forward_fill grid_rows geocodes".split()}

@@ -104,8 +104,10 @@ def absent_partitions(expected: DataFrame, landed: DataFrame, key: str) -> DataF
     return expected.join(landed.select(key).distinct(), key, "left_anti")
 
 
-def date_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
-    return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("day"))
+def date_spine(files: DataFrame, column: str) -> DataFrame:
+    """Every day from the first to the last of a column."""
+    ends = files.agg(F.min(column).alias("first"), F.max(column).alias("last")).where("first is not null")
+    return ends.select(F.explode(F.sequence("first", "last")).alias("day"))
 
 
 def landed_days(spine: DataFrame, files: DataFrame) -> DataFrame:
@@ -124,10 +126,16 @@ def gather(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def records_in_order() -> Column:
+    """The records of a group as an array in the order of their ordinals."""
+    each = F.collect_list(F.when(F.col("record").isNotNull(), F.struct("ordinal", "record")))
+    return F.transform(F.array_sort(each, lambda a, b: F.sign(a["ordinal"] - b["ordinal"]).cast("int")), lambda r: r["record"])
+
+
 def write_checkpoint(payloads: DataFrame, path: str) -> None:
     """Payload records as JSON texts, one a line, that payload_records() reads again."""
-    own = payloads.groupBy("source").agg(F.bool_and("success").alias("success"), F.max("error").alias("error"), F.max("details").alias("details"), F.array_sort(F.collect_list(F.when(F.col("record").isNotNull(), F.struct("ordinal", "record")))).alias("rows"))
-    body = F.struct("success", F.transform("rows", lambda r: r["record"]).alias("data"), "error", "details")
+    own = payloads.groupBy("source").agg(F.bool_and("success").alias("success"), F.max("error").alias("error"), F.max("details").alias("details"), records_in_order().alias("data"))
+    body = F.struct("success", "data", "error", "details")
     own.select(F.to_json(F.create_map("source", body)).alias("value")).write.mode("overwrite").text(path)
 
 

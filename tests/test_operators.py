@@ -83,7 +83,11 @@ def test_repairs(spark):
     dim = spark.createDataFrame([("keep", None), ("old", "m"), ("other", None)], "id string, market_id string")
     assert {r.id: r.market_id for r in repair.merge_dims(dim, pairs, ["market_id"]).collect()} == {"keep": "m", "other": None}
     assert [r.id for r in repair.orphan_facts(facts, dim.where("id <> 'other'"), "fk").collect()] == [4]
-    assert {r.id for r in repair.rename_source(dim, "id", "old", "new").collect()} == {"keep", "new", "other"}
+    labels = spark.createDataFrame([("a", "new", "k1"), ("b", "old", "k1"), ("c", "old", "k2")], "id string, label string, key string")
+    own = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d1"), (3, "b", "d2"), (4, "c", "d1")], "fact int, fk string, day string")
+    left, moved = repair.rename_source(labels, own, "label", "old", "new", ["key"], "fk", "day", "fact")
+    assert {tuple(r) for r in left.collect()} == {("a", "new", "k1"), ("c", "new", "k2")}
+    assert {r.fact: (r.target, r.action) for r in moved.collect()} == {1: ("a", "keep"), 2: ("a", "drop"), 3: ("a", "remap"), 4: ("c", "keep")}
 
 
 def test_resolve_new_and_suggestions(spark):
@@ -97,13 +101,13 @@ def test_resolve_new_and_suggestions(spark):
     got = {r.name: (r.best_id, r.accepted, r.reason) for r in best.collect()}
     assert got["Tomatoes"] == ("a", True, None)
     assert got["zzz"][1:] == (False, "score too low")
-    assert review.suggestions(best, F.lit("2026-01-01").cast("timestamp"), "r").count() == 1
+    assert {r.key: r.suggestion.group_name for r in review.suggestions(best.withColumn("records", F.lit(1)), F.lit("2026-01-01").cast("timestamp"), "r").collect()}["unmapped_commodity|Tomatoes"] == "tomato"
 
 
 def test_audit_nulls_on_empty_table(spark):
     empty = spark.createDataFrame([], "a string, b int")
     assert {(r.metric, r.value, r.severity) for r in audit.nulls(empty, "s", ["a", "b"]).collect()} == {("a", 0, "ok"), ("b", 0, "ok")}
-    assert audit.uniqueness(empty, ["a"], "u").first().holds
+    assert audit.uniqueness(empty, {"u": ["a"]}).first().holds
 
 
 def test_versions_and_stream(spark, tmp_path):
@@ -119,5 +123,93 @@ def test_versions_and_stream(spark, tmp_path):
     assert {(r.k, r.v) for r in merge.load_current(spark, table).collect()} == {("a", 5), ("b", 2)}
     events = spark.readStream.schema("source string, t timestamp").json(inbox)
     assert daily_counts(events, "t").isStreaming
-    copied = landed.copy_table(spark, f"{table}/v0", str(tmp_path / "copy"))
-    assert copied == 1
+    copied = landed.copy_table(spark, merge.current_version(spark, table)[1], str(tmp_path / "copy"))
+    assert copied == 2
+
+
+def test_fuzzy_best_against_all_pairs(spark):
+    """Best and second of every name by scoring it with every entry, in one block and in several."""
+    import random
+
+    from furrow.functions import fuzzy
+
+    r = random.Random(3)
+    stems = ["paddy", "green gram", "coriander", "tomato", "black pepper", "maize", "moong", "urad dal"]
+
+    def variant(t):
+        t = list(t + r.choice(["", "", " (whole)", "/dry", " local", "-2"]))
+        for _ in range(r.randint(0, 2)):
+            t[r.randrange(len(t))] = r.choice("abcdeé ")
+        return "".join(t)
+
+    entries = [(f"{i:03d}", variant(r.choice(stems)), [variant(r.choice(stems)) for _ in range(r.randint(0, 3))]) for i in range(60)]
+    entries += [("060", "paddy", ["padd y", "paddy"]), ("061", "", []), ("062", None, None)]
+    names = sorted({variant(r.choice(stems)) for _ in range(60)} | {"paddy", "pa-ddy", "zzz", "(x)", "\uff30addy"})
+    lookup = spark.createDataFrame(entries, "id string, canonical_name string, aliases array<string>")
+    probes = spark.createDataFrame([(n,) for n in [*names, " ", None]], "name string")
+    for contained, block in ((5, 20_000), (4, 9)):
+        got = {x.name: x for x in resolve.fuzzy_best(probes, lookup, contained=contained, block=block).collect()}
+        assert set(got) == set(names)
+        for n in names:
+            ranked = sorted((-fuzzy.best_ratio(n, [c, *(a or [])], contained), i) for i, c, a in entries)
+            assert (got[n].score, got[n].best_id, got[n].second) == (-ranked[0][0], ranked[0][1], -ranked[1][0])
+            sure = got[n].score >= 0.78 and (got[n].score - got[n].second >= 0.04 or got[n].score >= 0.99)
+            assert got[n].accepted == sure
+
+
+def test_containing_needs_no_third_character(spark):
+    lookup = spark.createDataFrame([("1", "c1", ["ab", "xaby"]), ("2", "c2", ["a"]), ("3", None, ["b"])], "id string, crop_master_id string, aliases array<string>")
+    names = spark.createDataFrame([("A",), ("b",), ("aby",), ("abyz",), ("",), (None,)], "name string")
+    assert {r.name: (r.crop_master_id, r.rank) for r in resolve.crop_master_id(names, lookup).collect()} == {"A": ("c2", 1), "b": ("c1", 2), "aby": ("c1", 2), "abyz": (None, None), "": (None, None), None: (None, None)}
+
+
+def test_workers_get_the_package(spark, tmp_path):
+    """Another session, in a folder of its own and without the package on its path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from furrow.session import builder
+from furrow.operators import resolve
+from furrow.sources import html_tables
+s = builder("w").master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+s.createDataFrame([(1, "<table><tr><td>x</td></tr></table>")], "page_id int, html string").createOrReplaceTempView("p")
+print("ROWS", html_tables.read_rows(s.table("p")).count(), resolve.fuzzy_best(s.createDataFrame([("paddy",)], "name string"), s.createDataFrame([("1", "paddy", ["x"])], "id string, canonical_name string, aliases array<string>")).first().score)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "ROWS 1 1.0" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_batch_that_died_before_its_pointer_can_be_written_again(spark, tmp_path):
+    table, df = str(tmp_path / "t"), spark.createDataFrame([("a", 1)], "k string, n int")
+    merge.save_version(df, table, 0)
+    df.write.parquet(f"{table}/v1-dead")  # a part of an attempt that never moved the pointer
+    merge.save_version(df.withColumn("n", F.lit(2)), table, 1)
+    merge.save_version(df.withColumn("n", F.lit(2)), table, 1)
+    assert merge.current_version(spark, table)[0] == 1
+    assert [tuple(r) for r in merge.load_current(spark, table).collect()] == [("a", 2)]
+
+
+def test_nulls_count_as_a_source_and_a_name(spark):
+    df = spark.createDataFrame([("k", "a", "x"), ("k", None, None), ("j", "a", "x"), ("j", "a", "x")], "k string, source string, name string")
+    assert [tuple(r) for r in audit.source_overlap(df, [F.col("k")], "source").collect()] == [("|a", 1, 2)]
+    assert [tuple(r) for r in audit.variants(df, ["k"], "name").collect()] == [("k", 2, 2, "|x")]
+
+
+def test_blank_names_open_no_items(spark):
+    rows = spark.createDataFrame([("", "feed", "", "", None, "", None, "v", None, None, None, None, 1)], ROW)
+    stats = review.run_stats(rows).first()
+    assert (stats.source, stats.state, stats.records, stats.markets, stats.unmapped_commodities, stats.unknown_markets) == ("feed", "unknown", 1, 0, 0, 0)
+    status = spark.createDataFrame([], "source string, success boolean, error string, details string, records long")
+    assert review.review_items(rows, status, "run", F.lit("2026-10-31").cast("timestamp")).count() == 0
+
+
+def test_swap_of_one_source_only(spark):
+    facts = spark.createDataFrame([(1, "2026-09-07", "a"), (2, "2026-09-07", "b"), (3, "2026-09-22", "a")], "fk int, day string, source string").withColumn("day", F.col("day").cast("date"))
+    plan = repair.swap_plan(facts, "fk", "day", F.lit("2026-08-13").cast("date"), F.col("source") == "a")
+    assert {(r.fk, r.action) for r in plan.collect()} == {(1, "move"), (3, "delete")}

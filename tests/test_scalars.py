@@ -50,7 +50,7 @@ def test_free_dates_against_dateutil(spark):
 
 
 def test_numbers_as_general_text(spark):
-    numbers = [0.0, 1.0, -2600.0, 0.1, 1 / 3, 123456.0, 999999.4, 999999.5, 1e6, 1234567.0, 1.5e9, 0.0001, 0.00012345678, 0.00009999, 1e-7, -3.25e-9, 2450.255, 1e22, 12345.65, 1e100, 100000.0, 0.5]
+    numbers = [0.0, 1.0, -2600.0, 0.1, 1 / 3, 123456.0, 999999.4, 999999.5, 1e6, 1234567.0, 1.5e9, 0.0001, 0.00012345678, 0.00009999, 1e-7, -3.25e-9, 2450.255, 1e22, 12345.65, 1e100, 100000.0, 0.5, 200000.5, 200001.5, -12345.75, 1.000005, 0.001234565, 999999.5, 9999995.0, 12345650.0, 12345750.0, 99999.95, *(k / 1000 + 0.0005 for k in range(100000, 100400)), *(k + 0.65 for k in range(10000, 10400)), *(k * 1e-9 + 5e-10 for k in range(123000, 123200))]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double").select("i", X.number_text(F.col("x")).alias("t"))
     assert {r.i: r.t for r in df.collect()} == {i: f"{x:g}" for i, x in enumerate(numbers)}
 
