@@ -22,11 +22,12 @@ join into regions:
    those within twice the radius of the pivot. They are replicated to the cell and
    compared with its members, unless cell and document are connected already. Which
    pivots a document meets is again told by its rarest shingles in the region.
-   A region of more than a block is dealt out in blocks first; the pivots of its
-   blocks form a region of their own, and so on while they get fewer. Near copies are
-   one component then. What is left are documents outside the region's largest
-   component: all its blocks are joined with them once more, again in blocks.
-4. Links (a spanning forest of each task's links) give the components.
+   A region of one block is settled there. A larger one is dealt out in blocks: each
+   gives its components and pivots, and the pivots, dealt by component, form a region
+   of their own, and so on while they get fewer. Near copies are one component then.
+   What is left are documents outside the region's largest component: all its blocks
+   are joined with them once more, again in blocks.
+4. Components that these last links connect are merged.
 
 Defined cases: null text counts as empty; sets without words link with nothing;
 texts of fewer than five words are one shingle, the whole sequence. Exact copies
@@ -43,10 +44,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, mix64, read_table, ship
+from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, maybe_broadcast, mix64, read_table, ship
 
 WORDS = 5
 #: Documents up to which a first-level region gives its pairs at once, and where further levels of the order begin.
@@ -172,17 +173,22 @@ def _near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return min(len(a), len(b)) >= least and len(np.intersect1d(a, b, assume_unique=True)) >= least
 
 
-def cell_links(sets: list[np.ndarray], count: Counter | None = None) -> tuple[list[tuple[int, int]], list[int]]:
-    """Links between positions of sets, so many that their components are complete (exact); and the pivots.
+def cell_links(sets: list[np.ndarray], count: Counter | None = None, labels: list[int] | None = None) -> tuple[list[tuple[int, int]], list[int], Forest]:
+    """Links between positions of sets, so many that their components are complete (exact); the pivots; and the components.
 
-    count, if given, counts cells, replicated documents and comparisons.
+    Positions with one label are known to be connected. count, if given, counts cells, replicated documents and comparisons.
     """
     n, found = len(sets), []
     count = Counter() if count is None else count
+    forest, seen = Forest(n), {}
+    for i, x in enumerate(labels or ()):
+        forest.join(seen.setdefault(x, i), i)
     if n < 3:
         count["compared"] += n - 1
-        near = n == 2 and _near(*sets, 75)
-        return [(0, 1)] if near else [], list(range(1 if near else n))
+        if n == 2 and _near(*sets, 75):
+            forest.join(0, 1)
+            return [(0, 1)], [0], forest
+        return [], list(range(n)), forest
     # the rarest shingles of each set, of which near sets share one
     flat = np.concatenate(sets)
     size = np.array([len(s) for s in sets])
@@ -192,7 +198,6 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None) -> tuple[li
     first = np.cumsum(size) - size
     rare = [x[x >= 0].tolist() for x in (np.where(times[code[order[f : f + s // 4 + 1]]] > 1, code[order[f : f + s // 4 + 1]], -1) for f, s in zip(first, size, strict=True))]
 
-    forest = Forest(n)
     members: dict[int, list[int]] = {}  # of the cell of each pivot
     pivots_at: dict[int, list[int]] = {}  # pivots that have a shingle among their rarest
     cell = [0] * n
@@ -213,7 +218,7 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None) -> tuple[li
                 pivots_at.setdefault(t, []).append(x)
     count["cells"] += len(members)
     if len(members) == 1:
-        return found, list(members)
+        return found, list(members), forest
     cells_at: dict[int, set[int]] = {}  # cells with a member that has a shingle among its rarest
     for x in range(n):
         for t in rare[x]:
@@ -232,30 +237,40 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None) -> tuple[li
                     found.append((x, y))
                     forest.join(x, y)
                     break
-    return found, list(members)
+    return found, list(members), forest
 
 
 def _join_regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (region, a, b) and pivots (region, a, null) of batches that hold regions or their blocks one after the other, documents in order."""
-    key, ids, sets = None, [], []
-    out: list[tuple[int, int, int | None]] = []
+    """Batches hold regions or their blocks one after the other, documents in order, each with the label of its component so far.
+
+    Gives (region, label, lowest, null) for labels that lie in a component with a lower one, and (region, null, null, document) for pivots.
+    """
+    key, ids, labels, sets = None, [], [], []
+    out: list[tuple[int, int | None, int | None, int | None]] = []
 
     def close() -> None:
-        if ids:
-            links, pivots = cell_links(sets)
-            out.extend((key[0], ids[i], ids[j]) for i, j in links)
-            out.extend((key[0], ids[i], None) for i in pivots)
+        if len(ids) == 1:
+            out.append((key[0], None, None, ids[0]))
+        elif ids:
+            _, pivots, forest = cell_links(sets, labels=labels)
+            low: dict[int, int] = {}
+            for i, x in enumerate(labels):
+                root = forest.find(i)
+                low[root] = min(low.get(root, x), x)
+            out.extend({(key[0], x, low[forest.find(i)], None) for i, x in enumerate(labels) if x != low[forest.find(i)]})
+            out.extend((key[0], None, None, ids[i]) for i in pivots)
 
     def table() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["region", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], ["region", "label", "lowest", "pivot"])
 
     for b in batches:
-        for region, i, j, doc, s in zip(*(b.column(c).to_pylist() for c in ("region", "i", "j", "doc_id", "shingles")), strict=True):
+        for region, i, j, doc, label, s in zip(*(b.column(c).to_pylist() for c in ("region", "i", "j", "doc_id", "label", "shingles")), strict=True):
             if (region, i, j) != key:
                 close()
-                key, ids, sets = (region, i, j), [], []
+                key, ids, labels, sets = (region, i, j), [], [], []
             if not ids or ids[-1] != doc:  # a document may come to a task from both sides
                 ids.append(doc)
+                labels.append(label)
                 sets.append(np.frombuffer(s, dtype=np.int64))
         yield table()
         out.clear()
@@ -264,43 +279,49 @@ def _join_regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _joined(tasks: DataFrame) -> DataFrame:
-    """Links and pivots of tasks (region, i, j, doc_id, shingles)."""
-    tasks = tasks.select("region", "i", "j", "doc_id", "shingles")
-    return tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(lean(_join_regions), "region bigint, a bigint, b bigint")
+    """What _join_regions gives for tasks (region, i, j, doc_id, label, shingles)."""
+    tasks = tasks.select("region", "i", "j", "doc_id", "label", "shingles")
+    return tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "doc_id").mapInArrow(lean(_join_regions), "region bigint, label bigint, lowest bigint, pivot bigint")
 
 
-def _in_blocks(sets: DataFrame) -> DataFrame:
-    """sets (region, doc_id, n, shingles) with the number of blocks of their region and their block."""
-    whole = sets.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    return sets.drop("blocks", "i").join(whole.select("region", blocks.alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+def _relabelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with the lowest labels that found has for theirs."""
+    to = maybe_broadcast(found.where("label is not null").select(F.col("region").alias("_region"), F.col("label").alias("_label"), "lowest"))
+    return rows.join(to, (F.col("region") == F.col("_region")) & (F.col("label") == F.col("_label")), "left").withColumn("label", F.coalesce("lowest", "label")).drop("_region", "_label", "lowest")
 
 
 def _large_regions(sets: DataFrame) -> DataFrame:
-    """Links (a, b) of regions of several blocks, from sets (region, doc_id, n, shingles, blocks, i)."""
-    nowhere = F.lit(0).alias("j")
-    links, rows, left = None, sets, sets.count()
+    """Rows (a, b) of documents and their components in regions of several blocks, from sets (region, doc_id, n, shingles, blocks, i)."""
+    labelled = sets.select("region", "doc_id", "blocks", "i", F.col("doc_id").alias("label"))
+    rows, left = sets.select("region", "doc_id", "n", "i", "blocks", "shingles", F.col("doc_id").alias("label")), sets.count()
     while True:
-        found = materialise(_joined(rows.select("*", nowhere)), "round")
-        links = found.where("b is not null") if links is None else links.union(found.where("b is not null"))
-        pivots = found.where("b is null").select("region", F.col("a").alias("doc_id"))
+        found = materialise(_joined(rows.withColumn("j", F.lit(0))), "round")
+        labelled = materialise(_relabelled(labelled, found), "labelled")
         single = rows.where("blocks > 1").isEmpty()
-        rows = _in_blocks(sets.join(pivots, ["region", "doc_id"]))
+        pivots = found.where("pivot is not null").select("region", F.col("pivot").alias("doc_id"))
         before, left = left, pivots.count()
         if single or left > (1 - SHRINK) * before:
             break
-    so_far = materialise(components(links.select("a", "b")), "connected")
-    placed = sets.select("region", "doc_id", "blocks", "i").join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    placed = materialise(placed.withColumn("component", F.coalesce("component_id", "doc_id")).drop("component_id"), "placed")
-    main = placed.groupBy("region", "component").count().groupBy("region").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    other = placed.join(main, "region").where("component <> main")
+        rows = sets.select("region", "doc_id", "n", "shingles").join(pivots, ["region", "doc_id"]).join(labelled.select("region", "doc_id", "label"), ["region", "doc_id"])
+        whole = rows.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
+        rows = materialise(rows.join(whole.select("region", _blocks().alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int")), "pivots")
+    main = labelled.groupBy("region", "label").count().groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    other = materialise(labelled.join(main, "region").where("label <> main").select("region", "doc_id", "label"), "other")
     parts = other.groupBy("region").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("parts"))
     # every block with every part of the others
-    blocks = sets.join(parts, "region").select("region", "doc_id", "shingles", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
-    guests = other.select("region", "doc_id").join(parts, "region").withColumn("j", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"))
-    guests = sets.join(guests, ["region", "doc_id"]).select("region", "doc_id", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "j")
-    across = materialise(_joined(blocks.unionByName(guests)).where("b is not null"), "across")
-    return so_far.select(F.col("id").alias("a"), F.col("component_id").alias("b")).union(across.select("a", "b"))
+    own = sets.select("region", "doc_id", "shingles").join(labelled, ["region", "doc_id"]).join(parts, "region").select("region", "doc_id", "label", "shingles", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    guests = other.join(parts, "region").withColumn("j", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"))
+    guests = sets.select("region", "doc_id", "shingles", "blocks").join(guests, ["region", "doc_id"]).select("region", "doc_id", "label", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "j")
+    across = materialise(_joined(own.unionByName(guests)).where("label is not null"), "across")
+    if not across.isEmpty():
+        merged = components(across.select(F.col("label").alias("a"), F.col("lowest").alias("b")))
+        labelled = labelled.join(maybe_broadcast(merged.withColumnRenamed("id", "label")), "label", "left").withColumn("label", F.coalesce("component_id", "label"))
+    return labelled.select(F.col("doc_id").alias("a"), F.col("label").alias("b"))
+
+
+def _blocks() -> Column:
+    """Blocks of a region of docs documents with total shingles."""
+    return F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -348,14 +369,14 @@ def join(docs: DataFrame) -> DataFrame:
     wanted = hold(bitmap(linked, "doc_id"))
     full = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
     whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    linked = linked.join(whole.select("region", blocks.alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    linked = linked.join(whole.select("region", _blocks().alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     sets = materialise(full.join(linked, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id"]).select("region", "doc_id", "n", "shingles", "blocks", "i"), "full")
-    links = _joined(sets.where("blocks = 1").withColumn("j", F.lit(0))).where("b is not null").select("a", "b")
+    small = sets.where("blocks = 1").withColumns({"j": F.lit(0), "label": F.col("doc_id")})
+    final = _joined(small).where("label is not null").select(F.col("label").alias("a"), F.col("lowest").alias("b"))
     large = sets.where("blocks > 1")
     if not large.isEmpty():
-        links = links.union(_large_regions(large))
-    final = components(links)
+        final = final.union(_large_regions(large))
+    final = final.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
 
     by_set = nodes.select("f1", "f2", "doc_id").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("f1", "f2", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = sizes.join(by_set, ["f1", "f2"], "left")
