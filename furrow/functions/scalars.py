@@ -78,50 +78,51 @@ def parse_date(x: Column, today: Column | None = None) -> Column:
     def free(g: Column) -> Column:
         """From the parts a, b, c of the date and hour, minute, second, half of the day."""
         part = [F.get(g, F.lit(k)) for k in range(7)]
-        number = [part[k].try_cast("int") for k in range(3)]
-        named = [months[F.lower(part[k])] for k in range(2)]
-        value = [F.coalesce(named[0], number[0]), F.coalesce(named[1], number[1]), number[2]]
-        a, b, c = value
+        first, second = (months[F.lower(part[k])] for k in (0, 1))
+        read = {"a": F.coalesce(first, part[0].try_cast("int")), "b": F.coalesce(second, part[1].try_cast("int")), "c": part[2].try_cast("int"), "first": first.isNotNull(), "second": second.isNotNull()}
+        return F.when(F.size(g) == 7, bound(F.struct(*(x.alias(n) for n, x in read.items())), lambda v: F.when(~(v["first"] & v["second"]) & v["a"].isNotNull() & v["b"].isNotNull(), bound(order(part, v), lambda o: date(part, v, o)))))
+
+    def order(part: list[Column], v: Column) -> Column:
+        a, b, c = v["a"], v["b"], v["c"]
         y, m, d = F.lit("y"), F.lit("m"), F.lit("d")
         three = (
-            F.when(named[0].isNotNull(), F.when(b > 31, F.array(m, y, d)).otherwise(F.array(m, d, y)))
-            .when(named[1].isNotNull(), F.when(a > 31, F.array(y, m, d)).otherwise(F.array(d, m, y)))
+            F.when(v["first"], F.when(b > 31, F.array(m, y, d)).otherwise(F.array(m, d, y)))
+            .when(v["second"], F.when(a > 31, F.array(y, m, d)).otherwise(F.array(d, m, y)))
             .when((a > 31) | (F.length(part[0]) > 2), F.when(c <= 12, F.array(y, d, m)).otherwise(F.array(y, m, d)))
             .when((a > 12) | (b <= 12), F.array(d, m, y))
             .otherwise(F.array(m, d, y))
         )
         two = (
-            F.when(named[0].isNotNull(), F.when(b > 31, F.array(m, y)).otherwise(F.array(m, d)))
-            .when(named[1].isNotNull(), F.when(a > 31, F.array(y, m)).otherwise(F.array(d, m)))
+            F.when(v["first"], F.when(b > 31, F.array(m, y)).otherwise(F.array(m, d)))
+            .when(v["second"], F.when(a > 31, F.array(y, m)).otherwise(F.array(d, m)))
             .when(a > 31, F.array(y, m))
             .when(b > 31, F.array(m, y))
             .when(b <= 12, F.array(d, m))
             .otherwise(F.array(m, d))
         )
-        bad = (named[0].isNotNull() & named[1].isNotNull()) | a.isNull() | b.isNull()
-
-        def date(order: Column) -> Column:
-            def of(kind: str) -> Column:
-                at = F.array_position(order, kind)
-                return F.when(at == 1, a).when(at == 2, b).when(at == 3, c)
-
-            short = F.length(F.get(F.array(*part[:3]), (F.array_position(order, "y") - 1).cast("int"))) <= 2
-            near = F.year(now) - F.year(now) % 100 + of("y")
-            year = F.when(short, F.when(near >= F.year(now) + 50, near - 100).when(near < F.year(now) - 50, near + 100).otherwise(near)).otherwise(F.coalesce(of("y"), F.year(now)))
-            month = of("m")
-            last = F.dayofmonth(F.last_day(F.format_string("%04d-%02d-01", year, month).try_cast("date")))
-            day = F.coalesce(of("d"), F.least(F.dayofmonth(now), last))
-            hour = part[3].try_cast("int")
-            hour = F.when(part[6] == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(F.lower(part[6]) == "pm", 12).otherwise(0))
-            time = F.when(part[3] == "", F.lit("")).otherwise(F.format_string(" %02d:%s:%s", hour, part[4], F.when(part[5] == "", F.lit("00")).otherwise(part[5])))
-            return F.when(~bad, F.concat(F.format_string("%04d-%02d-%02d", year, month, day), time))
-
-        return F.when(F.size(g) == 7, bound(F.when(part[2] == "", two).otherwise(three), date))
+        return F.when(part[2] == "", two).otherwise(three)
+
+    def date(part: list[Column], v: Column, order: Column) -> Column:
+        def of(kind: str) -> Column:
+            at = F.array_position(order, kind)
+            return F.when(at == 1, v["a"]).when(at == 2, v["b"]).when(at == 3, v["c"])
+
+        short = F.length(F.get(F.array(*part[:3]), (F.array_position(order, "y") - 1).cast("int"))) <= 2
+        near = F.year(now) - F.year(now) % 100 + of("y")
+        year = F.when(short, F.when(near >= F.year(now) + 50, near - 100).when(near < F.year(now) - 50, near + 100).otherwise(near)).otherwise(F.coalesce(of("y"), F.year(now)))
+        month = of("m")
+        last = F.dayofmonth(F.last_day(F.format_string("%04d-%02d-01", year, month).try_cast("date")))
+        day = F.coalesce(of("d"), F.least(F.dayofmonth(now), last))
+        hour = part[3].try_cast("int")
+        hour = F.when(part[6] == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(F.lower(part[6]) == "pm", 12).otherwise(0))
+        time = F.when(part[3] == "", F.lit("")).otherwise(F.format_string(" %02d:%s:%s", hour, part[4], F.when(part[5] == "", F.lit("00")).otherwise(part[5])))
+        return F.concat(F.format_string("%04d-%02d-%02d", year, month, day), time)
 
     def text(s: Column) -> Column:
         return (
             F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10))
             .when(s.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)))
+            .when(s.rlike(r"^\d\d/(0\d|1[0-2])/\d{4}$"), F.concat_ws("-", F.substring(s, 7, 4), F.substring(s, 4, 2), F.substring(s, 1, 2)))  # the commonest
             .otherwise(bound(F.split(F.regexp_replace(s, _FREE, "$1|$2|$3|$4|$5|$6|$7"), "[|]"), free))
         )
 

@@ -30,7 +30,8 @@ def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(dimension rows, fact rows). Facts without a date or without any price are left out; their dimension row stays."""
     keyed = with_key(rows)
     dim = keyed.select("market_commodity_id", *DIM_KEY, *DIM_INSERT_ONLY, *DIM_REFRESHED, "ordinal")
-    fact = keyed.where(F.col("date").isNotNull() & F.coalesce(*(F.col(c) for c in PRICES)).isNotNull())
+    # one condition, so that no half of it is pushed below an aggregation that both tables could share
+    fact = keyed.where(F.when(F.col("date").isNotNull(), F.coalesce(*(F.col(c) for c in PRICES))).isNotNull())
     return dim, fact.select("market_commodity_id", "date", *DIM_REFRESHED, *MEASURES, "ordinal")
 
 
