@@ -11,7 +11,7 @@ lower for text closer to the target.
 The vocabulary is every word of every document (V counts <unk> and <s> too), so the
 models grow with the corpus and no task holds one of them. Documents are read in
 chunks; a chunk sends its distinct words and bigrams with their counts, as hashes of
-64 bits, to buckets of the hash range, a bucket adds the counts of all chunks up and
+56 bits (of 10^9 bigrams about one in 10^8 meets another), to buckets of the hash range, a bucket adds the counts of all chunks up and
 answers each chunk in the order of its question, and the chunk scores its documents
 with the answers. A common word or bigram is one entry of each chunk; a chunk sends
 nothing to buckets that it has no entry for, so what is sent is at most the entries.
@@ -46,6 +46,7 @@ MU = 100.0
 #: Entries of a bucket, about; their number follows the corpus.
 BUCKET_ENTRIES = 1_000_000
 CHUNK_BYTES = 8_000_000
+_LESS = np.uint64(8)  # bits that are left out of hashes: what is sent has a byte less for each entry
 
 
 def _parts(items: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int, int]]:
@@ -121,13 +122,13 @@ class Chunk:
 
     def __init__(self, row: dict):
         self.sizes, self.ids = np.array(row["sizes"], dtype=np.int64), _unpack(row["ids"]).astype(np.int64)
-        words = np.frombuffer(row["hashes"], np.uint64)
+        words = np.frombuffer(row["hashes"], np.uint64) >> _LESS
         self.n = n = len(words)
         self.prev = np.concatenate([[n], self.ids[:-1]]) if len(self.ids) else self.ids
         self.prev[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = n
         code, self.gram = np.unique(self.prev * (n + 1) + self.ids, return_inverse=True)
         self.v, self.w = code // (n + 1), code % (n + 1)
-        grams = mix64(mix64(np.append(words ^ np.uint64(0x9E3779B97F4A7C15), np.uint64(1)))[self.v] + words[self.w]) if n else words
+        grams = mix64(mix64(np.append(words ^ np.uint64(0x9E3779B97F4A7C15), np.uint64(1)))[self.v] + words[self.w]) >> _LESS if n else words
         self.word_order, self.gram_order = np.argsort(words), np.argsort(grams)
         self.words, self.grams = words[self.word_order], grams[self.gram_order]
 
@@ -136,7 +137,7 @@ def _ask(buckets: int):
     """For each chunk and bucket the sorted hashes of its words and bigrams with counts of both models: of words as such and as contexts."""
 
     def cuts(keys: np.ndarray) -> np.ndarray:
-        at = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        at = (keys >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
         return np.searchsorted(at.astype(np.int64), np.arange(buckets + 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
