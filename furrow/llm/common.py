@@ -169,8 +169,21 @@ def bitmap(df: DataFrame, column: str) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    p = _bit_positions(values)
-    return (bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return at_bits(bits, _bit_positions(values))
+
+
+def at_bits(bits: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    return (bits[(positions >> np.uint64(3)).astype(np.int64)] >> (positions & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def depth_in_bitmaps(nested: list[np.ndarray], values: np.ndarray) -> np.ndarray:
+    """For each value how many of nested, one after the other, hold it until one doesn't."""
+    positions, depth = _bit_positions(values), np.zeros(len(values), dtype=np.int64)
+    at = np.arange(len(values))
+    for bits in nested:
+        at = at[at_bits(bits, positions[at])]
+        depth[at] += 1
+    return depth
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

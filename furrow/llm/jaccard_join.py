@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import bitmap, byte_texts, components, discard, in_bitmap, lean, materialise, maybe_broadcast, mix64, read_table, ship
+from furrow.llm.common import bitmap, byte_texts, components, depth_in_bitmaps, discard, in_bitmap, lean, materialise, maybe_broadcast, mix64, read_table, ship
 
 WORDS = 5
 #: Documents up to which a first-level region gives its pairs at once, and where further levels of the order begin.
@@ -66,7 +66,7 @@ class WordHash(dict):
     """64-bit hashes of words, filled as they come up."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -117,8 +117,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _later(s: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
-    """Shingles as keys of the global order: those of crowded regions after all others."""
-    return s + sum((in_bitmap(x, s).astype(np.int64) for x in levels), np.zeros(len(s), np.int64)) * (1 << _BITS)
+    """Shingles as keys of the global order: the more documents hold one, the later."""
+    return s + (depth_in_bitmaps(levels, s) << _BITS)
 
 
 def _shared(get):
@@ -304,10 +304,10 @@ def _large_regions(sets: DataFrame) -> DataFrame:
             break
         rows = sets.select("region", "doc_id", "n", "shingles").join(pivots, ["region", "doc_id"]).join(labelled.select("region", "doc_id", "label"), ["region", "doc_id"])
         whole = rows.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-        rows = materialise(rows.join(whole.select("region", _blocks().alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int")), "pivots")
-    main = labelled.groupBy("region", "label").count().groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+        rows = materialise(rows.join(maybe_broadcast(whole.select("region", _blocks().alias("blocks"))), "region").withColumn("i", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int")), "pivots")
+    main = maybe_broadcast(labelled.groupBy("region", "label").count().groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main")))
     other = materialise(labelled.join(main, "region").where("label <> main").select("region", "doc_id", "label"), "other")
-    parts = other.groupBy("region").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("parts"))
+    parts = maybe_broadcast(other.groupBy("region").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("parts")))
     # every block with every part of the others
     own = sets.select("region", "doc_id", "shingles").join(labelled, ["region", "doc_id"]).join(parts, "region").select("region", "doc_id", "label", "shingles", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
     guests = other.join(parts, "region").withColumn("j", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"))
@@ -341,10 +341,12 @@ def join(docs: DataFrame) -> DataFrame:
     again = docs.where("doc_id is not null").mapInArrow(lean(_described(lambda: levels.value)), described).where("n > 0")
     node = again.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "win")).alias("x"))
     windows = materialise(node.select("x.doc_id", "x.n", "f1", "f2", "x.win"), "windows")
+    levels.destroy()
     nodes = materialise(windows.select("doc_id", "n", "f1", "f2", F.element_at("win", -1).alias("last")), "nodes")
     times = materialise(windows.select(F.explode("win").alias("t")).groupBy("t").count().where("count > 1"), "times")
     bits = hold((bitmap(times, "t"), bitmap(times.where(F.col("count") > CROWD), "t")))
     met = materialise(windows.mapInArrow(lean(_shared(lambda: bits.value)), "t bigint, doc_id bigint, n int, crowd boolean"), "regions")
+    bits.destroy()
     discard(windows, times)
 
     # small regions: pairs that share enough pivots
@@ -369,8 +371,9 @@ def join(docs: DataFrame) -> DataFrame:
     wanted = hold(bitmap(linked, "doc_id"))
     full = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
     whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
-    linked = linked.join(whole.select("region", _blocks().alias("blocks")), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    linked = linked.join(maybe_broadcast(whole.select("region", _blocks().alias("blocks"))), "region").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     sets = materialise(full.join(linked, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id"]).select("region", "doc_id", "n", "shingles", "blocks", "i"), "full")
+    wanted.destroy()
     small = sets.where("blocks = 1").withColumns({"j": F.lit(0), "label": F.col("doc_id")})
     final = _joined(small).where("label is not null").select(F.col("label").alias("a"), F.col("lowest").alias("b"))
     large = sets.where("blocks > 1")
