@@ -9,6 +9,8 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+#: Size of the batches that go to Python workers, as Spark has it and as it becomes unless it was set otherwise: texts are long.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 _shipped: set[str] = set()
 _own_dir: dict[str, str] = {}
 
@@ -25,7 +27,10 @@ def builder(app: str = "furrow") -> SparkSession.Builder:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to Python workers, once for each application: they need not have it installed."""
+    """Give this package to Python workers, once for each application: they need not have it installed. Their batches are kept small."""
+    for key, (usual, small) in BATCHES.items():
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, small)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
