@@ -176,7 +176,8 @@ def _near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def cell_links(sets: list[np.ndarray], count: Counter | None = None, labels: list[int] | None = None) -> tuple[list[tuple[int, int]], list[int], Forest]:
     """Links between positions of sets, so many that their components are complete (exact); the pivots; and the components.
 
-    Positions with one label are known to be connected. count, if given, counts cells, replicated documents and comparisons.
+    Positions with one label are known to be connected. count, if given, counts cells, replicated documents, comparisons,
+    and links inside and between cells.
     """
     n, found = len(sets), []
     count = Counter() if count is None else count
@@ -187,6 +188,7 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None, labels: lis
         count["compared"] += n - 1
         if n == 2 and _near(*sets, 75):
             forest.join(0, 1)
+            count["inside"] += 1
             return [(0, 1)], [0], forest
         return [], list(range(n)), forest
     # the rarest shingles of each set, of which near sets share one
@@ -201,13 +203,24 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None, labels: lis
     members: dict[int, list[int]] = {}  # of the cell of each pivot
     pivots_at: dict[int, list[int]] = {}  # pivots that have a shingle among their rarest
     cell = [0] * n
+    far: set[tuple[int, int]] = set()  # pairs that don't link
+
+    def linked(x: int, y: int) -> bool:
+        if (x, y) in far or (y, x) in far:
+            return False
+        count["compared"] += 1
+        if _near(sets[x], sets[y], 75):
+            found.append((x, y))
+            forest.join(x, y)
+            return True
+        far.add((x, y))
+        return False
+
     for x in np.argsort(-size, kind="stable").tolist():
         met = Counter(p for t in rare[x] for p in pivots_at.get(t, ()))
         for p, _ in met.most_common():
-            count["compared"] += 1
-            if _near(sets[x], sets[p], 75):
-                found.append((x, p))
-                forest.join(x, p)
+            if linked(x, p):
+                count["inside"] += 1
                 members[p].append(x)
                 cell[x] = p
                 break
@@ -227,16 +240,14 @@ def cell_links(sets: list[np.ndarray], count: Counter | None = None, labels: lis
         for p in sorted(set().union(*(cells_at[t] for t in rare[x])) - {cell[x]}) if rare[x] else ():
             if forest.find(p) == forest.find(x):
                 continue
-            count["compared"] += 1
-            if not _near(sets[x], sets[p], 50):  # further than 2 r from the pivot: further than r from all members
-                continue
+            others = members[p]
+            if len(others) > 1:
+                count["compared"] += 1
+                if not _near(sets[x], sets[p], 50):  # further than 2 r from the pivot: further than r from all members
+                    continue
             count["replicated"] += 1
-            for y in members[p]:
-                count["compared"] += y != p
-                if _near(sets[x], sets[y], 75):
-                    found.append((x, y))
-                    forest.join(x, y)
-                    break
+            if any(linked(x, y) for y in others):
+                count["between"] += 1
     return found, list(members), forest
 
 

@@ -49,17 +49,6 @@ CHUNK_BYTES = 8_000_000
 _LESS = np.uint64(8)  # bits that are left out of hashes: what is sent has a byte less for each entry
 
 
-def _parts(items: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    lo, total = 0, 0
-    for i, t in enumerate(items):
-        total += len(t)
-        if total > size:
-            yield lo, i + 1
-            lo, total = i + 1, 0
-    if lo < len(items):
-        yield lo, len(items)
-
-
 def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     marks = maybe_broadcast(target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]))
     return docs.select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
@@ -97,24 +86,37 @@ CHUNKS = "chunk bigint, doc_ids array<bigint>, sizes array<bigint>, targets arra
 
 
 def _read_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in chunks: their words as ids of the chunk's own words, and the hashes of those."""
+    """Documents in chunks of CHUNK_BYTES: their words as ids of the chunk's own words, and the hashes of those."""
     chunk = TaskContext.get().partitionId() << 32
+    docs: list[int | None] = []
+    targets: list[bool] = []
+    sizes: list[int] = []
+    ids: list[np.ndarray] = []
+    known: defaultdict[bytes, int] = defaultdict(count().__next__)
+    read = 0
+
+    def close() -> pa.RecordBatch:
+        size, own = np.array(sizes), np.array(targets, dtype=bool)
+        hashes = b"".join(blake2b(w, digest_size=8).digest() for w in known)
+        sums = (len(known) + sum(sizes), sum(sizes), int(size[own].sum()), int((size > 0).sum()), int((size[own] > 0).sum()))
+        row = [[chunk], [docs], [sizes], [targets], [_pack(np.concatenate(ids))], [hashes], *([x] for x in sums)]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), *[pa.int64()] * 5]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], ["chunk", "doc_ids", "sizes", "targets", "ids", "hashes", "entries", "tokens", "own_tokens", "starts", "own_starts"])
+
     for b in batches:
-        items, docs, target = byte_texts(b), b.column("doc_id").cast(pa.int64()), np.array(b.column("target").to_pylist(), dtype=bool)
-        for lo, hi in _parts(items, CHUNK_BYTES):
-            known: defaultdict[bytes, int] = defaultdict(count().__next__)
-            ids, sizes = [], []
-            for t in items[lo:hi]:
-                w = t.lower().split()
-                ids.append(np.fromiter(map(known.__getitem__, w), np.int64, len(w)))
-                sizes.append(len(w))
-            size, own = np.array(sizes), target[lo:hi]
-            hashes = b"".join(blake2b(w, digest_size=8).digest() for w in known)
-            sums = (len(known) + sum(sizes), sum(sizes), int(size[own].sum()), int((size > 0).sum()), int((size[own] > 0).sum()))
-            row = [[chunk], [docs.slice(lo, hi - lo).to_pylist()], [sizes], [own.tolist()], [_pack(np.concatenate(ids))], [hashes], *([x] for x in sums)]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], ["chunk", "doc_ids", "sizes", "targets", "ids", "hashes", "entries", "tokens", "own_tokens", "starts", "own_starts"])
-            chunk += 1
+        for text, doc, target in zip(byte_texts(b), b.column("doc_id").cast(pa.int64()).to_pylist(), b.column("target").to_pylist(), strict=True):
+            w = text.lower().split()
+            ids.append(np.fromiter(map(known.__getitem__, w), np.int64, len(w)))
+            docs.append(doc)
+            targets.append(target)
+            sizes.append(len(w))
+            read += len(text)
+            if read >= CHUNK_BYTES:
+                yield close()
+                chunk, read = chunk + 1, 0
+                docs, targets, sizes, ids, known = [], [], [], [], defaultdict(count().__next__)
+    if docs:
+        yield close()
 
 
 class Chunk:
