@@ -69,10 +69,16 @@ def unknown_markets(rows: DataFrame) -> DataFrame:
     return own.groupBy(F.col("_state").alias("state"), "market_name").agg(F.count("*").alias("records"), F.array_sort(F.collect_set(F.coalesce("_system", "_source"))).alias("sources"), first_samples("_commodity").alias("sample_commodities"))
 
 
+def has_price_problem(lo: Column, hi: Column, modal: Column) -> Column:
+    """Whether price_problems() has any, without its texts."""
+    outside = (lo <= hi) & ((modal < lo) | (modal > hi))
+    return F.greatest(*(F.coalesce(c, F.lit(False)) for c in (lo <= 0, hi <= 0, modal <= 0, lo > hi, outside)))
+
+
 def bad_prices(rows: DataFrame, limit: int = MAX_PRICE_ITEMS) -> DataFrame:
-    """The first rows (by ordinal) with price problems; the limit is the queue's."""
-    found = rows.withColumn("problems", price_problems(F.col("min_price"), F.col("max_price"), F.col("modal_price"))).where(F.size("problems") > 0)
-    return found.orderBy("ordinal").limit(limit)
+    """The first rows (by ordinal) with price problems; the limit is the queue's. Texts are made for those alone."""
+    prices = [F.col(c) for c in ("min_price", "max_price", "modal_price")]
+    return rows.where(has_price_problem(*prices)).orderBy("ordinal").limit(limit).withColumn("problems", price_problems(*prices))
 
 
 def review_items(rows: DataFrame, status: DataFrame, run_id: str, now: Column) -> DataFrame:
