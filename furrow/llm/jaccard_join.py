@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import bitmap, byte_texts, components, depth_in_bitmaps, discard, in_bitmap, lean, materialise, maybe_broadcast, mix64, read_table, ship
+from furrow.llm.common import bitmap, byte_texts, components, depth_in_bitmaps, discard, expand, in_bitmap, lean, materialise, maybe_broadcast, mix64, read_table, ship
 
 WORDS = 5
 #: Documents up to which a first-level region gives its pairs at once, and where further levels of the order begin.
@@ -56,6 +56,10 @@ CROWD, LEVELS = 16, (16, 512, 16384)
 WIDER = 16
 #: Documents and shingles of a block of a large second-level region, and the share of documents that a round must leave out for another one.
 BLOCK_DOCS, BLOCK_SHINGLES, SHRINK = 256, 2_000_000, 0.25
+#: Blocks into which the last comparison of a large region deals its documents, unless blocks of BLOCK_DOCS are fewer or one would have more documents than LAST_DOCS.
+LAST_BLOCKS, LAST_DOCS = 8, 2048
+#: Documents of one side whose counts are held at once, columns of a matrix product, pairs listed at once, and the share of all pairs from which a shingle is a column.
+TILE, COLUMNS, LISTED, DENSE = 256, 512, 2_000_000, 1 / 64
 #: Parts into which the documents of a crowded shingle are dealt before they are tied.
 SALTS = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -289,6 +293,91 @@ def _join_regions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield table()
 
 
+def rectangle_links(own: list[np.ndarray], guests: list[np.ndarray], own_labels: np.ndarray, guest_labels: np.ndarray) -> set[tuple[int, int]]:
+    """Pairs of different labels with a link between a set of own and one of guests (exact): common shingles are counted for all pairs at once."""
+    n, m = len(own), len(guests)
+    sizes, guest_sizes = (np.array([len(s) for s in x], np.int64) for x in (own, guests))
+    flat, guest_flat = np.concatenate(own), np.concatenate(guests)
+    both = np.intersect1d(flat, guest_flat)
+
+    def entries(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the shingles that both sides have, and whose they are."""
+        if not len(both):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        code = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        at = np.flatnonzero(both[code] == flat)
+        return code[at], np.repeat(np.arange(len(sizes)), sizes)[at]
+
+    code, owner = entries(flat, sizes)
+    guest_code, guest_owner = entries(guest_flat, guest_sizes)
+    held, guest_held = (np.bincount(c, minlength=len(both)) for c in (code, guest_code))
+    dense = held * guest_held > DENSE * n * m
+    column = np.cumsum(dense) - 1
+    order = np.argsort(code, kind="stable")
+    by_code, first = owner[order], np.cumsum(held) - held
+    wide = dense[code]
+    wide_column, wide_owner = column[code[wide]], owner[wide]
+    found: set[tuple[int, int]] = set()
+    for lo in range(0, m, TILE):
+        rows = min(TILE, m - lo)
+        at = slice(*np.searchsorted(guest_owner, (lo, lo + rows)))
+        c, row = guest_code[at], guest_owner[at] - lo
+        common = np.zeros((rows, n), np.int64)
+        for k in range(0, int(dense.sum()), COLUMNS):
+            a, b = np.zeros((rows, COLUMNS), np.float32), np.zeros((n, COLUMNS), np.float32)
+            x, y = dense[c] & (column[c] >= k) & (column[c] < k + COLUMNS), (wide_column >= k) & (wide_column < k + COLUMNS)
+            a[row[x], column[c[x]] - k] = 1
+            b[wide_owner[y], wide_column[y] - k] = 1
+            common += (a @ b.T).astype(np.int64)
+        c, row = c[~dense[c]], row[~dense[c]]
+        ends = np.cumsum(held[c])
+        start = 0
+        while start < len(c):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + LISTED, side="right")))
+            which, off = expand(held[c[start:stop]])
+            other = by_code[first[c[start:stop]][which] + off]
+            common += np.bincount(row[start:stop][which] * n + other, minlength=rows * n).reshape(rows, n)
+            start = stop
+        x, y = np.nonzero(175 * common >= 75 * (guest_sizes[lo : lo + rows, None] + sizes[None, :]))
+        pairs = np.stack([guest_labels[lo + x], own_labels[y]])
+        found.update(map(tuple, np.unique(pairs[:, pairs[0] != pairs[1]], axis=1).T.tolist()))
+    return found
+
+
+def _compare_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches hold pairs of blocks one after the other, own documents before guests. Gives (region, label, lowest) as _join_regions does."""
+    key, sides = None, {False: ([], []), True: ([], [])}
+    out: list[tuple[int, int, int]] = []
+
+    def close() -> None:
+        (own, own_labels), (guests, guest_labels) = sides[False], sides[True]
+        if own and guests:
+            links = rectangle_links(own, guests, np.array(own_labels), np.array(guest_labels))
+            names = sorted({x for link in links for x in link})
+            place = {x: i for i, x in enumerate(names)}
+            forest = Forest(len(names))
+            for a, b in links:
+                forest.join(place[a], place[b])
+            out.extend((key[0], x, names[forest.find(i)]) for i, x in enumerate(names) if forest.find(i) != i)
+        for x in (*sides[False], *sides[True]):
+            x.clear()
+
+    def table() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["region", "label", "lowest"])
+
+    for b in batches:
+        for region, i, j, guest, label, s in zip(*(b.column(c).to_pylist() for c in ("region", "i", "j", "guest", "label", "shingles")), strict=True):
+            if (region, i, j) != key:
+                close()
+                key = (region, i, j)
+            sides[guest][0].append(np.frombuffer(s, dtype=np.int64))
+            sides[guest][1].append(label)
+        yield table()
+        out.clear()
+    close()
+    yield table()
+
+
 def _joined(tasks: DataFrame) -> DataFrame:
     """What _join_regions gives for tasks (region, i, j, doc_id, label, shingles)."""
     tasks = tasks.select("region", "i", "j", "doc_id", "label", "shingles")
@@ -318,12 +407,17 @@ def _large_regions(sets: DataFrame) -> DataFrame:
         rows = materialise(rows.join(maybe_broadcast(whole.select("region", _blocks().alias("blocks"))), "region").withColumn("i", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int")), "pivots")
     main = maybe_broadcast(labelled.groupBy("region", "label").count().groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main")))
     other = materialise(labelled.join(main, "region").where("label <> main").select("region", "doc_id", "label"), "other")
-    parts = maybe_broadcast(other.groupBy("region").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("parts")))
-    # every block with every part of the others
-    own = sets.select("region", "doc_id", "shingles").join(labelled, ["region", "doc_id"]).join(parts, "region").select("region", "doc_id", "label", "shingles", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
-    guests = other.join(parts, "region").withColumn("j", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"))
-    guests = sets.select("region", "doc_id", "shingles", "blocks").join(guests, ["region", "doc_id"]).select("region", "doc_id", "label", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "j")
-    across = materialise(_joined(own.unionByName(guests)).where("label is not null"), "across")
+    # every block with every part of the others; few and large ones, as each document is sent to all of the other side
+    size = sets.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).select("region", _last_blocks().alias("blocks"))
+    parts = sets.select("region", "doc_id", "n").join(other, ["region", "doc_id"]).groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).select("region", _last_blocks().alias("parts"))
+    dealt = maybe_broadcast(size.join(parts, "region"))
+    plain = sets.select("region", "doc_id", "shingles")
+    own = plain.join(labelled.select("region", "doc_id", "label"), ["region", "doc_id"]).join(dealt, "region").withColumn("guest", F.lit(False))
+    own = own.withColumns({"i": F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"), "j": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    guests = plain.join(other, ["region", "doc_id"]).join(dealt, "region").withColumn("guest", F.lit(True))
+    guests = guests.withColumns({"j": F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int"), "i": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    tasks = own.unionByName(guests).select("region", "i", "j", "guest", "label", "shingles").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "guest")
+    across = materialise(tasks.mapInArrow(lean(_compare_blocks), "region bigint, label bigint, lowest bigint"), "across")
     if not across.isEmpty():
         merged = components(across.select(F.col("label").alias("a"), F.col("lowest").alias("b")))
         labelled = labelled.join(maybe_broadcast(merged.withColumnRenamed("id", "label")), "label", "left").withColumn("label", F.coalesce("component_id", "label"))
@@ -335,6 +429,12 @@ def _blocks() -> Column:
     return F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
 
 
+def _last_blocks() -> Column:
+    """Blocks of docs documents with total shingles for the last comparison of a region."""
+    few = F.greatest(F.lit(LAST_BLOCKS), F.ceil(F.col("docs") / LAST_DOCS))
+    return F.greatest(F.least(F.ceil(F.col("docs") / BLOCK_DOCS), few), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for docs (doc_id, text)."""
     spark = docs.sparkSession
