@@ -12,6 +12,8 @@ from furrow.functions import scalars as X
 #: Where each source's records come from: url, method, kind of source.
 SOURCES: dict[str, dict[str, str]] = load("feeds")["sources"]
 PAGE, WINDOW = 10_000, 10_000
+#: A text inside JSON may be as long as a text can be: by default the parser gives null for longer ones than 20 million characters.
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 
 
 def source_table(spark: SparkSession) -> DataFrame:
@@ -44,9 +46,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def payload_records(texts: DataFrame, column: str = "value") -> DataFrame:
     """As read_payloads, from texts in a column."""
-    each = texts.select(F.explode(F.from_json(column, "map<string,string>")).alias("source", "payload"))
-    body = each.select("source", F.from_json("payload", "success boolean, data string, error string, details string").alias("p"))
-    rows = F.from_json("p.data", "array<map<string,string>>")
+    each = texts.select(F.explode(F.from_json(column, "map<string,string>", _ANY_LENGTH)).alias("source", "payload"))
+    body = each.select("source", F.from_json("payload", "success boolean, data string, error string, details string", _ANY_LENGTH).alias("p"))
+    rows = F.from_json("p.data", "array<map<string,string>>", _ANY_LENGTH)
     return body.select("source", F.coalesce("p.success", F.lit(False)).alias("success"), "p.error", "p.details", F.posexplode_outer(rows).alias("ordinal", "record"))
 
 

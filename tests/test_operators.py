@@ -213,3 +213,9 @@ def test_swap_of_one_source_only(spark):
     facts = spark.createDataFrame([(1, "2026-09-07", "a"), (2, "2026-09-07", "b"), (3, "2026-09-22", "a")], "fk int, day string, source string").withColumn("day", F.col("day").cast("date"))
     plan = repair.swap_plan(facts, "fk", "day", F.lit("2026-08-13").cast("date"), F.col("source") == "a")
     assert {(r.fk, r.action) for r in plan.collect()} == {(1, "move"), (3, "delete")}
+
+
+def test_payload_whose_data_is_a_very_long_text(spark):
+    record = F.to_json(F.array_repeat(F.create_map(F.lit("id"), F.repeat(F.lit("x"), 10_000)), 2_100))
+    texts = spark.range(1).select(F.to_json(F.create_map(F.lit("s"), F.struct(F.lit(True).alias("success"), record.alias("data")))).alias("value"))
+    assert landed.payload_records(texts).agg(F.count("record"), F.max("ordinal")).first()[:] == (2_100, 2_099)
