@@ -20,6 +20,11 @@ STOP_WORDS: list[str] = load("words")["stop_words"]
 LOOKUP_ENTRIES = 20_000
 
 
+def _by_sort(df: DataFrame) -> DataFrame:
+    """df as a side that is sorted, never broadcast: keys grow with the entities, and the planner takes them to be as small as their compressed files."""
+    return df.hint("merge")
+
+
 def _entity_keys(entities: DataFrame) -> DataFrame:
     """Rows (entity_id, e_state, e_key, is_alias): names and aliases in lower case."""
     names = F.array(F.struct(F.lower("name").alias("k"), F.lit(0).alias("a")))
@@ -57,12 +62,12 @@ def resolve_markets(names: DataFrame, entities: DataFrame) -> DataFrame:
     plain = _entity_keys(entities).withColumn("e_loose", F.lit(False))
     ended = plain.where(F.col("e_key").rlike(r"\sapmc$"))
     loose = ended.withColumn("e_key", F.concat(F.regexp_replace("e_key", r"\s+apmc$", ""), F.lit(" apmc"))).withColumn("e_loose", F.lit(True))
-    found = tried.join(plain.union(loose), (F.col("k") == F.col("e_key")) & (F.col("loose") == F.col("e_loose")))
+    found = tried.join(_by_sort(plain.union(loose)), (F.col("k") == F.col("e_key")) & (F.col("loose") == F.col("e_loose")))
     same = F.col("any_state") | F.col("p_state").isNull() | (F.col("p_state") == "") | (F.col("p_state") == F.col("e_state"))
     right = (F.col("alias") == -1) | (F.col("alias") == F.col("is_alias"))
     best = found.where(same & right).groupBy("market_name", "state").agg(F.min(F.struct("tier", "entity_id")).alias("b"))
     on = [F.col("p.market_name").eqNullSafe(F.col("b.market_name")), F.col("p.state").eqNullSafe(F.col("b.state"))]
-    return probes.alias("p").join(best.alias("b"), on, "left").select("p.market_name", "p.state", F.col("b.b.entity_id").alias("market_id"), F.col("b.b.tier").alias("tier"))
+    return probes.alias("p").join(_by_sort(best.alias("b")), on, "left").select("p.market_name", "p.state", F.col("b.b.entity_id").alias("market_id"), F.col("b.b.tier").alias("tier"))
 
 
 def resolve_offline(names: DataFrame, entities: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def resolve_offline(names: DataFrame, entities: DataFrame) -> DataFrame:
     e = e.withColumn("exact", X.collapse(F.col("n"))).where("exact <> ''")
     exact = e.groupBy("e_state", F.col("exact").alias("k")).agg(F.max("entity_id").alias("entity_id"))
     bare = e.withColumn("k", X.without_suffix(F.col("exact"), X.MARKET_SUFFIXES_OFFLINE)).where("k <> ''").groupBy("e_state", "k").agg(F.min("entity_id").alias("entity_id"))
-    keys = exact.unionByName(bare.join(exact.select("e_state", "k"), ["e_state", "k"], "left_anti"))
+    keys = exact.unionByName(bare.join(_by_sort(exact.select("e_state", "k")), ["e_state", "k"], "left_anti"))
     keys = keys.withColumn("e_state", F.coalesce("e_state", F.lit("")))
     probes = names.select("market_name", "state").where(F.trim("market_name") != "").distinct()
     key = X.collapse(F.col("market_name"))
@@ -87,11 +92,11 @@ def resolve_offline(names: DataFrame, entities: DataFrame) -> DataFrame:
         F.struct(F.lit(4).alias("tier"), F.when(short != "", F.concat(short, F.lit(" apmc"))).alias("k")),
     )
     tried = probes.withColumn("e_state", F.coalesce(X.canonical_state(X.collapse(F.col("state"))), F.lit(""))).withColumn("f", F.explode(forms))
-    near = tried.select("market_name", "state", "e_state", "f.tier", "f.k").join(keys, ["e_state", "k"]).select("market_name", "state", "tier", "entity_id")
-    far = probes.withColumn("k", key).join(keys.groupBy("k").agg(F.min("entity_id").alias("entity_id")), "k").select("market_name", "state", F.lit(5).alias("tier"), "entity_id")
+    near = tried.select("market_name", "state", "e_state", "f.tier", "f.k").join(_by_sort(keys), ["e_state", "k"]).select("market_name", "state", "tier", "entity_id")
+    far = probes.withColumn("k", key).join(_by_sort(keys.groupBy("k").agg(F.min("entity_id").alias("entity_id"))), "k").select("market_name", "state", F.lit(5).alias("tier"), "entity_id")
     best = near.union(far).groupBy("market_name", "state").agg(F.min(F.struct("tier", "entity_id")).alias("b"))
     on = [F.col("p.market_name").eqNullSafe(F.col("b.market_name")), F.col("p.state").eqNullSafe(F.col("b.state"))]
-    return probes.alias("p").join(best.alias("b"), on, "left").select("p.market_name", "p.state", F.col("b.b.entity_id").alias("market_id"), F.col("b.b.tier").alias("tier"))
+    return probes.alias("p").join(_by_sort(best.alias("b")), on, "left").select("p.market_name", "p.state", F.col("b.b.entity_id").alias("market_id"), F.col("b.b.tier").alias("tier"))
 
 
 def new_markets(resolved: DataFrame) -> DataFrame:
