@@ -479,6 +479,7 @@ def join(docs: DataFrame) -> DataFrame:
     linked = components(near.select("a", "b").union(ties)).withColumnsRenamed({"id": "doc_id", "component_id": "region"})
 
     linked = materialise(linked.join(nodes.select("doc_id", "n", "f1", "f2"), "doc_id"), "second")
+    discard(met)
     wanted = hold(bitmap(linked, "doc_id"))
     full = docs.where("doc_id is not null").mapInArrow(lean(_full_sets(lambda: wanted.value)), "doc_id bigint, f1 bigint, f2 bigint, shingles binary")
     whole = linked.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))

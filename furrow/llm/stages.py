@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import decontaminate, jaccard_join, language, pii
-from furrow.llm.common import chunks, lean, materialise, maybe_broadcast, ship, texts
+from furrow.llm.common import chunks, lean, materialise, parted, ship, texts, tidy
 
 #: Share of a document's letters that its language must hold.
 MIN_SHARE = 0.5
@@ -54,15 +54,15 @@ def keep_first_of_group(docs: DataFrame) -> DataFrame:
     Null and empty texts and null ids are linked with nothing and stay (repeated empty rows of one id count as one);
     whole texts are read; equal documents tie, and the smallest id wins. No rows give none.
     """
-    found = jaccard_join.join(docs)
-    gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    with tidy() as kept:
+        found = materialise(jaccard_join.join(docs), "groups")
+        kept.append(found)
+    _, first = parted(docs, found.where("component_id <> doc_id").select("doc_id").distinct())
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
-        return kept
-    repeated = maybe_broadcast(repeated)
-    once = kept.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).union(once)
+        return first
+    several, once = parted(first, repeated)
+    return once.union(several.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
